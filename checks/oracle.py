@@ -69,11 +69,12 @@ table(
 # --- segment tables -----------------------------------------------------------
 
 table(
-    "t_msh",
+    "raw_msh",
     f"SELECT message_id, app AS sending_application, sending_facility, 'LAB' AS receiving_application, "
     f"'HUB' AS receiving_facility, msg_at AS message_datetime, message_type, trigger_event, "
-    f"ctl AS message_control_id, 'P' AS processing_id, ver AS version_id, parsed_at FROM msg WHERE ctl <> ''",
+    f"{n('ctl')} AS message_control_id, 'P' AS processing_id, ver AS version_id, parsed_at FROM msg",
 )
+table("t_msh", "SELECT * FROM raw_msh WHERE message_control_id IS NOT NULL")
 _pid_cols = ", ".join(
     f"{n(expr)} AS {name}"
     for name, expr in {
@@ -95,10 +96,10 @@ _pid_cols = ", ".join(
     }.items()
 )
 table(
-    "t_pid",
-    f"SELECT message_id, {_pid_cols}, message_type, sending_facility, parsed_at FROM msg "
-    "WHERE has_pid AND pid <> ''",
+    "raw_pid",
+    f"SELECT message_id, {_pid_cols}, message_type, sending_facility, parsed_at FROM msg WHERE has_pid",
 )
+table("t_pid", "SELECT * FROM raw_pid WHERE patient_id IS NOT NULL")
 _pv1_cols = ", ".join(
     f"{expr if name == 'attending_doctor_name' else n(expr)} AS {name}"
     for name, expr in {
@@ -141,7 +142,8 @@ def _repeat(name, count, cols, where="TRUE"):
     )
 
 
-_obr = {k: v for k, v in f.OBR.items() if not k.endswith(("_family", "_given"))}
+_repeat("raw_obx", "n_obx", f.OBX)
+_repeat("raw_dg1", "n_dg1", f.DG1)
 _repeat("t_obx", "n_obx", f.OBX, f"{f.OBX['observation_id'].format(i='i')} <> ''")
 _repeat("t_dg1", "n_dg1", f.DG1, f"{f.DG1['diagnosis_code'].format(i='i')} <> ''")
 _repeat("t_al1", "n_al1", f.AL1)
@@ -367,7 +369,7 @@ HORIZONS = "(VALUES (1), (4), (8), (24)) AS z(h)"
 
 def predicted(points: str, ident: str = "prediction_id") -> str:
     """The 17 prediction columns from points with model columns, value and spread."""
-    margin = "spread * (1 + h * 0.1) * 1.96"
+    margin = "spread * (1 + h::DOUBLE * 0.1::DOUBLE) * 1.96::DOUBLE"
     return (
         f"SELECT {ident} AS prediction_id, model_name, model_version, department, location_facility, forecast_generated_at, "
         "target_metric, CAST(h AS INTEGER) AS forecast_horizon_hours, feature_snapshot_hour + to_hours(h) AS target_hour, "
