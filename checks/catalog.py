@@ -128,12 +128,12 @@ q(
 )
 q(
     "M8_timestamp",
-    lambda c: c.segment("PV1").select("message_id", v.hl7_ts("admit_datetime").alias("admit"), v.hl7_ts("discharge_datetime").alias("discharge")),
+    lambda c: c.silver_pv1.select("message_id", v.hl7_ts("admit_datetime").alias("admit"), v.hl7_ts("discharge_datetime").alias("discharge")),
     "SELECT message_id, admit_at AS admit, discharge_at AS discharge FROM t_pv1",
 )
 q(
     "M9_timestamp_text",
-    lambda c: c.segment("PV1").select(
+    lambda c: c.silver_pv1.select(
         "message_id",
         v.hl7_ts_text("admit_datetime").alias("plain"),
         v.hl7_ts_text(F.concat("admit_datetime", F.lit("-0500"))).alias("zoned"),
@@ -166,7 +166,7 @@ for _id, _kind, _table in (
     ("G12", "ORC", "t_orc"),
 ):
     q(f"{_id}_{_kind.lower()}", lambda c, k=_kind: c.segment(k), f"SELECT * FROM {_table}")
-q("G4_pv1", lambda c: c.segment("PV1"), "SELECT * EXCLUDE (admit_at, discharge_at, fin, dispo) FROM t_pv1")
+q("G4_pv1", lambda c: c.silver_pv1, "SELECT * EXCLUDE (admit_at, discharge_at, fin, dispo) FROM t_pv1")
 q(
     "G13_wide_pid",
     lambda c: c.segment("PID", wide=True).select(
@@ -278,7 +278,7 @@ q(
 )
 q(
     "Q3_expect_warn",
-    lambda c: quality.apply_rules(c.segment("PV1"), quality.rules_for("PV1", AS_OF))[0],
+    lambda c: quality.apply_rules(c.silver_pv1, quality.rules_for("PV1", AS_OF))[0],
     "SELECT * EXCLUDE (admit_at, discharge_at, fin, dispo) FROM t_pv1",
 )
 q(
@@ -289,7 +289,7 @@ q(
 q(
     "Q5_expect_or_fail",
     lambda c: quality.apply_rules(
-        c.segment("DG1"), [quality.Rule("code_present", "", "diagnosis_code IS NOT NULL", quality.FAIL)]
+        c.silver_dg1, [quality.Rule("code_present", "", "diagnosis_code IS NOT NULL", quality.FAIL)]
     )[0].groupBy("diagnosis_code").agg(F.count("*").alias("n")),
     "SELECT diagnosis_code, count(*) AS n FROM t_dg1 GROUP BY 1",
 )
@@ -327,7 +327,7 @@ q(
 
 q(
     "P1_P2_project_present",
-    lambda c: c.segment("AL1").select("message_id", F.col("allergen_code").alias("code"), "set_id"),
+    lambda c: c.silver_al1.select("message_id", F.col("allergen_code").alias("code"), "set_id"),
     "SELECT message_id, allergen_code AS code, set_id FROM t_al1",
 )
 q(
@@ -379,7 +379,7 @@ q(
 )
 q(
     "P12_metadata",
-    lambda c: filters.with_metadata(c.segment("EVN"), "0123456789abcdef", c.as_of),
+    lambda c: filters.with_metadata(c.silver_evn, "0123456789abcdef", c.as_of),
     f"SELECT *, {NOW} AS processed_at, CAST({NOW} AS DATE) AS processing_date, '01234567' AS pipeline_id FROM t_evn",
 )
 q(
@@ -435,7 +435,7 @@ q(
     "SELECT location_facility, department, total_arrivals, total_discharges FROM cur",
 )
 _side_cols = ["event_hour", "ed_arrivals", "ed_discharges", "ed_net_change", "icu_arrivals", "icu_discharges", "icu_net_change"]
-q("J3_combined_hours", lambda c: c.combined.select(*_side_cols), f"SELECT {', '.join(_side_cols)} FROM comb")
+q("J3_combined_hours", lambda c: c.make("combined").select(*_side_cols), f"SELECT {', '.join(_side_cols)} FROM comb")
 q(
     "J4_combined_actuals",
     lambda c: forecast.combined_actuals(c.ed_hour, c.icu_hour),
@@ -458,24 +458,24 @@ q(
     "FULL OUTER JOIN (SELECT activity_date, sum(total_arrivals) AS icu_arrivals, sum(total_discharges) AS icu_discharges FROM icu_day "
     "GROUP BY 1) USING (activity_date)",
 )
-q("J7_S10_update_by_key", lambda c: c.predictions, "SELECT * FROM pred")
+q("J7_S10_update_by_key", lambda c: c.make("predictions"), "SELECT * FROM pred")
 
 # --- dimension, facts and rollups ----------------------------------------------
 
-q("K1_encounter_fact", lambda c: c.encounters, "SELECT * FROM enc")
-q("K2_observation_fact", lambda c: c.observations, "SELECT * FROM obs")
-q("K3_diagnosis_fact", lambda c: c.diagnoses, "SELECT * FROM dx")
-q("K4_allergy_fact", lambda c: c.allergies, "SELECT * FROM alg")
-q("K5_order_fact", lambda c: c.orders, "SELECT * FROM ord")
-q("A1_patient_dim", lambda c: c.patients, "SELECT * FROM dim")
-q("A2_message_metrics", lambda c: c.metrics, "SELECT * FROM metrics")
-q("A3_patient_activity", lambda c: c.activity, "SELECT * FROM activity")
-q("A4_ed_hourly_census", lambda c: c.ed_hour, "SELECT * FROM ed_hour")
-q("A5_icu_hourly_census", lambda c: c.icu_hour, "SELECT * FROM icu_hour")
-q("A6_ed_daily_summary", lambda c: c.ed_day, "SELECT * FROM ed_day")
-q("A7_icu_daily_summary", lambda c: c.icu_day, "SELECT * FROM icu_day")
-q("A8_department_census_current", lambda c: c.current, "SELECT * FROM cur")
-q("A9_F12_forecast_accuracy", lambda c: c.accuracy, "SELECT * FROM acc")
+q("K1_encounter_fact", lambda c: c.make("encounters"), "SELECT * FROM enc")
+q("K2_observation_fact", lambda c: c.make("observations"), "SELECT * FROM obs")
+q("K3_diagnosis_fact", lambda c: c.make("diagnoses"), "SELECT * FROM dx")
+q("K4_allergy_fact", lambda c: c.make("allergies"), "SELECT * FROM alg")
+q("K5_order_fact", lambda c: c.make("orders"), "SELECT * FROM ord")
+q("A1_patient_dim", lambda c: c.make("patients"), "SELECT * FROM dim")
+q("A2_message_metrics", lambda c: c.make("metrics"), "SELECT * FROM metrics")
+q("A3_patient_activity", lambda c: c.make("activity"), "SELECT * FROM activity")
+q("A4_ed_hourly_census", lambda c: c.make("ed_hour"), "SELECT * FROM ed_hour")
+q("A5_icu_hourly_census", lambda c: c.make("icu_hour"), "SELECT * FROM icu_hour")
+q("A6_ed_daily_summary", lambda c: c.make("ed_day"), "SELECT * FROM ed_day")
+q("A7_icu_daily_summary", lambda c: c.make("icu_day"), "SELECT * FROM icu_day")
+q("A8_department_census_current", lambda c: c.make("current"), "SELECT * FROM cur")
+q("A9_F12_forecast_accuracy", lambda c: c.make("accuracy"), "SELECT * FROM acc")
 _hours = lambda src, d: (
     f"SELECT event_hour, {SUM('arrivals')} AS {d}_arrivals, {SUM('discharges')} AS {d}_discharges, {SUM('net_change')} AS {d}_net_change FROM {src} GROUP BY 1"
 )
@@ -858,8 +858,7 @@ _feat_key = ["event_hour", "location_facility", "arrivals", "discharges"]
 
 def _feat(name, table, cols):
     picked = [*_feat_key, *[c for c in cols if c not in _feat_key]]
-    attr = {"ed_feat": "ed_feat", "icu_feat": "icu_feat"}[table]
-    q(name, lambda c: getattr(c, attr).select(*picked), f"SELECT {', '.join(picked)} FROM {table}")
+    q(name, lambda c: c.make(table).select(*picked), f"SELECT {', '.join(picked)} FROM {table}")
 
 
 _feat("W1_arrival_lags", "ed_feat", [f"arrivals_lag_{k}h" for k in features.ARRIVAL_LAGS])
@@ -875,7 +874,7 @@ _feat("W6_week_over_week", "ed_feat", ["arrivals_wow_ratio"])
 _sys = ["event_hour"] + [f"{d}_arrivals_lag_{k}h" for d in ("ed", "icu") for k in (1, 24)] + [
     f"{d}_{x}_rolling_24h" for d in ("ed", "icu") for x in ("arrivals", "discharges")
 ]
-q("W7_system_windows", lambda c: c.combined.select(*_sys), f"SELECT {', '.join(_sys)} FROM comb")
+q("W7_system_windows", lambda c: c.make("combined").select(*_sys), f"SELECT {', '.join(_sys)} FROM comb")
 q(
     "W8_dedup_latest",
     lambda c: features.dedup_by_key(
@@ -897,9 +896,9 @@ q(
     "AS running_net FROM ed_hour",
 )
 _feat("F1_calendar", "ed_feat", ["month", "day_of_month", "week_of_year", "is_night_shift", "is_holiday_window"])
-q("F2_ed_forecast_features", lambda c: c.ed_feat, "SELECT * FROM ed_feat")
-q("F2_icu_forecast_features", lambda c: c.icu_feat, "SELECT * FROM icu_feat")
-q("F3_combined_features", lambda c: c.combined, "SELECT * FROM comb")
+q("F2_ed_forecast_features", lambda c: c.make("ed_feat"), "SELECT * FROM ed_feat")
+q("F2_icu_forecast_features", lambda c: c.make("icu_feat"), "SELECT * FROM icu_feat")
+q("F3_combined_features", lambda c: c.make("combined"), "SELECT * FROM comb")
 
 
 q(
@@ -915,11 +914,7 @@ def _trained(c):
 
     linear = LinearRegression(labelCol="label", featuresCol="x")
     search = [("linear", linear, ParamGridBuilder().addGrid(linear.regParam, [0.01, 0.1]).build())]
-    hours = c.combined.persist()
-    try:
-        _, found = forecast.train(hours, "total_arrivals", search, folds=2)
-    finally:
-        hours.unpersist()
+    _, found = forecast.train(c.combined, "total_arrivals", search, folds=2)
     row = ("combined_arrivals_forecast", float(found["rmse"]), float(found["r2"]), float(found["mae"]), int(found["samples"]))
     return c.spark.createDataFrame([row], "model_name string, rmse double, r2_score double, mae double, training_samples long")
 
@@ -1066,7 +1061,7 @@ q(
 
 q(
     "X2_surrogate_keys",
-    lambda c: c.segment("PID").select(
+    lambda c: c.silver_pid.select(
         "message_id",
         v.surrogate_key("patient_id", "patient_id_authority").alias("skipping"),
         v.surrogate_key("patient_id", "patient_id_authority", nulls="blank").alias("blank"),
@@ -1081,12 +1076,12 @@ q(
 )
 q(
     "X4_entity_key",
-    lambda c: c.segment("PID").select("message_id", v.entity_key("patient_id", "date_of_birth", "race").alias("entity_key")),
+    lambda c: c.silver_pid.select("message_id", v.entity_key("patient_id", "date_of_birth", "race").alias("entity_key")),
     "SELECT message_id, md5(concat_ws('|', patient_id, date_of_birth, race)) AS entity_key FROM t_pid",
 )
 q(
     "X1_X5_X6_string_date_math",
-    lambda c: c.segment("PID").select(
+    lambda c: c.silver_pid.select(
         "message_id",
         F.concat_ws("-", "address_state", "address_zip").alias("place"),
         F.upper("address_city").alias("city"),
@@ -1112,7 +1107,7 @@ _class_map = " ".join(f"WHEN '{k}' THEN '{t}'" for k, t in v.CLASS_TEXT.items())
 _sex_map = " ".join(f"WHEN '{k}' THEN '{t}'" for k, t in v.SEX_TEXT.items())
 q(
     "X7_X12_class_text",
-    lambda c: c.segment("PV1").select(
+    lambda c: c.silver_pv1.select(
         "message_id", v.class_desc("patient_class").alias("gold"), v.class_text(F.lower("patient_class")).alias("library")
     ),
     "SELECT message_id, CASE patient_class WHEN 'I' THEN 'Inpatient' WHEN 'O' THEN 'Outpatient' WHEN 'E' THEN 'Emergency' "
@@ -1120,7 +1115,7 @@ q(
 )
 q(
     "X8_X18_abnormal",
-    lambda c: c.segment("OBX").select(
+    lambda c: c.silver_obx.select(
         "message_id", "set_id", v.is_abnormal("abnormal_flags").alias("gold"), v.is_abnormal_any("abnormal_flags").alias("library")
     ),
     "SELECT message_id, set_id, coalesce(abnormal_flags IN ('H', 'HH', 'L', 'LL', 'A', 'AA', 'C'), FALSE) AS gold, "
@@ -1128,12 +1123,12 @@ q(
 )
 q(
     "X9_severe",
-    lambda c: c.segment("AL1").select("message_id", "set_id", v.is_severe("severity_code").alias("is_severe")),
+    lambda c: c.silver_al1.select("message_id", "set_id", v.is_severe("severity_code").alias("is_severe")),
     "SELECT message_id, set_id, coalesce(severity_code IN ('SV', 'SE'), FALSE) AS is_severe FROM t_al1",
 )
 q(
     "X10_X14_numbers",
-    lambda c: c.segment("OBX").select(
+    lambda c: c.silver_obx.select(
         "message_id", "set_id", v.nm_value("value_type", "observation_value").alias("nm"), v.numeric_text("observation_value").alias("any_number")
     ),
     "SELECT message_id, set_id, CASE WHEN value_type = 'NM' THEN TRY_CAST(regexp_extract(observation_value, '^-?[0-9.]+') AS DOUBLE) END AS nm, "
@@ -1176,7 +1171,7 @@ q(
 )
 q(
     "X20_clean_id",
-    lambda c: c.segment("PID").select("message_id", v.clean_id(F.concat(F.lit(" "), F.lower("patient_id"), F.lit(" "))).alias("id")),
+    lambda c: c.silver_pid.select("message_id", v.clean_id(F.concat(F.lit(" "), F.lower("patient_id"), F.lit(" "))).alias("id")),
     "SELECT message_id, patient_id AS id FROM t_pid",
 )
 q(
@@ -1191,7 +1186,7 @@ q(
 
 
 def _labelled(c):
-    rows = c.segment("OBX").select("message_id", "set_id", "value_type", "result_status", "abnormal_flags")
+    rows = c.silver_obx.select("message_id", "set_id", "value_type", "result_status", "abnormal_flags")
     for name, col in (("value_types", "value_type"), ("result_status", "result_status"), ("abnormal_flags", "abnormal_flags")):
         rows = codes.with_code(rows, name, col, f"{col}_text")
     return rows
@@ -1216,7 +1211,7 @@ q(
 
 def _sql_functions(c):
     register_sql_functions(c.spark)
-    c.segment("PID").createOrReplaceTempView("z3_pid")
+    c.silver_pid.createOrReplaceTempView("z3_pid")
     return c.spark.sql(
         "SELECT message_id, generate_key(patient_id, race) AS k, try_numeric(address_zip) AS zip_number, "
         "format_name(patient_name_family, patient_name_given, patient_name_middle) AS name, standardize_sex(lower(sex)) AS sex_text, "

@@ -1,9 +1,7 @@
-"""The pipeline's tables over the feed, built on demand."""
+"""The pipeline's tables over the feed, stored as they are needed."""
 
 from __future__ import annotations
 
-from functools import cached_property
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,106 +9,86 @@ from checks import feed
 from checks.oracle import AS_OF
 from wardflow.operators import census, facts, features, forecast
 from wardflow.operators.messages import message_time, messages, parse_messages, stamp, with_headers
-from wardflow.operators.segments import segment_table
+from wardflow.operators.segments import SILVER, segment_table
+
+
+def _segment(kind):
+    return lambda c: c.segment(kind)
+
+
+# Stored tables, each built from the ones before it as the pipeline does.
+BUILD = {
+    **{f"silver_{k.lower()}": _segment(k) for k in SILVER},
+    "encounters": lambda c: facts.encounter_fact(c.silver_pv1),
+    "observations": lambda c: facts.observation_fact(c.silver_obx),
+    "diagnoses": lambda c: facts.diagnosis_fact(c.silver_dg1),
+    "allergies": lambda c: facts.allergy_fact(c.silver_al1),
+    "orders": lambda c: facts.order_fact(c.silver_obr),
+    "patients": lambda c: facts.patient_dim(c.silver_pid),
+    "metrics": lambda c: facts.message_metrics(c.silver_msh),
+    "activity": lambda c: facts.patient_activity(c.encounters),
+    "ed_hour": lambda c: census.ed_hourly_census(c.encounters),
+    "icu_hour": lambda c: census.icu_hourly_census(c.encounters),
+    "ed_day": lambda c: census.ed_daily_summary(c.encounters),
+    "icu_day": lambda c: census.icu_daily_summary(c.encounters),
+    "current": lambda c: census.census_current(c.encounters, c.as_of),
+    "ed_feat": lambda c: features.forecast_features(c.ed_hour, "ED"),
+    "icu_feat": lambda c: features.forecast_features(c.icu_hour, "ICU"),
+    "combined": lambda c: features.combined_features(c.ed_hour, c.icu_hour),
+    "open_predictions": lambda c: c.naive_predictions(),
+    "predictions": lambda c: forecast.backfill_actuals(c.open_predictions, c.ed_hour, c.icu_hour),
+    "accuracy": lambda c: forecast.forecast_accuracy(c.predictions),
+}
 
 
 class Context:
-    """Lazy tables for one session and data folder; times come from the messages."""
+    """The pipeline's tables for one session and data folder.
+
+    An attribute such as ``c.encounters`` is the stored table, written once per
+    session from the tables before it; ``c.make("encounters")`` computes it anew.
+    All times come from the messages.
+    """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
 
-    @cached_property
+    def make(self, name: str) -> DataFrame:
+        return BUILD[name](self)
+
+    def __getattr__(self, name: str) -> DataFrame:
+        if name not in BUILD:
+            raise AttributeError(name)
+        return feed.landed(
+            self.spark, self.sf_dir, name, lambda spark, sf_dir: Context(spark, sf_dir).make(name), spread=False
+        )
+
+    @property
     def as_of(self):
         return F.lit(AS_OF).cast("timestamp")
 
-    @cached_property
+    @property
     def files(self) -> DataFrame:
         return feed.landed_files(self.spark, self.sf_dir)
 
-    @cached_property
+    @property
     def messages(self) -> DataFrame:
         return stamp(feed.feed_messages(self.spark, self.sf_dir), message_time())
 
-    @cached_property
+    @property
     def split(self) -> DataFrame:
         return messages(self.files)
 
-    @cached_property
+    @property
     def parsed(self) -> DataFrame:
         return parse_messages(feed.feed_messages(self.spark, self.sf_dir), message_time())
 
-    @cached_property
+    @property
     def headed(self) -> DataFrame:
         return with_headers(self.messages)
 
     def segment(self, kind: str, **kw) -> DataFrame:
         return segment_table(self.headed, kind, **kw)
 
-    @cached_property
-    def encounters(self) -> DataFrame:
-        return facts.encounter_fact(self.segment("PV1"))
-
-    @cached_property
-    def observations(self) -> DataFrame:
-        return facts.observation_fact(self.segment("OBX"))
-
-    @cached_property
-    def diagnoses(self) -> DataFrame:
-        return facts.diagnosis_fact(self.segment("DG1"))
-
-    @cached_property
-    def allergies(self) -> DataFrame:
-        return facts.allergy_fact(self.segment("AL1"))
-
-    @cached_property
-    def orders(self) -> DataFrame:
-        return facts.order_fact(self.segment("OBR"))
-
-    @cached_property
-    def patients(self) -> DataFrame:
-        return facts.patient_dim(self.segment("PID"))
-
-    @cached_property
-    def metrics(self) -> DataFrame:
-        return facts.message_metrics(self.segment("MSH"))
-
-    @cached_property
-    def activity(self) -> DataFrame:
-        return facts.patient_activity(self.encounters)
-
-    @cached_property
-    def ed_hour(self) -> DataFrame:
-        return census.ed_hourly_census(self.encounters)
-
-    @cached_property
-    def icu_hour(self) -> DataFrame:
-        return census.icu_hourly_census(self.encounters)
-
-    @cached_property
-    def ed_day(self) -> DataFrame:
-        return census.ed_daily_summary(self.encounters)
-
-    @cached_property
-    def icu_day(self) -> DataFrame:
-        return census.icu_daily_summary(self.encounters)
-
-    @cached_property
-    def current(self) -> DataFrame:
-        return census.census_current(self.encounters, self.as_of)
-
-    @cached_property
-    def ed_feat(self) -> DataFrame:
-        return features.forecast_features(self.ed_hour, "ED")
-
-    @cached_property
-    def icu_feat(self) -> DataFrame:
-        return features.forecast_features(self.icu_hour, "ICU")
-
-    @cached_property
-    def combined(self) -> DataFrame:
-        return features.combined_features(self.ed_hour, self.icu_hour)
-
     def _predicted(self, points: DataFrame, model: str) -> DataFrame:
         config = next(m for m in forecast.MODELS if m.name == model)
         ident = F.md5(
@@ -127,8 +105,7 @@ class Context:
         run = F.col("feature_snapshot_hour")
         return forecast.prediction_rows(forecast.expand_horizons(points), config, "1", run, ident)
 
-    @cached_property
-    def open_predictions(self) -> DataFrame:
+    def naive_predictions(self) -> DataFrame:
         """One point per census hour: a naive forecast from the last day's mean."""
 
         def dept(table, value):
@@ -158,15 +135,7 @@ class Context:
             rows = rows.unionByName(self._predicted(points, model))
         return rows
 
-    @cached_property
-    def predictions(self) -> DataFrame:
-        return forecast.backfill_actuals(self.open_predictions, self.ed_hour, self.icu_hour)
-
-    @cached_property
-    def accuracy(self) -> DataFrame:
-        return forecast.forecast_accuracy(self.predictions)
-
-    @cached_property
+    @property
     def adt(self) -> DataFrame:
         """ADT events as one flat source, from the message header and visit."""
         visit = self.segment("PV1", wide=True)
@@ -184,7 +153,7 @@ class Context:
             F.col("patient_id").alias("patient_mrn"),
         )
 
-    @cached_property
+    @property
     def gold(self) -> dict[str, DataFrame]:
         return {
             "gold_message_metrics": self.metrics,

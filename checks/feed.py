@@ -405,16 +405,19 @@ def feed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 _LANDED: dict[tuple[str, str, str], str] = {}
 
 
-def landed(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
-    """A derived input, written once per session to the shared folder and read back.
+def landed(spark: SparkSession, sf_dir: str, name: str, build, spread: bool = True) -> DataFrame:
+    """A derived table, written once per session to the shared folder and read back.
 
-    The feed stands for messages that arrived from outside, so building their text
-    is no part of a query.
+    The feed stands for messages that arrived from outside, in many files, so
+    building their text is no part of a query.
     """
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _LANDED:
         path = f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
-        build(spark, sf_dir).write.parquet(path)
+        df = build(spark, sf_dir)
+        if spread:
+            df = df.repartition(spark.sparkContext.defaultParallelism)
+        df.write.parquet(path)
         _LANDED[key] = path
     return spark.read.parquet(_LANDED[key])
 

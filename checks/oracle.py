@@ -21,7 +21,7 @@ def table(name: str, text: str) -> None:
 
 def rnd(x: str, n: int) -> str:
     """Half-up rounding of the shortest decimal text, as Spark rounds doubles."""
-    return f"CAST(round(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38, 15)), {n}) AS DOUBLE)"
+    return f"CAST(round(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38, 20)), {n}) AS DOUBLE)"
 
 
 def mean(x: str, places: int) -> str:

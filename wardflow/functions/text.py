@@ -9,16 +9,24 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The characters trimmed from both ends of a line (Unicode blanks
-# and the control separators), as a Java regex class. Vertical tab, file
-# separator, carriage return and line feed are already gone when it is used.
-BLANK = r"[\t\f\x1D-\x1F\x20\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000]"
-
-PARSED_TYPE = (
-    "map<string,array<struct<index:int,segment:string,"
-    "fields:map<int,array<map<int,map<int,string>>>>>>>"
+# Code points trimmed from both ends of a line (Unicode blanks and
+# the control separators). Vertical tab, file separator, carriage return and line
+# feed are already gone when it is used.
+BLANKS = "".join(
+    map(
+        chr,
+        (
+            0x09, 0x0C, 0x1D, 0x1E, 0x1F, 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
+            0x2028, 0x2029, 0x202F, 0x205F, 0x3000,
+        ),
+    )
 )
 
+def _replaced(text, *pairs: tuple[str, str]) -> Column:
+    for old, new in pairs:
+        text = F.replace(text, F.lit(old), F.lit(new))
+    return text
+
 
 def split_messages(raw) -> Column:
     """Messages in one file, in order, each with its lines joined by CR.
@@ -28,19 +36,25 @@ def split_messages(raw) -> Column:
     Line ends become LF, lines are trimmed, and then a lone LF that does not end
     a message turns into CR, so the LF runs left over are the message borders.
     """
-    text = F.translate(raw, "\x0b", "")
-    text = F.regexp_replace(text, r"\x1C\r?", "\n")
-    text = F.regexp_replace(text, r"\r\n?", "\n")
-    text = F.regexp_replace(F.concat(F.lit("\n"), text), rf"\n{BLANK}++", "\n")
-    text = F.regexp_replace(text, rf"(?<!{BLANK}){BLANK}++(?=\n|\z)", "")
+    raw = F.col(raw) if isinstance(raw, str) else raw
+    ends = [("\x0b", ""), ("\x1c\r", "\n"), ("\x1c", "\n"), ("\r\n", "\n"), ("\r", "\n")]
+    lines = F.transform(
+        F.split(_replaced(raw, *ends), "\n"), lambda line: F.btrim(line, F.lit(BLANKS))
+    )
+    text = F.concat(F.lit("\n"), F.array_join(lines, "\n"))
     text = F.regexp_replace(text, r"(?<!\n)\n(?!\n|MSH\||\z)", "\r")
     found = F.filter(F.split(text, r"\n+"), lambda m: m.startswith("MSH|"))
     return F.coalesce(found, F.array().cast("array<string>"))
 
 
 def message_lines(raw) -> Column:
-    """Non-empty segment lines of a message."""
-    return F.filter(F.split(raw, "\r"), lambda line: F.length(line) > 0)
+    """Non-empty segment lines of a message, each cut at ``|``."""
+    lines = F.filter(F.split(raw, "\r"), lambda line: F.length(line) > 0)
+    return F.transform(lines, lambda line: F.split(line, r"\|"))
+
+
+def line_kind(parts) -> Column:
+    return F.substring(F.get(parts, 0), 1, 3)
 
 
 def _numbered(parts: Column, value) -> Column:
@@ -55,21 +69,27 @@ def _whole(text: Column) -> Column:
 
 
 def _repetitions(text: Column) -> Column:
-    """Repetitions of a field; most fields hold one plain value."""
+    """Repetitions of a field; most fields are empty or hold one plain value.
+
+    The empty one is a constant, so Spark builds it once per task.
+    """
     plain = ~(text.contains("~") | text.contains("^") | text.contains("&"))
     components = lambda rep: _numbered(
         F.split(rep, r"\^"), lambda comp: _numbered(F.split(comp, "&"), lambda sub: sub)
     )
-    return F.when(plain, _whole(text)).otherwise(F.transform(F.split(text, "~"), components))
+    return (
+        F.when(text == "", _whole(F.lit("")))
+        .when(plain, _whole(text))
+        .otherwise(F.transform(F.split(text, "~"), components))
+    )
 
 
-def _field_map(line: Column, header: bool) -> Column:
+def _field_map(parts: Column, header: bool) -> Column:
     """Field number -> repetitions -> component -> subcomponent.
 
     The header counts its separator as field 1 and keeps field 2 (the encoding
     characters) whole; everywhere else the split position is the field number.
     """
-    parts = F.split(line, r"\|")
     shift, first = (1, 2) if header else (0, 1)
     fields = F.transform(
         F.slice(parts, first + 1, F.size(parts)),
@@ -83,17 +103,20 @@ def _field_map(line: Column, header: bool) -> Column:
 
 
 def parse_lines(lines, kinds) -> Column:
-    """Lines and their distinct types as ``type -> repeats -> (index, segment, fields)``."""
+    """Cut lines and their distinct types as ``type -> repeats``.
+
+    A repeat is ``(index, segment, fields)`` with the index counted from 1.
+    """
 
     def repeats(kind):
-        mine = F.filter(lines, lambda line: F.substring(line, 1, 3) == kind)
+        mine = F.filter(lines, lambda parts: line_kind(parts) == kind)
         return F.transform(
             mine,
-            lambda line, i: F.struct(
+            lambda parts, i: F.struct(
                 (i + 1).alias("index"),
                 kind.alias("segment"),
-                F.when(kind == "MSH", _field_map(line, True))
-                .otherwise(_field_map(line, False))
+                F.when(kind == "MSH", _field_map(parts, True))
+                .otherwise(_field_map(parts, False))
                 .alias("fields"),
             ),
         )

@@ -21,13 +21,22 @@ NET_LAGS = (1, 6, 24)
 ROLLING = {"6h": 6, "12h": 12, "24h": 24, "7d": 168}
 
 
-def row_window(partition: list[str], order: str = "event_hour", ties: tuple[str, ...] = ()):
-    return W.partitionBy(*partition).orderBy(F.col(order).cast("long"), *ties)
+# Hour in epoch seconds: every window sorts by this one column, so one sort serves
+# them all.
+AT = "__at"
 
 
-def span_window(partition: list[str], hours: int, order: str = "event_hour"):
+def with_clock(df: DataFrame, order: str = "event_hour") -> DataFrame:
+    return df.withColumn(AT, F.col(order).cast("long"))
+
+
+def row_window(partition: list[str], ties: tuple[str, ...] = ()):
+    return W.partitionBy(*partition).orderBy(AT, *ties)
+
+
+def span_window(partition: list[str], hours: int):
     """The current hour and the ``hours`` before it: ``hours + 1`` slots."""
-    return W.partitionBy(*partition).orderBy(F.col(order).cast("long")).rangeBetween(-hours * HOUR, 0)
+    return W.partitionBy(*partition).orderBy(AT).rangeBetween(-hours * HOUR, 0)
 
 
 def lags(col: str, offsets, window, prefix: str | None = None) -> list[Column]:
@@ -71,11 +80,11 @@ def forecast_features(hourly: DataFrame, dept: str) -> DataFrame:
     """Feature vector per hour and facility from an hourly census.
 
     All windows share one partitioning and one leading sort key, so the whole
-    table takes a single shuffle.
+    table takes a single shuffle and a single sort.
     """
     by = ["location_facility"]
     rows = row_window(by, ties=("arrivals", "discharges"))
-    base = hourly.withColumns({c: F.col(c).cast("long") for c in ("arrivals", "discharges", "net_change")})
+    base = with_clock(hourly).withColumns({c: F.col(c).cast("long") for c in ("arrivals", "discharges", "net_change")})
     stepped = base.select(
         "*",
         F.lit(dept).alias("department"),
@@ -124,7 +133,7 @@ def combined_features(ed: DataFrame, icu: DataFrame) -> DataFrame:
     """
     stacked = _hour_totals(ed, "ed").unionByName(_hour_totals(icu, "icu"))
     sums = [c for c in stacked.columns if c != "event_hour"]
-    hours = stacked.groupBy("event_hour").agg(*[F.sum(c).alias(c) for c in sums])
+    hours = with_clock(stacked.groupBy("event_hour").agg(*[F.sum(c).alias(c) for c in sums]))
     w = row_window([])
     base = hours.select(
         "*",
@@ -146,7 +155,7 @@ def combined_features(ed: DataFrame, icu: DataFrame) -> DataFrame:
             F.col("icu_arrivals") > 0, F.round(F.col("ed_arrivals") / F.col("icu_arrivals"), 2)
         ).alias("ed_to_icu_ratio"),
         (F.col("ed_net_change") + F.col("icu_net_change")).alias("net_system_pressure"),
-    )
+    ).drop(AT)
 
 
 def dedup_by_key(df: DataFrame, keys: list[str], order: str, ascending: bool = False) -> DataFrame:

@@ -5,7 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardflow.functions.text import first_line, line_field, message_lines, parse_lines, split_messages
+from wardflow.functions.text import (
+    first_line,
+    line_field,
+    line_kind,
+    message_lines,
+    parse_lines,
+    split_messages,
+)
 from wardflow.functions.values import hl7_ts
 
 # Segment types with a typed form; others are reported as OTHER.
@@ -13,7 +20,12 @@ KNOWN_SEGMENTS = ("MSH", "PID", "PV1", "OBR", "OBX", "DG1", "IN1", "NK1", "EVN",
 
 
 def messages(files: DataFrame) -> DataFrame:
-    """One row per message of each file, keyed by the md5 of its text."""
+    """One row per message of each file, keyed by the md5 of its text.
+
+    The outer explode keeps Spark from adding a size test on the array, which
+    would split every file a second time; files without messages fall out by the
+    start-of-message rule.
+    """
     found = files.withColumn("messages", split_messages(F.col("raw_content")))
     one = found.select(
         "file_id",
@@ -21,7 +33,7 @@ def messages(files: DataFrame) -> DataFrame:
         F.size("messages").alias("file_message_count"),
         "file_modification_time",
         "ingested_at",
-        F.explode("messages").alias("raw_message"),
+        F.explode_outer("messages").alias("raw_message"),
     ).where(F.col("raw_message").like("MSH|%"))
     return one.select(
         F.md5("raw_message").alias("message_id"),
@@ -48,7 +60,7 @@ def stamp(df: DataFrame, parsed_at: Column | None = None) -> DataFrame:
 def parse_messages(df: DataFrame, parsed_at: Column | None = None) -> DataFrame:
     """Message rows with the nested ``hl7`` map and ``parsed_at``."""
     cut = df.withColumn("__lines", message_lines(F.col("raw_message")))
-    kinds = F.array_distinct(F.transform("__lines", lambda line: F.substring(line, 1, 3)))
+    kinds = F.array_distinct(F.transform("__lines", line_kind))
     typed = cut.withColumn("__kinds", kinds)
     parsed = typed.withColumn("hl7", parse_lines(F.col("__lines"), F.col("__kinds")))
     return stamp(parsed.drop("__lines", "__kinds"), parsed_at)

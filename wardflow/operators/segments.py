@@ -38,7 +38,7 @@ LAYOUTS = {
         message_control_id 10, processing_id 11, version_id 12""",
         wide="encoding_characters 2, security 8",
         carries=("parsed_at",),
-        rule="message_type IS NOT NULL AND message_control_id IS NOT NULL",
+        rule="message_type != '' AND message_control_id != ''",
     ),
     "PID": Layout(
         """patient_id 3.1, patient_id_authority 3.4, patient_name_family 5.1,
@@ -49,7 +49,7 @@ LAYOUTS = {
         patient_name_suffix 5.4, patient_alias 9, address_country 11.6, phone_business 14,
         language 15, religion 17, ssn 19, drivers_license 20, ethnicity 22,
         death_indicator 30""",
-        rule="patient_id IS NOT NULL AND patient_id != ''",
+        rule="patient_id != ''",
     ),
     "PV1": Layout(
         """patient_class 2, location_point_of_care 3.1, location_room 3.2, location_bed 3.3,
@@ -83,7 +83,7 @@ LAYOUTS = {
         producer_id 15""",
         wide="probability 9, nature_of_abnormal_test 10, responsible_observer 16",
         repeats=True,
-        rule="observation_id IS NOT NULL AND observation_id != ''",
+        rule="observation_id != ''",
     ),
     "DG1": Layout(
         """diagnosis_coding_method 2, diagnosis_code 3.1, diagnosis_description 3.2,
@@ -92,7 +92,7 @@ LAYOUTS = {
         wide="""major_diagnostic_category 7, diagnostic_related_group 8,
         drg_approval_indicator 9, drg_grouper_review_code 10, diagnosing_clinician 16""",
         repeats=True,
-        rule="diagnosis_code IS NOT NULL AND diagnosis_code != ''",
+        rule="diagnosis_code != ''",
     ),
     "AL1": Layout(
         """allergen_type_code 2.1, allergen_type_text 2.2, allergen_code 3.1,
@@ -137,14 +137,26 @@ def _pick(parts: Column, place: str, header: bool, whole: bool) -> Column:
     return line_field(parts, int(number), int(comp) if comp else (0 if whole else 1), header)
 
 
-def layout_columns(kind: str, parts: Column, wide: bool = False) -> list[Column]:
-    """Output columns of a segment type from a line split at ``|``."""
+# Columns that the message row already has, by the table they belong to.
+HEADERS = {
+    "MSH": ("message_type", "trigger_event", "sending_facility", "message_control_id"),
+    "PID": ("patient_id",),
+}
+
+
+def layout_columns(kind: str, parts: Column, wide: bool = False, known=()) -> list[Column]:
+    """Output columns of a segment type from a line split at ``|``.
+
+    Columns in ``known`` are taken from the row as they are, which also lets a
+    drop rule on them run before the line is cut up.
+    """
     layout = LAYOUTS[kind]
     out = []
     for text, whole in ((layout.columns, False), (layout.wide if wide else "", True)):
         for item in filter(None, (x.split() for x in text.split(","))):
             name, place = item
-            out.append(_pick(parts, place, kind == "MSH", whole).alias(name))
+            value = F.col(name) if name in known else _pick(parts, place, kind == "MSH", whole)
+            out.append(value.alias(name))
     return out
 
 
@@ -163,6 +175,7 @@ def segment_table(df: DataFrame, kind: str, wide: bool = False, rule: bool = Tru
     own = {c for c, *_ in (x.split() for x in layout.columns.split(","))}
     lead = ["message_id"] + [c for c in ("patient_id",) if c not in own and kind != "MSH"]
     carried = [c for c in layout.carries if c not in own]
+    known: tuple[str, ...] = ()
     if layout.repeats:
         rows = rows.select(
             *lead, *carried, F.posexplode(segment_lines(raw, kind)).alias("__pos", "__line")
@@ -170,10 +183,11 @@ def segment_table(df: DataFrame, kind: str, wide: bool = False, rule: bool = Tru
         lead = [*lead, (F.col("__pos") + 1).alias("set_id")]
         line = F.col("__line")
     else:
-        rows = rows.select(*lead, *carried, first_line(raw, kind).alias("__line"))
+        known = HEADERS.get(kind, ())
+        rows = rows.select(*lead, *carried, *known, first_line(raw, kind).alias("__line"))
         line = F.col("__line")
     rows = rows.withColumn("__parts", F.split(line, r"\|"))
-    table = rows.select(*lead, *layout_columns(kind, F.col("__parts"), wide), *carried)
+    table = rows.select(*lead, *layout_columns(kind, F.col("__parts"), wide, known), *carried)
     return table.where(layout.rule) if rule and layout.rule else table
 
 
