@@ -22,6 +22,9 @@ from wardflow.operators import messages as msgs
 from wardflow.plans import adt, reports, status
 from wardflow.sources import tables as store
 from wardflow.sources.bus import messages_from
+from wardflow.sources.files import read_files
+from wardflow.sources.publish import publish_all
+from wardflow.streaming.ingest import read_silver, start_ingest
 
 Entry = tuple[Callable[[Context], DataFrame], str | None]
 QUERIES: dict[str, Entry] = {}
@@ -166,7 +169,7 @@ for _id, _kind, _table in (
     ("G12", "ORC", "t_orc"),
 ):
     q(f"{_id}_{_kind.lower()}", lambda c, k=_kind: c.segment(k), f"SELECT * FROM {_table}")
-q("G4_pv1", lambda c: c.silver_pv1, "SELECT * EXCLUDE (admit_at, discharge_at, fin, dispo) FROM t_pv1")
+q("G4_pv1", lambda c: c.make("silver_pv1"), "SELECT * EXCLUDE (admit_at, discharge_at, fin, dispo) FROM t_pv1")
 q(
     "G13_wide_pid",
     lambda c: c.segment("PID", wide=True).select(
@@ -1092,7 +1095,7 @@ q(
         F.weekofyear("parsed_at").alias("week"),
         F.dayofweek("parsed_at").alias("dow"),
         F.date_sub(F.to_date("parsed_at"), 7).alias("week_ago"),
-        F.unix_timestamp("parsed_at").alias("epoch"),
+        (F.unix_timestamp("parsed_at") - F.unix_timestamp(F.lit("2024-01-01 00:00:00").cast("timestamp"))).alias("epoch"),
         F.pow(F.hour("parsed_at").cast("double"), F.lit(2)).alias("hour_squared"),
         F.try_divide(F.hour("parsed_at"), F.dayofmonth("parsed_at") - 5).alias("guarded"),
     ),
@@ -1100,7 +1103,7 @@ q(
     "regexp_extract(address_zip, '^([0-9]{5})', 1) AS zip5, replace(address_street, 'MAIN', 'OAK') AS street, "
     "split_part(address_street, ' ', 1) AS house, CAST(parsed_at AS DATE) AS day, "
     f"{INT('week(parsed_at)')} AS week, {INT('dayofweek(parsed_at) + 1')} AS dow, CAST(parsed_at AS DATE) - 7 AS week_ago, "
-    f"{BIG('epoch(parsed_at)')} AS epoch, pow(hour(parsed_at), 2) AS hour_squared, "
+    f"{BIG('epoch(parsed_at) - epoch(TIMESTAMP ' + chr(39) + '2024-01-01 00:00:00' + chr(39) + ')')} AS epoch, pow(hour(parsed_at), 2) AS hour_squared, "
     "CASE WHEN day(parsed_at) <> 5 THEN hour(parsed_at) / (day(parsed_at) - 5)::DOUBLE END AS guarded FROM t_pid",
 )
 _class_map = " ".join(f"WHEN '{k}' THEN '{t}'" for k, t in v.CLASS_TEXT.items())
@@ -1242,6 +1245,71 @@ q(
     _bus,
     "SELECT rtrim(raw_message, chr(13)) AS raw_message, 'hl7' AS source_file, 1 AS file_message_count, parsed_at AS file_modification_time FROM msg",
 )
+
+
+def _landing(c, **kw):
+    return read_files(c.spark, feed.landing_folder(c.spark, c.sf_dir), glob="*.txt", recursive=True, **kw)
+
+
+q(
+    "S1_S2_read_files",
+    lambda c: msgs.messages(_landing(c))
+    .groupBy(F.regexp_extract("source_file", "file_id=(file-[0-9]+)", 1).alias("file"), F.length("file_id").alias("id_size"))
+    .agg(F.count("*").alias("message_rows"), F.max("file_message_count").alias("file_message_count")),
+    f"SELECT 'file-' || CAST({_file_no} AS VARCHAR) AS file, 32 AS id_size, count(*) AS message_rows, "
+    f"{INT('count(*)')} AS file_message_count FROM msg GROUP BY 1",
+)
+
+
+def _streamed(c):
+    out, checkpoint = feed.new_path(c.spark, "stream"), feed.new_path(c.spark, "checkpoint")
+    folder = feed.landing_folder(c.spark, c.sf_dir)
+    start_ingest(
+        c.spark, folder, out, checkpoint, parsed_at=msgs.message_time(), glob="*.txt", recursive=True, max_files=1000
+    ).awaitTermination()
+    return read_silver(c.spark, out, "PV1")
+
+
+q("R1_S3_stream_ingest", _streamed, "SELECT * EXCLUDE (admit_at, discharge_at, fin, dispo) FROM t_pv1")
+
+
+def _copied(c):
+    source, out = feed.new_path(c.spark, "table"), feed.new_path(c.spark, "copy")
+    store.write_table(c.encounters, source, ("created_at",))
+    rows = store.read_table(c.spark, source, streaming=True)
+    store.write_stream(rows, out, feed.new_path(c.spark, "checkpoint")).awaitTermination()
+    return store.read_table(c.spark, out)
+
+
+q("S5_S6_S7_S8_stream_table", _copied, "SELECT * FROM enc")
+
+
+def _appended(c):
+    out = feed.new_path(c.spark, "append")
+    for priority in ("R", "S", "A"):
+        store.append_table(c.orders.where(F.col("priority") == priority), out)
+    return store.read_table(c.spark, out)
+
+
+q("S9_append_table", _appended, "SELECT * FROM ord")
+
+
+def _published(c):
+    source = feed.new_path(c.spark, "gold")
+    store.write_table(c.diagnoses, f"{source}/gold_diagnosis_fact")
+    store.write_table(c.allergies, f"{source}/gold_allergy_fact")
+    store.write_table(c.orders.where("priority IS NULL"), f"{source}/gold_order_fact")
+    names = ["gold_diagnosis_fact", "gold_allergy_fact", "gold_order_fact", "gold_patient_dim"]
+    return publish_all(c.spark, source, feed.new_path(c.spark, "serving"), names)
+
+
+q(
+    "S13_publish_report",
+    _published,
+    "SELECT 'gold_diagnosis_fact' AS \"table\", 'SUCCESS' AS status, count(*) AS rows, CAST(NULL AS VARCHAR) AS error FROM dx UNION ALL "
+    "SELECT 'gold_allergy_fact', 'SUCCESS', count(*), NULL FROM alg UNION ALL "
+    "SELECT 'gold_order_fact', 'SKIPPED_EMPTY', 0, NULL UNION ALL SELECT 'gold_patient_dim', 'SKIPPED_NOT_FOUND', 0, NULL",
+)
 q(
     "S12_sanitize",
     lambda c: store.sanitize(

@@ -413,7 +413,7 @@ def landed(spark: SparkSession, sf_dir: str, name: str, build, spread: bool = Tr
     """
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _LANDED:
-        path = f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+        path = new_path(spark, name)
         df = build(spark, sf_dir)
         if spread:
             df = df.repartition(spark.sparkContext.defaultParallelism)
@@ -433,3 +433,18 @@ def feed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def landed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return landed(spark, sf_dir, "files", feed_files)
+
+
+def landing_folder(spark: SparkSession, sf_dir: str) -> str:
+    """The feed as text files, one folder per file, written once per session."""
+    key = (spark.sparkContext.applicationId, sf_dir, "landing")
+    if key not in _LANDED:
+        path = new_path(spark, "landing")
+        files = landed_files(spark, sf_dir).select("file_id", F.col("raw_content").alias("value"))
+        files.write.partitionBy("file_id").text(path)
+        _LANDED[key] = path
+    return _LANDED[key]
+
+
+def new_path(spark: SparkSession, name: str) -> str:
+    return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"

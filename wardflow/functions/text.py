@@ -69,19 +69,12 @@ def _whole(text: Column) -> Column:
 
 
 def _repetitions(text: Column) -> Column:
-    """Repetitions of a field; most fields are empty or hold one plain value.
-
-    The empty one is a constant, so Spark builds it once per task.
-    """
+    """Repetitions of a field; most fields hold one plain value."""
     plain = ~(text.contains("~") | text.contains("^") | text.contains("&"))
     components = lambda rep: _numbered(
         F.split(rep, r"\^"), lambda comp: _numbered(F.split(comp, "&"), lambda sub: sub)
     )
-    return (
-        F.when(text == "", _whole(F.lit("")))
-        .when(plain, _whole(text))
-        .otherwise(F.transform(F.split(text, "~"), components))
-    )
+    return F.when(plain, _whole(text)).otherwise(F.transform(F.split(text, "~"), components))
 
 
 def _field_map(parts: Column, header: bool) -> Column:
@@ -89,11 +82,16 @@ def _field_map(parts: Column, header: bool) -> Column:
 
     The header counts its separator as field 1 and keeps field 2 (the encoding
     characters) whole; everywhere else the split position is the field number.
+    Empty fields, most of a message, get no entry: they read as NULL either way.
     """
     shift, first = (1, 2) if header else (0, 1)
-    fields = F.transform(
+    numbered = F.transform(
         F.slice(parts, first + 1, F.size(parts)),
-        lambda text, i: F.struct((i + first + shift).alias("k"), _repetitions(text).alias("v")),
+        lambda text, i: F.struct((i + first + shift).alias("k"), text.alias("t")),
+    )
+    fields = F.transform(
+        F.filter(numbered, lambda f: f["t"] != ""),
+        lambda f: F.struct(f["k"].alias("k"), _repetitions(f["t"]).alias("v")),
     )
     if header:
         mark = lambda k, text: F.struct(F.lit(k).alias("k"), _whole(text).alias("v"))

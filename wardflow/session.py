@@ -29,6 +29,9 @@ def build_session(app: str = "wardflow", master: str | None = None, **conf) -> S
     return builder.getOrCreate()
 
 
+_SCRATCH: dict[str, str] = {}
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder from ``spark.checkpoint.dir``.
 
@@ -40,4 +43,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return shared
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    return tempfile.mkdtemp(prefix="wardflow-")
+    app = spark.sparkContext.applicationId
+    if app not in _SCRATCH:
+        _SCRATCH[app] = tempfile.mkdtemp(prefix="wardflow-")
+    return _SCRATCH[app]
