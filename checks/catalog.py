@@ -7,6 +7,7 @@ An entry is ``name: (frame from a Context, SQL or None)``. SQL names the tables
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -911,18 +912,45 @@ q(
 )
 
 
-def _trained(c):
+def _linear():
     from pyspark.ml.regression import LinearRegression
     from pyspark.ml.tuning import ParamGridBuilder
 
     linear = LinearRegression(labelCol="label", featuresCol="x")
-    search = [("linear", linear, ParamGridBuilder().addGrid(linear.regParam, [0.01, 0.1]).build())]
-    _, found = forecast.train(c.combined, "total_arrivals", search, folds=2)
-    row = ("combined_arrivals_forecast", float(found["rmse"]), float(found["r2"]), float(found["mae"]), int(found["samples"]))
-    return c.spark.createDataFrame([row], "model_name string, rmse double, r2_score double, mae double, training_samples long")
+    return [("linear", linear, ParamGridBuilder().addGrid(linear.regParam, [0.01, 0.1]).build())]
 
 
-q("F5_F6_train", _trained)
+SYSTEM = forecast.MODELS[-1]
+
+
+def _metadata(c):
+    fitted, found = forecast.train(c.combined, SYSTEM.target, _linear(), folds=2)
+    path = feed.new_path(c.spark, "model")
+    fitted.write().overwrite().save(path)
+    row = {
+        "model_name": SYSTEM.name,
+        "model_version": "1",
+        "training_timestamp": datetime.fromisoformat(AS_OF),
+        "rmse": float(found["rmse"]),
+        "r2_score": float(found["r2"]),
+        "mae": float(found["mae"]),
+        "best_trial_description": found["best_trial"],
+        "run_id": "run",
+        "training_samples": int(found["samples"]),
+        "champion": True,
+        "model_path": path,
+    }
+    return forecast.training_metadata(c.spark, [row])
+
+
+def _champion_run(c):
+    fitted, version = forecast.champion(_metadata(c), SYSTEM.name)
+    points = forecast.latest_score(forecast.score(forecast.latest_rows(c.combined), fitted, SYSTEM))
+    return forecast.prediction_rows(forecast.expand_horizons(points), SYSTEM, version, c.as_of)
+
+
+q("F5_F6_train", lambda c: _metadata(c).drop("model_path"))
+q("F7_champion_run", _champion_run)
 _last48 = "SELECT * FROM ed_feat ORDER BY event_hour DESC, location_facility DESC NULLS LAST LIMIT 48"
 q("F8_latest_rows", lambda c: forecast.latest_rows(c.ed_feat), _last48)
 

@@ -104,6 +104,18 @@ def test_a_replayed_batch_leaves_no_duplicates(spark, landing, tmp_path):
     assert read_silver(spark, str(tmp_path), "EVN").count() == rows.where("raw_message LIKE '%EVN|%'").count()
 
 
+def test_continuous_trigger(spark, landing, batch, tmp_path):
+    query = start_ingest(
+        spark, landing, str(tmp_path / "o"), str(tmp_path / "c"), {"processingTime": "1 second"}, message_time(), max_bytes="200k"
+    )
+    try:
+        query.processAllAvailable()
+        assert same(read_silver(spark, str(tmp_path / "o"), "PV1"), read_silver(spark, batch, "PV1"))
+        assert query.isActive
+    finally:
+        query.stop()
+
+
 def test_bus_stream(spark, landing, tmp_path):
     """Any streaming frame with message text feeds the same ingest."""
     sent = read_files(spark, landing, streaming=True).select(

@@ -17,12 +17,22 @@ def _with_lineage(df: DataFrame) -> DataFrame:
     )
 
 
+SIZE_UNITS = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
+
+
+def size_in_bytes(size: str | int) -> int:
+    """Bytes of a size such as ``10g``; Spark's option wants a plain number."""
+    text = str(size).strip().lower()
+    unit = SIZE_UNITS.get(text[-1:])
+    return int(text[:-1]) * unit if unit else int(text)
+
+
 def _reader(spark: SparkSession, streaming: bool, max_files, max_bytes):
     reader = spark.readStream if streaming else spark.read
     if streaming and max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     if streaming and max_bytes:
-        reader = reader.option("maxBytesPerTrigger", max_bytes)
+        reader = reader.option("maxBytesPerTrigger", size_in_bytes(max_bytes))
     return reader
 
 
