@@ -43,7 +43,8 @@ def publish_jdbc(df: DataFrame, url: str, table: str, partitions: int = 16, **pr
     """Replace a database table from the executors, 1000 rows per insert.
 
     The target is truncated, not dropped, so its keys and grants stay. At most
-    ``partitions`` connections are open at a time.
+    ``partitions`` connections are open at a time: the database, not the scan, sets
+    the pace.
     """
     (
         df.coalesce(partitions)
