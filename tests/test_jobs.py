@@ -166,8 +166,9 @@ def test_forecast_loop(spark, gold, tmp_path):
     moved.write.parquet(str(tmp_path / "g" / "gold_forecast_predictions"))
     for name in ("gold_ed_hourly_census", "gold_icu_hourly_census"):
         store.write_table(store.read_table(spark, f"{gold}/{name}"), str(tmp_path / "g" / name))
-    assert backfill(spark, str(tmp_path / "g"), str(tmp_path / "filled"))
-    filled = store.read_table(spark, str(tmp_path / "filled"))
+    assert backfill(spark, str(tmp_path / "g"), str(tmp_path / "staged"))
+    filled = store.read_table(spark, str(tmp_path / "g" / "gold_forecast_predictions"))
+    assert not backfill(spark, str(tmp_path / "nothing"))
     assert filled.count() == 20
     scored = filled.where("actual_value IS NOT NULL")
     assert {r["forecast_horizon_hours"] for r in scored.collect()} == {1}

@@ -64,16 +64,22 @@ def _numbered(parts: Column, value) -> Column:
     )
 
 
+def _single(value: Column) -> Column:
+    return F.create_map(F.lit(1), value)
+
+
 def _whole(text: Column) -> Column:
-    return F.array(F.create_map(F.lit(1), F.create_map(F.lit(1), text)))
+    return F.array(_single(_single(text)))
+
+
+def _subcomponents(text: Column) -> Column:
+    return F.when(text.contains("&"), _numbered(F.split(text, "&"), lambda sub: sub)).otherwise(_single(text))
 
 
 def _repetitions(text: Column) -> Column:
     """Repetitions of a field; most fields hold one plain value."""
     plain = ~(text.contains("~") | text.contains("^") | text.contains("&"))
-    components = lambda rep: _numbered(
-        F.split(rep, r"\^"), lambda comp: _numbered(F.split(comp, "&"), lambda sub: sub)
-    )
+    components = lambda rep: _numbered(F.split(rep, r"\^"), _subcomponents)
     return F.when(plain, _whole(text)).otherwise(F.transform(F.split(text, "~"), components))
 
 

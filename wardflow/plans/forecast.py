@@ -70,18 +70,22 @@ def predict_all(spark: SparkSession, gold: str, run_ts=None) -> int:
     return ran
 
 
-def backfill(spark: SparkSession, gold: str, out: str) -> bool:
-    """Write the predictions with known actuals filled in to ``out``.
+def backfill(spark: SparkSession, gold: str, staging: str | None = None) -> bool:
+    """Fill known actuals into the prediction table; False when there is none yet.
 
-    False when there are no predictions yet. Point readers at ``out`` afterwards.
+    Parquet has no update in place, so the filled table is written next to the
+    old one first and then takes its place. If the job dies in between, the
+    staged copy is whole and the next run can start from either.
     """
     path = f"{gold}/gold_forecast_predictions"
     if not table_exists(spark, path):
         return False
+    staged = staging or f"{gold}/staged_forecast_predictions"
     filled = fc.backfill_actuals(
         read_table(spark, path),
         read_table(spark, f"{gold}/gold_ed_hourly_census"),
         read_table(spark, f"{gold}/gold_icu_hourly_census"),
     )
-    write_table(filled, out)
+    write_table(filled, staged)
+    write_table(read_table(spark, staged), path)
     return True
