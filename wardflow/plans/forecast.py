@@ -75,7 +75,7 @@ def backfill(spark: SparkSession, gold: str, staging: str | None = None) -> bool
 
     Parquet has no update in place, so the filled table is written next to the
     old one first and then takes its place. If the job dies in between, the
-    staged copy is whole and the next run can start from either.
+    staged copy is whole and can be put in its place by hand.
     """
     path = f"{gold}/gold_forecast_predictions"
     if not table_exists(spark, path):
