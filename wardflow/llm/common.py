@@ -23,11 +23,21 @@ SPACE_BYTES = SPACES.encode()
 SLICE_BYTES = 4 << 20
 
 
+#: Lets Spark delete an execution's shuffle files when it ends; nothing needs them after a written step.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """``df`` written to the shared folder and read back, which cuts its lineage."""
-    path = f"{checkpoint_dir(df.sparkSession)}/corpus/{label}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark)}/corpus/{label}-{uuid.uuid4().hex}"
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def id_text(docs: DataFrame) -> DataFrame:

@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from wardflow.llm.exact_dedup import exact_dedup
+from wardflow.llm.near_dedup import near_dedup
 from wardflow.llm.packing import pack
+from wardflow.llm.quality_cascade import judge_quality
+from wardflow.llm.secret_scan import scan_secrets
 
 
 def _documents(operator: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -19,11 +22,69 @@ def _pages(operator: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_secret_scan": _documents(scan_secrets),
+    "op4_quality_cascade": _documents(judge_quality),
+    "op6_minhash_near_dedup": _documents(near_dedup),
     "op7_exact_dedup": _documents(exact_dedup),
     "op10_best_fit_packing": _documents(pack),
 }
 
 ORACLE: dict[str, str] = {
+    "op4_quality_cascade": r"""
+        WITH t AS (SELECT doc_id, coalesce(text, '') AS x FROM documents),
+        w AS (SELECT doc_id, x, regexp_extract_all(x, '[^\x20\x09-\x0D]+') AS words FROM t),
+        p AS (SELECT doc_id, unnest(words) AS word, unnest(range(len(words))) AS i FROM w),
+        q AS (
+            SELECT doc_id, i, word AS a, lead(word, 1) OVER o AS b, lead(word, 2) OVER o AS c, lead(word, 3) OVER o AS d,
+                lead(word, 4) OVER o AS e
+            FROM p WINDOW o AS (PARTITION BY doc_id ORDER BY i)
+        ),
+        r AS (
+            SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, a, b, c, d, e) > 1 AS again FROM q WHERE e IS NOT NULL
+        ),
+        u AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM r, unnest([0, 1, 2, 3, 4]) AS s(k) WHERE again GROUP BY doc_id),
+        l AS (SELECT doc_id, unnest(string_split(x, chr(10))) AS line FROM t),
+        d AS (
+            SELECT doc_id, count(*) FILTER (WHERE regexp_matches(line, '[^\x20\x09-\x0D]')) AS n,
+                count(DISTINCT line) FILTER (WHERE regexp_matches(line, '[^\x20\x09-\x0D]')) AS m, count(*) AS lines
+            FROM l GROUP BY doc_id
+        ),
+        f AS (
+            SELECT w.doc_id, x, len(words)::BIGINT AS n_words, length(regexp_replace(x, '[\x20\x09-\x0D]', '', 'g')) AS word_chars,
+                length(x) - length(translate(x, '#*$%&|<>', '')) AS n_symbols, (d.n - d.m) AS n_dup_lines,
+                coalesce(u.n, 0) AS n_repeat_words, d.lines,
+                length(x) - length(regexp_replace(x, '\pL', '', 'g')) AS letters,
+                length(x) - length(regexp_replace(x, '\p{Lu}', '', 'g')) AS capitals,
+                length(x) - length(translate(x, '!?', '')) AS marks
+            FROM w JOIN d USING (doc_id) LEFT JOIN u USING (doc_id)
+        ),
+        g AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM f)
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+            NOT base_failed AND 10 * n_symbols <= word_chars AND 2 * n_dup_lines <= lines
+            AND 2 * n_words <= word_chars AND word_chars <= 20 * n_words AND 2 * capitals <= word_chars
+            AND 2 * letters >= word_chars AND 4 * marks <= n_words AS kept
+        FROM g
+    """,
+    "op6_minhash_near_dedup": r"""
+        WITH RECURSIVE t AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words FROM documents
+        ),
+        s AS (
+            SELECT DISTINCT doc_id, array_to_string(words[i + 1 : i + 3], ' ') AS shingle
+            FROM (SELECT doc_id, words, unnest(range(greatest(len(words) - 2, 1))) AS i FROM t WHERE len(words) > 0)
+        ),
+        n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+        met AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b USING (shingle) GROUP BY ALL),
+        link AS (
+            SELECT a, b FROM met JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)
+        ),
+        reach(a, b) AS (SELECT a, b FROM link UNION SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a),
+        low AS (SELECT a AS doc_id, min(b) AS c FROM reach GROUP BY a)
+        SELECT t.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(low.c, t.doc_id) AS component_id,
+            coalesce(low.c, t.doc_id) = t.doc_id AS kept
+        FROM t LEFT JOIN n USING (doc_id) LEFT JOIN low USING (doc_id)
+    """,
     "op7_exact_dedup": r"""
         WITH t AS (
             SELECT doc_id, length(coalesce(text, '')) AS n, sha256(translate(coalesce(text, ''), E' \t\n\x0b\f\r', '')) AS h
