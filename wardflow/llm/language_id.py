@@ -88,7 +88,7 @@ def text_model(rows: DataFrame, languages: tuple[str, ...] = LANGUAGES) -> np.nd
     known = rows.where(F.col("tag").isin(*languages)).select("tag", "text")
     found = known.mapInArrow(_counted(languages), "language int, bucket int, n long")
     # At most languages x BUCKETS rows, whatever the corpus.
-    for x in found.groupBy("language", "bucket").agg(F.sum("n").alias("n")).toLocalIterator():
+    for x in found.groupBy("language", "bucket").agg(F.sum("n").alias("n")).collect():
         counts[x["language"], x["bucket"]] += x["n"]
     return np.log(counts / counts.sum(axis=1, keepdims=True))
 
@@ -143,28 +143,28 @@ def identify(rows: DataFrame, languages: tuple[str, ...] = LANGUAGES) -> DataFra
     )
     judged = stored(clean.mapInArrow(_judged(model, keep), schema).withColumn("domain", domain_of(F.col("host"))), "votes")
 
+    sums = [F.sum(F.when(F.col("letters"), F.col("vote")[i]).otherwise(0.0)) for i in k]
+
     def votes(*by: str) -> DataFrame:
-        name = by[0] if by else "all"
-        sums = [F.sum(F.when(F.col("letters"), F.col("vote")[i]).otherwise(0.0)) for i in k]
-        return judged.groupBy(*by).agg(F.array(*sums).alias(f"{name}_votes"))
+        return judged.groupBy(*by).agg(F.array(*sums).alias(f"{by[0]}_votes"))
 
-    # One row per host; the domain's and the corpus's votes are joined to that smaller table.
-    hosts = stored(
-        votes("host", "domain").join(votes("domain"), "domain").crossJoin(F.broadcast(votes())).drop("domain"), "host-votes"
-    )
+    corpus_votes = [x or 0.0 for x in judged.agg(*sums).first()]  # one number per language
+    # One row per host; the domain's votes are joined to that smaller table.
+    hosts = stored(votes("host", "domain").join(votes("domain"), "domain").drop("domain"), "host-votes")
     fused = judged.join(hosts, "host").join(votes("tag"), "tag").join(votes("suffix"), "suffix")
 
     def less_own(name: str, i: int) -> Column:
         """What the other rows say; never under zero by rounding."""
         own = F.when(F.col("letters"), F.col("vote")[i]).otherwise(0.0)
-        return F.greatest(F.col(f"{name}_votes")[i] - own, F.lit(0.0))
+        among = F.lit(corpus_votes[i]) if name == "corpus" else F.col(f"{name}_votes")[i]
+        return F.greatest(among - own, F.lit(0.0))
 
     def total(name: str) -> Column:
         return sum((less_own(name, i) for i in k), F.lit(0.0))
 
     scores = []
     for i in k:
-        corpus = (less_own("all", i) + 1.0) / (total("all") + float(len(languages)))
+        corpus = (less_own("corpus", i) + 1.0) / (total("corpus") + float(len(languages)))
         domain = (less_own("domain", i) + DOMAIN_ROWS * corpus) / (total("domain") + DOMAIN_ROWS)
         host = (less_own("host", i) + HOST_ROWS * domain) / (total("host") + HOST_ROWS)
         # P(tag | language) up to a factor: how much more often it goes with the language than the corpus does.

@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from wardflow.llm.exact_dedup import exact_dedup
+from wardflow.llm.language_id import identify_documents
+from wardflow.llm.mixing import MARGINS, ROUNDS, TEMPER, mix
 from wardflow.llm.near_dedup import near_dedup
 from wardflow.llm.packing import pack
 from wardflow.llm.quality_cascade import judge_quality
@@ -24,11 +26,52 @@ def _pages(operator: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_secret_scan": _documents(scan_secrets),
     "op4_quality_cascade": _documents(judge_quality),
+    "op5_mix_sources": _documents(mix),
     "op6_minhash_near_dedup": _documents(near_dedup),
     "op7_exact_dedup": _documents(exact_dedup),
+    "op8_language_id": _documents(identify_documents),
     "op10_best_fit_packing": _documents(pack),
 }
 
+
+
+def _raking_sql() -> str:
+    """The mixing operator in SQL: one pair of steps per round and margin."""
+    steps, last = [], "c"
+    for margin in MARGINS:
+        steps.append(
+            f"t_{margin} AS (SELECT {margin}, pow(sum(tokens), {TEMPER}) / sum(pow(sum(tokens), {TEMPER})) OVER () AS target"
+            f" FROM c GROUP BY {margin})"
+        )
+    for turn in range(ROUNDS):
+        for margin in MARGINS:
+            here = f"r{turn}_{margin}"
+            steps.append(
+                f"{here} AS MATERIALIZED (SELECT source, language, topic, tokens, weight * target / has AS weight FROM {last}"
+                f" JOIN t_{margin} USING ({margin}) JOIN (SELECT {margin}, sum(weight) AS has FROM {last} GROUP BY {margin})"
+                f" USING ({margin}))"
+            )
+            last = here
+    return rf"""
+        WITH d AS MATERIALIZED (
+            SELECT doc_id, coalesce(source, '') AS source, coalesce(lang, '') AS language, CASE
+                WHEN regexp_matches(x, '(?i)\b(licen[sc]ed? under|all rights reserved|released under)') THEN 'legal'
+                WHEN (length(x) - length(translate(x, '#*$%&|<>{{}}=;', ''))) * 20 > length(x) THEN 'symbols'
+                WHEN length(x) < 1000 THEN 'brief' WHEN length(x) < 10000 THEN 'article' ELSE 'long' END AS topic,
+                greatest(len(regexp_extract_all(x, '[^\x20\x09-\x0D]+')), 1)::BIGINT AS tokens
+            FROM (SELECT *, coalesce(text, '') AS x FROM documents)
+        ),
+        c AS MATERIALIZED (
+            SELECT source, language, topic, sum(tokens)::BIGINT AS tokens, sum(tokens)::DOUBLE AS weight FROM d GROUP BY ALL
+        ),
+        {", ".join(steps)},
+        p AS (SELECT source, language, topic, weight / tokens / max(weight / tokens) OVER () AS p FROM {last})
+        SELECT doc_id, source, language, topic, d.tokens, round(p, 9) AS p,
+            ('0x' || md5('mix:' || doc_id)[1:13])::BIGINT::DOUBLE / 4503599627370496.0 < p AS drawn
+        FROM d JOIN p USING (source, language, topic)
+    """.replace("\\\\", "\\")
+
+
 ORACLE: dict[str, str] = {
     "op4_quality_cascade": r"""
         WITH t AS (SELECT doc_id, coalesce(text, '') AS x FROM documents),
@@ -65,6 +108,7 @@ ORACLE: dict[str, str] = {
             AND 2 * letters >= word_chars AND 4 * marks <= n_words AS kept
         FROM g
     """,
+    "op5_mix_sources": _raking_sql(),
     "op6_minhash_near_dedup": r"""
         WITH RECURSIVE t AS (
             SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
