@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from wardflow.llm.exact_dedup import exact_dedup
+from wardflow.llm.html_extract import extract
 from wardflow.llm.language_id import identify_documents
 from wardflow.llm.mixing import MARGINS, ROUNDS, TEMPER, mix
 from wardflow.llm.near_dedup import near_dedup
@@ -24,6 +25,7 @@ def _pages(operator: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_html_extraction": _pages(extract),
     "op3_secret_scan": _documents(scan_secrets),
     "op4_quality_cascade": _documents(judge_quality),
     "op5_mix_sources": _documents(mix),
