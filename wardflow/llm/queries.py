@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from wardflow.llm.exact_dedup import exact_dedup
 from wardflow.llm.html_extract import extract
 from wardflow.llm.language_id import identify_documents
+from wardflow.llm.license_scan import NOTICES, SPELLINGS, scan_licenses
 from wardflow.llm.mixing import MARGINS, ROUNDS, TEMPER, mix
 from wardflow.llm.near_dedup import near_dedup
 from wardflow.llm.packing import pack
@@ -26,6 +27,7 @@ def _pages(operator: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_extraction": _pages(extract),
+    "op2_license_scan": _documents(scan_licenses),
     "op3_secret_scan": _documents(scan_secrets),
     "op4_quality_cascade": _documents(judge_quality),
     "op5_mix_sources": _documents(mix),
@@ -74,7 +76,32 @@ def _raking_sql() -> str:
     """.replace("\\\\", "\\")
 
 
+def _canonical_sql(text: str) -> str:
+    out = f"lower({text})"
+    out = rf"regexp_replace({out}, '(?m)^[ \t]*(?:\(c\)|©|copyright(?: [^\n]*)?$)', ' ', 'g')"
+    for spelling, same in SPELLINGS:
+        out = f"regexp_replace({out}, '{spelling}', '{same.replace('$', chr(92))}', 'g')"
+    return rf"trim(regexp_replace({out}, '[^\pL\pN]+', ' ', 'g'))"
+
+
+def _license_sql() -> str:
+    values = ", ".join("('{}', '{}')".format(a, b.replace("'", "''")) for a, b in NOTICES)
+    return f"""
+        WITH k AS (SELECT DISTINCT license, {_canonical_sql("text")} AS form FROM (VALUES {values}) AS v(license, text)),
+        u AS (
+            SELECT doc_id, {_canonical_sql("text")} AS form, true AS whole FROM documents WHERE text IS NOT NULL
+            UNION ALL
+            SELECT doc_id, {_canonical_sql("line")} AS form, false FROM (
+                SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents WHERE text IS NOT NULL
+            )
+        )
+        SELECT doc_id, license, bool_or(whole) AS whole, count(*) FILTER (WHERE NOT whole) AS n_lines
+        FROM u JOIN k USING (form) WHERE form != '' GROUP BY doc_id, license
+    """
+
+
 ORACLE: dict[str, str] = {
+    "op2_license_scan": _license_sql(),
     "op4_quality_cascade": r"""
         WITH t AS (SELECT doc_id, coalesce(text, '') AS x FROM documents),
         w AS (SELECT doc_id, x, regexp_extract_all(x, '[^\x20\x09-\x0D]+') AS words FROM t),
