@@ -15,6 +15,7 @@ from wardflow.llm.near_dedup import near_dedup
 from wardflow.llm.packing import pack
 from wardflow.llm.quality_cascade import judge_quality
 from wardflow.llm.secret_scan import scan_secrets
+from wardflow.llm.token_counts import document_tokens
 
 
 def _documents(operator: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -34,6 +35,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_minhash_near_dedup": _documents(near_dedup),
     "op7_exact_dedup": _documents(exact_dedup),
     "op8_language_id": _documents(identify_documents),
+    "op9_token_counts": _documents(document_tokens),
     "op10_best_fit_packing": _documents(pack),
 }
 
