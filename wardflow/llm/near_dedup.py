@@ -14,7 +14,8 @@ together lose none found by the bands, yet never write all pairs of a group:
 
 * every class against the smallest id of each of its buckets;
 * in buckets whose members are not all connected by then, every class outside the component of
-  the smallest id against all members of other components.
+  the smallest id against all members of other components, within tasks that write no more links
+  than connect their block.
 
 Pairs whose sketches agree in too few coordinates to be similar are left out before sets are
 compared. Buckets are cut into blocks of bounded size, whatever their share of the rows.
@@ -46,7 +47,7 @@ COORDINATES = BANDS * ROWS
 #: and fewer than this have a probability of about one in a million.
 AGREE = 81
 #: Sizes of the blocks in which a bucket is compared: classes outside its main component, members.
-OUTSIDE, MEMBERS = 512, 4096
+OUTSIDE, MEMBERS = 256, 1024
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _FREE = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -153,32 +154,52 @@ def _near_hub(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield part.select(["a", "b"]).filter(pa.array(near))
 
 
+def _linked(x: np.ndarray, y: np.ndarray) -> bool:
+    """Whether two sets, given as ascending distinct hashes, are similar enough."""
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * both >= LINK * (len(x) + len(y) - both)
+
+
 def _across(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Blocks in order, their outside classes first: pairs of different components that agree."""
+    """Blocks in order: links between classes of different components, no more than connect the block."""
     here, outside, members = None, [], []
 
-    def pairs() -> Iterator[pa.RecordBatch]:
-        if outside and members:
-            a, b = (
-                [np.array([r[i] for r in rows]) for i in (0, 1, 2)] + [np.frombuffer(b"".join(r[3] for r in rows), np.uint8).reshape(len(rows), -1)]
-                for rows in (outside, members)
-            )
-            for k in range(len(outside)):
-                near = _agreeing(a[3][k], b[3], a[2][k], b[2]) & (a[1][k] != b[1])
-                if near.any():
-                    other = b[0][near]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.maximum(other, a[0][k])), pa.array(np.minimum(other, a[0][k]))], names=["a", "b"]
-                    )
+    def links() -> Iterator[pa.RecordBatch]:
+        if not outside or not members:
+            return
+        node, part, n, sketch = ([r[i] for r in members] for i in range(4))
+        part, n = np.array(part), np.array(n)
+        sketch = np.frombuffer(b"".join(sketch), np.uint8).reshape(len(members), -1)
+        own = {p: p for p in [*part.tolist(), *(r[1] for r in outside)]}
+
+        def root(p: int) -> int:
+            while own[p] != p:
+                own[p] = own[own[p]]
+                p = own[p]
+            return p
+
+        found = []
+        for a, a_part, a_n, a_sketch, a_items in outside:
+            near = _agreeing(np.frombuffer(a_sketch, np.uint8), sketch, np.full(len(n), a_n), n) & (part != a_part)
+            for k in np.flatnonzero(near):
+                x, y = root(a_part), root(int(part[k]))
+                if x != y and _linked(a_items, members[k][4]):
+                    own[max(x, y)] = min(x, y)
+                    found.append((max(a, node[k]), min(a, node[k])))
+        if found:
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], names=["a", "b"])
 
     columns = ("bucket", "chunk", "block", "outside", "node", "component", "n", "sketch")
-    for part in slices(batches, "sketch", 1 << 20):
-        for *key, is_outside, node, component, n, sketch in zip(*(part.column(c).to_pylist() for c in columns)):
+    for batch in batches:
+        items = batch.column("items")
+        for i, (*key, is_outside, node, component, n, sketch) in enumerate(zip(*(batch.column(c).to_pylist() for c in columns))):
             if key != here:
-                yield from pairs()
+                yield from links()
                 here, outside, members = key, [], []
-            (outside if is_outside else members).append((node, component, n, sketch))
-    yield from pairs()
+            # A copy, so that the batch can go before its block is complete.
+            row = (node, component, n, sketch, items[i].values.to_numpy(zero_copy_only=False).copy())
+            (outside if is_outside else members).append(row)
+    yield from links()
 
 
 def _confirmed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -187,11 +208,7 @@ def _confirmed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not part.num_rows:
             continue
         a, b = (part.column(c) for c in ("items_a", "items_b"))
-        good = []
-        for x, y in zip(a, b):
-            x, y = (v.values.to_numpy(zero_copy_only=False) for v in (x, y))
-            both = len(np.intersect1d(x, y, assume_unique=True))
-            good.append(100 * both >= LINK * (len(x) + len(y) - both))
+        good = [_linked(*(v.values.to_numpy(zero_copy_only=False) for v in pair)) for pair in zip(a, b)]
         yield part.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
 
@@ -265,10 +282,9 @@ def near_dedup(docs: DataFrame) -> DataFrame:
     left = opened.where("outside").withColumn("chunk", spread(chunks, 1)).withColumn("block", every(blocks))
     right = opened.withColumn("block", spread(blocks, 2)).withColumn("chunk", every(chunks)).withColumn("outside", F.lit(False))
     columns = ["bucket", "chunk", "block", "outside", "node", "component"]
-    laid = left.select(columns).union(right.select(columns)).join(plain, "node")
+    laid = left.select(columns).union(right.select(columns)).join(plain, "node").join(sets, "node")
     laid = laid.repartition("bucket", "chunk", "block").sortWithinPartitions("bucket", "chunk", "block", F.desc("outside"))
-    across = stored(laid.mapInArrow(_across, "a long, b long").distinct(), "across")
-    more = _verified(across, sets, "more-links")
+    more = stored(laid.mapInArrow(_across, "a long, b long"), "more-links")
     parts = stored(components(nodes, links.union(more)), "components")
 
     label = classes.join(parts, "node", "left").select("digest", F.coalesce("component", "node").alias("component"))
