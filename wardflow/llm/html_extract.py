@@ -174,7 +174,8 @@ def suffix_array(tokens: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray
     while width < depth:
         step = min(width, depth - width)
         ahead = np.full(len(rank), -1, np.int64)
-        ahead[: len(rank) - step] = rank[step:]
+        if step < len(rank):
+            ahead[:-step] = rank[step:]
         rank = np.unique(rank * (len(rank) + 1) + ahead + 1, return_inverse=True)[1].astype(np.int64)
         width += step
     return np.argsort(rank, kind="stable"), rank
