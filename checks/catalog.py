@@ -496,8 +496,8 @@ q(
     "A12_prediction_summary",
     lambda c: forecast.prediction_summary(c.predictions),
     "SELECT model_name, department, target_metric, forecast_horizon_hours, count(*) AS prediction_count, "
-    f"{rnd(mean('predicted_value', 2), 2)} AS avg_predicted, {rnd(mean('actual_value', 0), 2)} AS avg_actual, "
-    f"{rnd(mean('absolute_error', 2), 2)} AS avg_error, {rnd(mean(_raw_pct, 6), 1)} AS mape_pct FROM pred GROUP BY ALL",
+    f"{rnd(mean('predicted_value'), 2)} AS avg_predicted, {rnd(mean('actual_value'), 2)} AS avg_actual, "
+    f"{rnd(mean('absolute_error'), 2)} AS avg_error, {rnd(mean(_raw_pct), 1)} AS mape_pct FROM pred GROUP BY ALL",
 )
 q(
     "A13_encounter_trend",
@@ -506,8 +506,8 @@ q(
 )
 _acc_sum = (
     "SELECT model_name, department, target_metric, forecast_horizon_hours, count(*) AS total_periods, "
-    f"{rnd(mean('mae', 2), 2)} AS avg_mae, {rnd(mean('mape', 2), 1)} AS avg_mape_pct, "
-    f"{rnd(mean('coverage_pct', 1), 1)} AS avg_coverage_pct, {SUM('prediction_count')} AS total_predictions FROM acc GROUP BY ALL"
+    f"{rnd(mean('mae'), 2)} AS avg_mae, {rnd(mean('mape'), 1)} AS avg_mape_pct, "
+    f"{rnd(mean('coverage_pct'), 1)} AS avg_coverage_pct, {SUM('prediction_count')} AS total_predictions FROM acc GROUP BY ALL"
 )
 q("A14_accuracy_summary", lambda c: reports.accuracy_summary(c.accuracy), _acc_sum)
 q("A15_demographics", lambda c: reports.demographics(c.patients), "SELECT sex, count(*) AS patient_count FROM dim GROUP BY 1")
@@ -533,8 +533,8 @@ q("A18_observation_summary", lambda c: reports.observation_summary(c.observation
 _abn = rnd("abnormal_count / obs_count * 100", 1)
 q(
     "A19_abnormal_rate",
-    lambda c: reports.abnormal_rate(reports.observation_summary(c.observations)),
-    f"SELECT count(*) AS tests_tracked, {SUM('obs_count')} AS total_observations, {rnd(mean(_abn, 1), 1)} AS abnormal_rate_pct FROM ({_obs_sum})",
+    lambda c: reports.abnormal_rate(reports.observation_summary(c.observations, None)),
+    f"SELECT count(*) AS tests_tracked, {SUM('obs_count')} AS total_observations, {rnd(mean(_abn), 1)} AS abnormal_rate_pct FROM ({_obs_sum.removesuffix(' LIMIT 20')})",
 )
 q(
     "A20_abnormal_flags",
@@ -776,13 +776,13 @@ q(
 q(
     "A57_ed_trend_averages",
     lambda c: reports.trend_averages(c.ed_day),
-    f"SELECT {rnd('avg(total_arrivals)', 1)} AS avg_daily_arrivals, {rnd(mean('avg_los_minutes', 1), 1)} AS avg_los_minutes, "
+    f"SELECT {rnd('avg(total_arrivals)', 1)} AS avg_daily_arrivals, {rnd(mean('avg_los_minutes'), 1)} AS avg_los_minutes, "
     f"{rnd('avg(unique_patients)', 1)} AS avg_unique_patients, count(*) AS total_days FROM ed_day",
 )
 q(
     "A57_icu_trend_averages",
     lambda c: reports.trend_averages(c.icu_day),
-    f"SELECT {rnd('avg(total_arrivals)', 1)} AS avg_daily_arrivals, {rnd(mean('avg_los_hours', 1), 1)} AS avg_los_hours, "
+    f"SELECT {rnd('avg(total_arrivals)', 1)} AS avg_daily_arrivals, {rnd(mean('avg_los_hours'), 1)} AS avg_los_hours, "
     f"{rnd('avg(beds_used)', 1)} AS avg_beds_used, count(*) AS total_days FROM icu_day",
 )
 _newest = "forecast_generated_at = (SELECT max(forecast_generated_at) FROM pred)"
@@ -799,8 +799,8 @@ q(
 q(
     "A60_scoreboard",
     lambda c: reports.scoreboard(reports.accuracy_summary(c.accuracy)),
-    f"SELECT count(DISTINCT model_name) AS models_tracked, {rnd(mean('avg_mae', 2), 2)} AS overall_avg_mae, "
-    f"{rnd(mean('avg_mape_pct', 1), 1)} AS overall_avg_mape FROM ({_acc_sum})",
+    f"SELECT count(DISTINCT model_name) AS models_tracked, {rnd(mean('avg_mae'), 2)} AS overall_avg_mae, "
+    f"{rnd(mean('avg_mape_pct'), 1)} AS overall_avg_mape FROM ({_acc_sum})",
 )
 q(
     "A61_ratio_series",
@@ -1244,7 +1244,7 @@ def _sql_functions(c):
     register_sql_functions(c.spark)
     c.silver_pid.createOrReplaceTempView("z3_pid")
     return c.spark.sql(
-        "SELECT message_id, generate_key(patient_id, race) AS k, try_numeric(address_zip) AS zip_number, "
+        "SELECT message_id, generate_key(array(patient_id, race)) AS k, try_numeric(address_zip) AS zip_number, "
         "format_name(patient_name_family, patient_name_given, patient_name_middle) AS name, standardize_sex(lower(sex)) AS sex_text, "
         "standardize_patient_class(marital_status) AS class_text, is_abnormal(race) AS odd FROM z3_pid"
     )

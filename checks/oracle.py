@@ -24,11 +24,10 @@ def rnd(x: str, n: int) -> str:
     return f"CAST(round(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38, 20)), {n}) AS DOUBLE)"
 
 
-def mean(x: str, places: int) -> str:
-    """Mean over whole numbers of 10^-places."""
-    s = 10**places
-    whole = f"CAST(round(({x}) * {s}) AS BIGINT)"
-    return f"(CAST(sum({whole}) AS DOUBLE) / nullif(count({whole}) * {s}, 0))"
+def mean(x: str) -> str:
+    """Mean of the exact decimal sum."""
+    exact = f"CAST({x} AS DECIMAL(38, 10))"
+    return f"(CAST(sum({exact}) AS DOUBLE) / nullif(count({exact}), 0))"
 
 
 def n(x: str) -> str:
@@ -423,9 +422,9 @@ _pct = rnd("abs(predicted_value - actual_value) / actual_value * 100", 2)
 table(
     "acc",
     "SELECT CAST(target_hour AS DATE) AS prediction_date, model_name, model_version, department, target_metric, "
-    f"forecast_horizon_hours, count(*) AS prediction_count, {rnd(mean('absolute_error', 2), 2)} AS mae, "
-    f"{rnd(mean('absolute_error * absolute_error', 4), 2)} AS mse, "
-    f"{rnd(mean(f'CASE WHEN actual_value > 0 THEN {_pct} END', 2), 2)} AS mape, "
+    f"forecast_horizon_hours, count(*) AS prediction_count, {rnd(mean('absolute_error'), 2)} AS mae, "
+    f"{rnd(mean('absolute_error * absolute_error'), 2)} AS mse, "
+    f"{rnd(mean(f'CASE WHEN actual_value > 0 THEN {_pct} END'), 2)} AS mape, "
     f"{rnd('avg(CASE WHEN actual_value >= prediction_lower_bound AND actual_value <= prediction_upper_bound THEN 1 ELSE 0 END) * 100', 1)} "
     "AS coverage_pct FROM pred WHERE actual_value IS NOT NULL GROUP BY ALL",
 )

@@ -124,7 +124,7 @@ def test_keys(spark):
 def test_sql_functions(spark):
     assert len(register_sql_functions(spark)) == 6
     row = spark.sql(
-        "SELECT generate_key('a', NULL, 'b') AS k, generate_key() AS r, try_numeric('<5 x') AS n, is_abnormal('cr') AS ab, "
+        "SELECT generate_key(array('a', NULL, '', 'b')) AS k, generate_key(array()) AS r, try_numeric('<5 x') AS n, is_abnormal('cr') AS ab, "
         "is_abnormal(CAST(NULL AS STRING)) AS no, format_name('Doe', 'Jo', '') AS name, standardize_sex('u') AS s, "
         "standardize_patient_class('q') AS c"
     ).first()

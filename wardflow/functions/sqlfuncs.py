@@ -9,8 +9,6 @@ from pyspark.sql import SparkSession
 
 from wardflow.functions.values import ABNORMAL_ANY, CLASS_TEXT, SEX_TEXT
 
-KEY_PARTS = 8
-
 
 def _lookup(arg: str, table: dict[str, str]) -> str:
     pairs = ", ".join(f"'{k}', '{v}'" for k, v in table.items())
@@ -20,15 +18,14 @@ def _lookup(arg: str, table: dict[str, str]) -> str:
 def register_sql_functions(spark: SparkSession) -> list[str]:
     """Create the session's SQL functions; returns their names.
 
-    ``generate_key`` takes up to eight values. Empty ones are skipped, and with
-    none left it gives a random id.
+    ``generate_key`` takes an array of any number of values. Empty ones are
+    skipped, and with none left it gives a random id.
     """
-    parts = [f"p{i}" for i in range(1, KEY_PARTS + 1)]
-    joined = "concat_ws('|', " + ", ".join(f"nullif({p}, '')" for p in parts) + ")"
+    joined = "array_join(filter(parts, x -> x != ''), '|')"
     flags = ", ".join(f"'{x}'" for x in ABNORMAL_ANY)
     functions = {
         "generate_key": (
-            ", ".join(f"{p} STRING DEFAULT NULL" for p in parts),
+            "parts ARRAY<STRING>",
             "STRING",
             f"CASE WHEN {joined} != '' THEN md5({joined}) ELSE replace(uuid(), '-', '') END",
         ),

@@ -208,12 +208,11 @@ def when_run(as_of=None) -> Column:
     return as_of if isinstance(as_of, Column) else F.lit(as_of).cast("timestamp")
 
 
-def steady_avg(c, places: int) -> Column:
-    """Mean of values that carry at most ``places`` decimals.
+def steady_avg(c) -> Column:
+    """Mean that does not depend on the order in which tasks finish.
 
-    The sum runs over whole numbers, so it is the same for every task order and a
-    mean that ends in a 5 always rounds the same way.
+    The sum runs over decimals of ten places, so it is exact for every value with
+    as many, and a mean that ends in a 5 always rounds the same way.
     """
-    scale = 10**places
-    whole = F.round(_col(c) * scale).cast("long")
-    return F.try_divide(F.sum(whole), F.count(whole) * scale)
+    exact = _col(c).cast("decimal(38,10)")
+    return F.try_divide(F.sum(exact).cast("double"), F.count(exact))

@@ -161,11 +161,14 @@ def combined_features(ed: DataFrame, icu: DataFrame) -> DataFrame:
 def dedup_by_key(df: DataFrame, keys: list[str], order: str, ascending: bool = False) -> DataFrame:
     """One row per key: the latest (or earliest) by ``order``.
 
-    Spark keeps the first row per key within each task before the shuffle, so a
-    key with very many rows does not land on one task whole.
+    Rows that are equal in it go by all other columns, so the result does not
+    change from run to run. Spark keeps the first row per key within each task
+    before the shuffle, so a key with very many rows does not land on one task
+    whole.
     """
     by = F.col(order).asc() if ascending else F.col(order).desc()
-    ranked = df.withColumn("__row", F.row_number().over(W.partitionBy(*keys).orderBy(by)))
+    rest = [c for c, kind in df.dtypes if c not in (*keys, order) and "map<" not in kind]
+    ranked = df.withColumn("__row", F.row_number().over(W.partitionBy(*keys).orderBy(by, *rest)))
     return ranked.where("__row = 1").drop("__row")
 
 
@@ -181,9 +184,16 @@ def cumulative_census(hourly: DataFrame) -> DataFrame:
 
 
 def running_net(hourly: DataFrame) -> DataFrame:
-    """Running net change over census rows, by hour then facility."""
-    w = W.orderBy("event_hour", F.col("location_facility").asc_nulls_first(), "arrivals", "discharges")
-    return hourly.select(
-        "*",
-        F.sum("net_change").over(w.rowsBetween(W.unboundedPreceding, W.currentRow)).alias("running_net"),
-    )
+    """Running net change over census rows, by hour then facility.
+
+    Facilities run within their hour, in parallel; only the hours' totals, at most
+    8 784 a year, are run through in one task.
+    """
+    totals = hourly.groupBy(F.col("event_hour").alias("__hour")).agg(F.sum("net_change").alias("__net"))
+    earlier = F.sum("__net").over(W.orderBy("__hour").rowsBetween(W.unboundedPreceding, -1))
+    before = totals.select("__hour", F.coalesce(earlier, F.lit(0)).alias("__before"))
+    w = W.partitionBy("event_hour").orderBy(F.col("location_facility").asc_nulls_first(), "arrivals", "discharges")
+    within = F.sum("net_change").over(w.rowsBetween(W.unboundedPreceding, W.currentRow))
+    placed = hourly.withColumn("__within", within)
+    joined = placed.join(before, placed["event_hour"].eqNullSafe(before["__hour"]))
+    return joined.select(*hourly.columns, (F.col("__before") + F.col("__within")).alias("running_net"))

@@ -14,7 +14,8 @@ def subset(df: DataFrame, col: str, values) -> DataFrame:
 
 
 def facility_subset(df: DataFrame, values, col: str = "location_facility") -> DataFrame:
-    return subset(df, col, values) if col in df.columns else df
+    """Rows of the given facilities; a frame without the column is an error."""
+    return subset(df, col, values)
 
 
 def date_range(df: DataFrame, col: str, start, end) -> DataFrame:
@@ -29,8 +30,10 @@ def date_range(df: DataFrame, col: str, start, end) -> DataFrame:
 
 def day_kind(df: DataFrame, choice: str = "All") -> DataFrame:
     """``All``, ``Weekdays`` or ``Weekends``."""
-    if choice == "All" or "is_weekend" not in df.columns:
+    if choice == "All":
         return df
+    if choice not in ("Weekdays", "Weekends"):
+        raise ValueError(f"day kind {choice!r} is none of All, Weekdays, Weekends")
     return df.where(F.col("is_weekend") == (1 if choice == "Weekends" else 0))
 
 

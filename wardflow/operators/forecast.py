@@ -310,9 +310,9 @@ def forecast_accuracy(predictions: DataFrame) -> DataFrame:
         )
         .agg(
             F.count("*").alias("prediction_count"),
-            F.round(steady_avg("absolute_error", 2), 2).alias("mae"),
-            F.round(steady_avg(F.pow("absolute_error", F.lit(2)), 4), 2).alias("mse"),
-            F.round(steady_avg(pct, 2), 2).alias("mape"),
+            F.round(steady_avg("absolute_error"), 2).alias("mae"),
+            F.round(steady_avg(F.pow("absolute_error", F.lit(2))), 2).alias("mse"),
+            F.round(steady_avg(pct), 2).alias("mape"),
             F.round(F.avg(F.when(inside, 1).otherwise(0)) * 100, 1).alias("coverage_pct"),
         )
     )
@@ -326,10 +326,10 @@ def prediction_summary(predictions: DataFrame) -> DataFrame:
         predictions.groupBy("model_name", "department", "target_metric", "forecast_horizon_hours")
         .agg(
             F.count("*").alias("prediction_count"),
-            F.round(steady_avg("predicted_value", 2), 2).alias("avg_predicted"),
-            F.round(steady_avg("actual_value", 0), 2).alias("avg_actual"),
-            F.round(steady_avg("absolute_error", 2), 2).alias("avg_error"),
-            F.round(steady_avg(pct, 6), 1).alias("mape_pct"),
+            F.round(steady_avg("predicted_value"), 2).alias("avg_predicted"),
+            F.round(steady_avg("actual_value"), 2).alias("avg_actual"),
+            F.round(steady_avg("absolute_error"), 2).alias("avg_error"),
+            F.round(steady_avg(pct), 1).alias("mape_pct"),
         )
         .orderBy("model_name", "forecast_horizon_hours", "department", "target_metric")
     )

@@ -145,7 +145,7 @@ def trend_averages(summary: DataFrame) -> DataFrame:
     crowd = "beds_used" if "beds_used" in summary.columns else "unique_patients"
     return summary.agg(
         F.round(F.avg("total_arrivals"), 1).alias("avg_daily_arrivals"),
-        F.round(steady_avg(stay, 1), 1).alias(stay),
+        F.round(steady_avg(stay), 1).alias(stay),
         F.round(F.avg(crowd), 1).alias(f"avg_{crowd}"),
         F.count("*").alias("total_days"),
     )
@@ -188,7 +188,7 @@ def top_diagnoses(diagnoses: DataFrame, n: int = 20) -> DataFrame:
     return _ranked(named, keys, "diagnosis_count", n, patients)
 
 
-def observation_summary(observations: DataFrame, n: int = 20) -> DataFrame:
+def observation_summary(observations: DataFrame, n: int | None = 20) -> DataFrame:
     value = "observation_value_numeric"
     return _ranked(
         observations.where("observation_id IS NOT NULL"),
@@ -208,7 +208,7 @@ def abnormal_rate(summary: DataFrame) -> DataFrame:
     return summary.agg(
         F.count("*").alias("tests_tracked"),
         F.sum("obs_count").alias("total_observations"),
-        F.round(steady_avg(pct, 1), 1).alias("abnormal_rate_pct"),
+        F.round(steady_avg(pct), 1).alias("abnormal_rate_pct"),
     )
 
 
@@ -468,9 +468,9 @@ def accuracy_summary(forecast_accuracy: DataFrame) -> DataFrame:
         forecast_accuracy.groupBy("model_name", "department", "target_metric", "forecast_horizon_hours")
         .agg(
             F.count("*").alias("total_periods"),
-            F.round(steady_avg("mae", 2), 2).alias("avg_mae"),
-            F.round(steady_avg("mape", 2), 1).alias("avg_mape_pct"),
-            F.round(steady_avg("coverage_pct", 1), 1).alias("avg_coverage_pct"),
+            F.round(steady_avg("mae"), 2).alias("avg_mae"),
+            F.round(steady_avg("mape"), 1).alias("avg_mape_pct"),
+            F.round(steady_avg("coverage_pct"), 1).alias("avg_coverage_pct"),
             F.sum("prediction_count").alias("total_predictions"),
         )
         .orderBy("model_name", "forecast_horizon_hours", "department", "target_metric")
@@ -481,8 +481,8 @@ def scoreboard(summary: DataFrame) -> DataFrame:
     """Models tracked, and their mean MAE and MAPE."""
     return summary.agg(
         F.count_distinct("model_name").alias("models_tracked"),
-        F.round(steady_avg("avg_mae", 2), 2).alias("overall_avg_mae"),
-        F.round(steady_avg("avg_mape_pct", 1), 1).alias("overall_avg_mape"),
+        F.round(steady_avg("avg_mae"), 2).alias("overall_avg_mae"),
+        F.round(steady_avg("avg_mape_pct"), 1).alias("overall_avg_mape"),
     )
 
 
@@ -532,9 +532,9 @@ def feature_sample(table: DataFrame, n: int = 24) -> DataFrame:
 
 
 def feature_long(table: DataFrame, cols: list[str]) -> DataFrame:
-    """One row per hour and feature, for the first six columns given."""
-    wide = table.select("event_hour", *[F.col(c).cast("double").alias(c) for c in cols[:6]])
-    return wide.unpivot("event_hour", cols[:6], "feature", "value")
+    """One row per hour and feature, for all columns given."""
+    wide = table.select("event_hour", *[F.col(c).cast("double").alias(c) for c in cols])
+    return wide.unpivot("event_hour", cols, "feature", "value")
 
 
 def combined_latest(combined: DataFrame) -> DataFrame:

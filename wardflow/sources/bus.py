@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Settings a bus reader starts from.
-BUS_DEFAULTS = {"startingOffsets": "latest", "failOnDataLoss": "false"}
+#: Every record once: from the first one kept, and an error when some are gone. Callers may opt out.
+BUS_DEFAULTS = {"startingOffsets": "earliest", "failOnDataLoss": "true"}
 
 
 def read_bus(spark: SparkSession, servers: str, topic: str, **options) -> DataFrame:

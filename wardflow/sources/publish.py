@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +21,7 @@ SERVING_KEYS = {
     "gold_forecast_accuracy": [
         "prediction_date",
         "model_name",
+        "model_version",
         "department",
         "target_metric",
         "forecast_horizon_hours",
@@ -70,15 +73,27 @@ def publish_snapshot(df: DataFrame, target: str, table: str, **properties) -> in
 
 
 def clear_target(spark: SparkSession, target: str, table: str, **properties) -> None:
-    """Empty a published table, when there is one, keeping its columns."""
-    jdbc = target.startswith("jdbc:")
-    try:
-        if jdbc:
-            old = spark.read.jdbc(target, table, properties={k: str(v) for k, v in properties.items()})
-        else:
+    """Empty a published table, when there is one, keeping its columns.
+
+    Only a missing table is passed over; a refused connection or a broken table
+    is the caller's to report.
+    """
+    if target.startswith("jdbc:"):
+        options = {k: str(v) for k, v in properties.items()}
+        try:
+            old = spark.read.jdbc(target, table, properties=options)
+        except Exception as err:
+            # Drivers differ in how they name a missing table: SQL states 42P01, 42S02 and 42000-series texts.
+            if re.search(r"42P01|42S02|does not exist|doesn't exist|not found|no such table", str(err), re.I):
+                return
+            raise
+    else:
+        try:
             old = spark.read.parquet(f"{target}/{table}")
-    except Exception:  # nothing there to empty; drivers differ in what they raise
-        return
+        except AnalysisException as err:
+            if err.getCondition() == "PATH_NOT_FOUND":
+                return
+            raise
     publish_snapshot(spark.createDataFrame([], old.schema), target, table, **properties)
 
 
@@ -104,5 +119,5 @@ def publish_all(
             rows = publish_snapshot(df, target, table, **properties)
             report.append((table, "SUCCESS" if rows else "SKIPPED_EMPTY", rows, None))
         except Exception as err:  # reported per table
-            report.append((table, "FAILED", 0, str(err)[:500]))
+            report.append((table, "FAILED", 0, str(err)))
     return spark.createDataFrame(report, REPORT_SCHEMA)
