@@ -20,12 +20,23 @@ from wardflow.functions.sqlfuncs import register_sql_functions
 from wardflow.functions.text import field, first_segment
 from wardflow.operators import census, codes, features, filters, forecast, quality
 from wardflow.operators import messages as msgs
+from wardflow.operators.report import message_report
+from wardflow.operators.segments import SILVER
 from wardflow.plans import adt, reports, status
 from wardflow.sources import tables as store
 from wardflow.sources.bus import messages_from
 from wardflow.sources.files import read_files
 from wardflow.sources.publish import publish_all
-from wardflow.streaming.ingest import read_silver, start_ingest
+from wardflow.streaming.ingest import (
+    FILES,
+    MESSAGES,
+    ingest_batch,
+    read_ingested,
+    read_quarantine,
+    read_silver,
+    read_violations,
+    start_ingest,
+)
 
 Entry = tuple[Callable[[Context], DataFrame], str | None]
 QUERIES: dict[str, Entry] = {}
@@ -262,24 +273,27 @@ def _rejects(c, kind):
 
 
 def _all_reports(c):
-    out = None
-    for kind in FAILS:
-        one = quality.rule_report(_rejects(c, kind), quality.rules_for(kind, AS_OF), kind)
-        out = one if out is None else out.unionByName(one)
-    return out
+    return message_report(c.messages, {kind: quality.rules_for(kind, AS_OF) for kind in FAILS})
+
+
+def _one_report(c):
+    return quality.rule_report(_rejects(c, "OBX"), quality.rules_for("OBX", AS_OF), "OBX")
 
 
 _action = {r.name: r.action for rules in quality.RULES.values() for r in rules}
-q(
-    "Q2_Q9_rule_report",
-    _all_reports,
-    " UNION ALL ".join(
+
+
+def _report_sql(kinds):
+    return " UNION ALL ".join(
         f"SELECT '{kind}' AS segment, '{rule}' AS rule, '{_action[rule]}' AS action, count(*) AS rows_checked, "
-        f"count(*) FILTER ({fails}) AS failures, count(*) FILTER ({fails}) / count(*)::DOUBLE AS failure_rate FROM {src}"
-        for kind, (src, rules) in FAILS.items()
-        for rule, fails in rules.items()
-    ),
-)
+        f"count(*) FILTER ({fails}) AS failures, count(*) FILTER ({fails}) / count(*)::DOUBLE AS failure_rate FROM {FAILS[kind][0]}"
+        for kind in kinds
+        for rule, fails in FAILS[kind][1].items()
+    )
+
+
+q("Q2_Q9_rule_report", _all_reports, _report_sql(FAILS))
+q("Q9_table_report", _one_report, _report_sql(["OBX"]))
 q(
     "Q3_expect_warn",
     lambda c: quality.apply_rules(c.silver_pv1, quality.rules_for("PV1", AS_OF))[0],
@@ -290,12 +304,25 @@ q(
     lambda c: quality.apply_rules(_rejects(c, "OBX"), quality.PIPELINE_RULES["OBX"])[0],
     "SELECT * FROM t_obx",
 )
+_code_present = quality.Rule("code_present", "", "diagnosis_code IS NOT NULL", quality.FAIL)
+
+
+def _fails_on_bad_rows(c):
+    """Rows of the clean table, and whether the same rule stops on the table with bad rows."""
+    good = quality.apply_rules(c.silver_dg1, [_code_present])[0].groupBy("diagnosis_code").agg(F.count("*").alias("n"))
+    try:
+        quality.apply_rules(_rejects(c, "DG1"), [_code_present])[0].write.format("noop").mode("overwrite").save()
+        stopped = False
+    except Exception as err:
+        stopped = "code_present" in str(err)
+    return good.withColumn("stopped_on_bad_rows", F.lit(stopped))
+
+
 q(
     "Q5_expect_or_fail",
-    lambda c: quality.apply_rules(
-        c.silver_dg1, [quality.Rule("code_present", "", "diagnosis_code IS NOT NULL", quality.FAIL)]
-    )[0].groupBy("diagnosis_code").agg(F.count("*").alias("n")),
-    "SELECT diagnosis_code, count(*) AS n FROM t_dg1 GROUP BY 1",
+    _fails_on_bad_rows,
+    "SELECT diagnosis_code, count(*) AS n, (SELECT count(*) FROM raw_dg1 WHERE diagnosis_code IS NULL) > 0 AS stopped_on_bad_rows "
+    "FROM t_dg1 GROUP BY 1",
 )
 q(
     "Q6_Q7_rules_by_action_as_expectations",
@@ -1298,7 +1325,56 @@ def _streamed(c):
     return read_silver(c.spark, out, "PV1")
 
 
-q("R1_S3_stream_ingest", _streamed, "SELECT * EXCLUDE (admit_at, discharge_at, fin, dispo) FROM t_pv1")
+q("R1_R2_R3_S3_stream_ingest", _streamed, "SELECT * EXCLUDE (admit_at, discharge_at, fin, dispo) FROM t_pv1")
+
+
+def _ingested(c):
+    """The feed ingested as two runs into one folder, the first of them twice; once per session."""
+    key = (c.spark.sparkContext.applicationId, c.sf_dir)
+    if key not in _INGESTED:
+        out, folder = feed.new_path(c.spark, "ingested"), feed.landing_folder(c.spark, c.sf_dir)
+        for half in ("[02468]", "[13579]", "[02468]"):
+            ingest_batch(c.spark, f"{folder}/file_id=file-*{half}", out, msgs.message_time(), glob="*.txt", recursive=True)
+        _INGESTED[key] = out
+    return _INGESTED[key]
+
+
+_INGESTED: dict[tuple[str, str], str] = {}
+for _kind in SILVER:
+    _own = "SELECT * EXCLUDE (admit_at, discharge_at, fin, dispo) FROM t_pv1" if _kind == "PV1" else f"SELECT * FROM t_{_kind.lower()}"
+    q(f"R1_ingest_{_kind.lower()}", lambda c, k=_kind: read_silver(c.spark, _ingested(c), k), _own)
+q(
+    "R1_ingest_hl7_parsed",
+    lambda c: read_ingested(c.spark, _ingested(c), MESSAGES).select(
+        "message_id", "raw_message", "parsed_at", "message_type", "trigger_event", "sending_facility", "message_control_id", "patient_id"
+    ),
+    QUERIES["G1_hl7_parsed"][1].replace("raw_message, parsed_at", "rtrim(raw_message, chr(13)) AS raw_message, parsed_at"),
+)
+q(
+    "R3_two_runs",
+    lambda c: c.spark.read.parquet(f"{_ingested(c)}/{FILES}").groupBy("batch").agg(F.count("*").alias("files")).groupBy("files").agg(
+        F.count("*").alias("runs")
+    ),
+    f"SELECT files, count(*) AS runs FROM (SELECT CAST(substr(file, 6) AS INTEGER) % 2 AS half, count(*) AS files FROM "
+    f"(SELECT DISTINCT 'file-' || CAST({_file_no} AS VARCHAR) AS file FROM msg) GROUP BY 1) GROUP BY 1",
+)
+_rule_sources = {k: f"raw_{k.lower()}" if k in ("MSH", "PID", "OBX", "DG1") else f"t_{k.lower()}" for k in quality.PIPELINE_RULES if k != "messages"}
+q(
+    "Q3_violation_counts",
+    lambda c: read_violations(c.spark, _ingested(c)),
+    " UNION ALL ".join(
+        f"SELECT '{k}' AS segment, '{r.name}' AS rule, '{r.action}' AS action, count(*) AS rows_checked, "
+        f"count(*) FILTER (NOT coalesce({r.constraint}, {r.action == quality.WARN})) AS failures FROM {_rule_sources[k]}"
+        for k, rules in quality.PIPELINE_RULES.items()
+        if k != "messages"
+        for r in rules
+    ),
+)
+q(
+    "Q8_ingest_quarantine",
+    lambda c: read_quarantine(c.spark, _ingested(c), "DG1").withColumn("failed_rules", F.concat_ws(",", "failed_rules")),
+    "SELECT *, 'dg1_code_not_null' AS failed_rules FROM raw_dg1 WHERE diagnosis_code IS NULL",
+)
 
 
 def _copied(c):

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from checks import feed
 from checks.context import Context
 from wardflow.operators import forecast as fc
-from wardflow.operators.messages import message_time, messages, stamp
+from wardflow.operators.messages import message_time, messages
 from wardflow.operators.segments import SILVER
 from wardflow.plans.forecast import backfill, predict_all, train_all
 from wardflow.plans.gold import GOLD, refresh_gold
@@ -18,7 +18,16 @@ from wardflow.sources import tables as store
 from wardflow.sources.bus import messages_from
 from wardflow.sources.files import read_files, read_framed
 from wardflow.sources.publish import SERVING_KEYS, publish_all
-from wardflow.streaming.ingest import ingest_batch, ingest_stream, read_silver, start_ingest
+from wardflow.streaming.ingest import (
+    FILES,
+    ingest_batch,
+    ingest_stream,
+    read_ingested,
+    read_quarantine,
+    read_silver,
+    read_violations,
+    start_ingest,
+)
 
 
 @pytest.fixture(scope="module")
@@ -98,12 +107,39 @@ def test_stream_equals_batch_and_takes_files_once(spark, landing, batch, tmp_pat
 def test_a_replayed_batch_leaves_no_duplicates(spark, landing, tmp_path):
     from wardflow.streaming.ingest import _write_batch
 
-    rows = stamp(messages(read_files(spark, landing)), message_time())
+    files = read_files(spark, landing)
     for _ in range(2):
-        _write_batch(rows, 3, str(tmp_path))
+        _write_batch(files, "run-3", str(tmp_path), message_time())
+    rows = messages(files)
     assert read_silver(spark, str(tmp_path), "EVN").count() == rows.where("raw_message LIKE '%EVN|%'").count()
 
 
+def test_runs_into_one_folder_keep_each_other(spark, landing, batch, tmp_path):
+    names = sorted(n for n in os.listdir(landing) if n.endswith(".hl7"))
+    out = str(tmp_path / "out")
+    for part, some in (("a", names[:7]), ("b", names[7:])):
+        (tmp_path / part).mkdir()
+        for n in some:
+            (tmp_path / part / n).write_bytes(open(f"{landing}/{n}", "rb").read())
+    ingest_batch(spark, str(tmp_path / "a"), out, message_time())
+    start_ingest(spark, str(tmp_path / "b"), out, str(tmp_path / "c"), parsed_at=message_time()).awaitTermination(300)
+    ingest_batch(spark, str(tmp_path / "a"), out, message_time())  # again: adds nothing
+    for kind in SILVER:
+        assert same(read_silver(spark, out, kind), read_silver(spark, batch, kind)), kind
+    assert read_ingested(spark, out, FILES).count() == len(names)
+    assert same(read_violations(spark, out), read_violations(spark, batch))
+    assert same(read_quarantine(spark, out, "DG1"), read_quarantine(spark, batch, "DG1"))
+
+
+def test_files_without_messages_are_kept(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "x.hl7").write_text("garbage before any header")
+    ingest_batch(spark, str(tmp_path / "in"), str(tmp_path / "out"))
+    assert read_ingested(spark, str(tmp_path / "out"), FILES).first()["raw_content"] == "garbage before any header"
+    assert read_silver(spark, str(tmp_path / "out"), "PID").count() == 0
+    assert read_violations(spark, str(tmp_path / "out")).agg(F.sum("rows_checked")).first()[0] == 0
+
+
 def test_continuous_trigger(spark, landing, batch, tmp_path):
     query = start_ingest(
         spark, landing, str(tmp_path / "o"), str(tmp_path / "c"), {"processingTime": "1 second"}, message_time(), max_bytes="200k"

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from wardflow.functions.text import first_line, line_field, segment_lines
 from wardflow.operators.messages import with_headers
+from wardflow.operators.quality import DROP, PIPELINE_RULES
 
 
 @dataclass(frozen=True)
@@ -27,7 +28,6 @@ class Layout:
     wide: str = ""
     repeats: bool = False
     carries: tuple[str, ...] = ("message_type", "sending_facility", "parsed_at")
-    rule: str | None = None
 
 
 # Columns and field positions of the segment tables.
@@ -38,7 +38,6 @@ LAYOUTS = {
         message_control_id 10, processing_id 11, version_id 12""",
         wide="encoding_characters 2, security 8",
         carries=("parsed_at",),
-        rule="message_type != '' AND message_control_id != ''",
     ),
     "PID": Layout(
         """patient_id 3.1, patient_id_authority 3.4, patient_name_family 5.1,
@@ -49,7 +48,6 @@ LAYOUTS = {
         patient_name_suffix 5.4, patient_alias 9, address_country 11.6, phone_business 14,
         language 15, religion 17, ssn 19, drivers_license 20, ethnicity 22,
         death_indicator 30""",
-        rule="patient_id != ''",
     ),
     "PV1": Layout(
         """patient_class 2, location_point_of_care 3.1, location_room 3.2, location_bed 3.3,
@@ -83,7 +81,6 @@ LAYOUTS = {
         producer_id 15""",
         wide="probability 9, nature_of_abnormal_test 10, responsible_observer 16",
         repeats=True,
-        rule="observation_id != ''",
     ),
     "DG1": Layout(
         """diagnosis_coding_method 2, diagnosis_code 3.1, diagnosis_description 3.2,
@@ -92,7 +89,6 @@ LAYOUTS = {
         wide="""major_diagnostic_category 7, diagnostic_related_group 8,
         drg_approval_indicator 9, drg_grouper_review_code 10, diagnosing_clinician 16""",
         repeats=True,
-        rule="diagnosis_code != ''",
     ),
     "AL1": Layout(
         """allergen_type_code 2.1, allergen_type_text 2.2, allergen_code 3.1,
@@ -165,7 +161,7 @@ def segment_table(df: DataFrame, kind: str, wide: bool = False, rule: bool = Tru
 
     Takes ``message_id, raw_message, parsed_at`` (header columns are added when
     missing). Only messages that hold the segment are cut up. ``rule`` applies
-    the table's drop rule; pass False to keep rejects for a quarantine.
+    the pipeline's drop rules; pass False to keep rejects for a quarantine.
     """
     layout = LAYOUTS[kind]
     if "message_control_id" not in df.columns:
@@ -188,7 +184,10 @@ def segment_table(df: DataFrame, kind: str, wide: bool = False, rule: bool = Tru
         line = F.col("__line")
     rows = rows.withColumn("__parts", F.split(line, r"\|"))
     table = rows.select(*lead, *layout_columns(kind, F.col("__parts"), wide, known), *carried)
-    return table.where(layout.rule) if rule and layout.rule else table
+    drops = [r.constraint for r in PIPELINE_RULES.get(kind, []) if r.action == DROP] if rule else []
+    for constraint in drops:
+        table = table.where(constraint)
+    return table
 
 
 def silver_tables(df: DataFrame) -> dict[str, DataFrame]:

@@ -1,37 +1,69 @@
-"""Message files to segment tables, continuously or until caught up."""
+"""Message files to segment tables, continuously or until caught up.
+
+A batch is a set of file rows: a micro-batch of a stream, or the files of one call of
+``ingest_batch``. Its tables go to folders named ``batch=<run>-<epoch>``, where the run is the
+stream's own id (kept in its checkpoint) or the files' identity, and the epoch counts within it.
+So a batch that is run again replaces its own folders, and no other run's.
+
+Every layer is written and read back before the next is built from it: raw files, messages,
+segment tables. A segment table's rows are judged by ``PIPELINE_RULES``: rows that break a drop
+rule go to ``quarantine_<segment>``, and every rule's failures are counted in ``rule_violations``.
+"""
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from wardflow.operators.messages import messages, stamp, with_headers
+from wardflow.operators.quality import DROP, PIPELINE_RULES, apply_rules, quarantine
 from wardflow.operators.segments import SILVER, segment_table
 from wardflow.sources.files import read_files
 
 CATCH_UP = {"availableNow": True}
+FILES, MESSAGES, VIOLATIONS = "bronze_files", "silver_hl7_parsed", "rule_violations"
+VIOLATION_SCHEMA = "segment string, rule string, action string, rows_checked long, failures long"
 
 
 def silver_name(kind: str) -> str:
     return f"silver_{kind.lower()}"
 
 
-def _write_batch(batch: DataFrame, epoch: int, out: str) -> None:
-    """All tables of one micro-batch.
+def quarantine_name(kind: str) -> str:
+    return f"quarantine_{kind.lower()}"
 
-    The messages are cut out of their files once and kept (spilling to disk) while
-    the tables are written. Each table's rows go to a folder named after the batch
-    and replace what is there, so a batch that is run again leaves no duplicates.
-    """
-    headed = with_headers(batch).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        headed.write.mode("overwrite").parquet(f"{out}/silver_hl7_parsed/batch={epoch}")
-        for kind in SILVER:
-            table = segment_table(headed, kind)
-            table.write.mode("overwrite").parquet(f"{out}/{silver_name(kind)}/batch={epoch}")
-    finally:
-        headed.unpersist()
+
+def _stored(df: DataFrame, out: str, table: str, name: str) -> DataFrame:
+    """One batch's rows of a table, replaced and read back."""
+    path = f"{out}/{table}/batch={name}"
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _write_segment(headed: DataFrame, kind: str, out: str, name: str) -> list[tuple]:
+    """A segment table, its rejects, and the violations of its rules."""
+    rules = PIPELINE_RULES.get(kind, [])
+    rows = segment_table(headed, kind, rule=False)
+    if not rules:
+        _stored(rows, out, silver_name(kind), name)
+        return []
+    kept, seen = apply_rules(rows, rules)
+    _stored(kept, out, silver_name(kind), name)
+    counts = seen.get or {}  # nothing is observed where there are no rows
+    drops = [r for r in rules if r.action == DROP]
+    if any(counts.get(r.name) for r in drops):  # only then a second pass is worth it
+        _stored(quarantine(rows, drops)[1], out, quarantine_name(kind), name)
+    return [(kind, r.name, r.action, counts.get("rows") or 0, counts.get(r.name) or 0) for r in rules]
+
+
+def _write_batch(files: DataFrame, name: str, out: str, parsed_at: Column | None = None) -> None:
+    """All tables of one batch of file rows."""
+    spark = files.sparkSession
+    landed = _stored(files, out, FILES, name)
+    headed = _stored(with_headers(stamp(messages(landed), parsed_at)), out, MESSAGES, name)
+    violations = [v for kind in SILVER for v in _write_segment(headed, kind, out, name)]
+    _stored(spark.createDataFrame(violations, VIOLATION_SCHEMA), out, VIOLATIONS, name)
 
 
 def ingest_stream(
@@ -47,9 +79,13 @@ def ingest_stream(
     ``{"processingTime": "10 seconds"}`` (keep running). The checkpoint remembers
     which files were taken.
     """
-    rows = stamp(messages(files), parsed_at)
+
+    def write(batch: DataFrame, epoch: int) -> None:
+        stream = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        _write_batch(batch, f"{stream}-{epoch}", out, parsed_at)
+
     return (
-        rows.writeStream.foreachBatch(lambda batch, epoch: _write_batch(batch, epoch, out))
+        files.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or CATCH_UP))
         .start()
@@ -70,15 +106,47 @@ def start_ingest(
     return ingest_stream(files, out, checkpoint, trigger, parsed_at)
 
 
-def ingest_batch(spark: SparkSession, directory: str, out: str, parsed_at: Column | None = None) -> None:
-    """The same tables from all files at once, as batch 0."""
-    _write_batch(stamp(messages(read_files(spark, directory)), parsed_at), 0, out)
+def files_identity(files: DataFrame) -> str:
+    """A name for a set of files, from their paths and times alone."""
+    mark = F.xxhash64("source_file", F.col("file_modification_time").cast("string"))
+    n, total = files.agg(F.count(F.lit(1)), F.sum(mark.cast("decimal(38,0)"))).first()
+    return f"files-{n}-{abs(int(total or 0)):x}"
 
 
-def read_silver(spark: SparkSession, out: str, kind: str, streaming: bool = False) -> DataFrame:
-    """A segment table, without the batch column of its folders."""
-    path = f"{out}/{silver_name(kind)}"
+def ingest_batch(
+    spark: SparkSession, directory: str, out: str, parsed_at: Column | None = None, run: str | None = None, **source
+) -> str:
+    """The same tables from all files at once, as one batch; returns its name.
+
+    The same files again replace the batch they made before; other files, or another
+    ``run``, add one.
+    """
+    files = read_files(spark, directory, **source)
+    name = f"{run or files_identity(files)}-0"
+    _write_batch(files, name, out, parsed_at)
+    return name
+
+
+def read_ingested(spark: SparkSession, out: str, table: str, streaming: bool = False) -> DataFrame:
+    """A table of the ingest, without the batch column of its folders."""
+    path = f"{out}/{table}"
     if streaming:
         schema = spark.read.parquet(path).schema
         return spark.readStream.schema(schema).parquet(path).drop("batch")
     return spark.read.parquet(path).drop("batch")
+
+
+def read_silver(spark: SparkSession, out: str, kind: str, streaming: bool = False) -> DataFrame:
+    return read_ingested(spark, out, silver_name(kind), streaming)
+
+
+def read_quarantine(spark: SparkSession, out: str, kind: str) -> DataFrame:
+    """Rejected rows of a segment with the names of the rules they broke."""
+    return read_ingested(spark, out, quarantine_name(kind))
+
+
+def read_violations(spark: SparkSession, out: str) -> DataFrame:
+    """Rows checked and failures per segment and rule over all batches."""
+    keys = ("segment", "rule", "action")
+    sums = [F.sum(c).alias(c) for c in ("rows_checked", "failures")]
+    return read_ingested(spark, out, VIOLATIONS).groupBy(*keys).agg(*sums)
