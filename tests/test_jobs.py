@@ -13,10 +13,12 @@ from wardflow.operators import forecast as fc
 from wardflow.operators.messages import message_time, messages
 from wardflow.operators.segments import SILVER
 from wardflow.plans.forecast import backfill, predict_all, train_all
+from wardflow.plans import reports
 from wardflow.plans.gold import GOLD, refresh_gold
 from wardflow.sources import tables as store
 from wardflow.sources.bus import messages_from
 from wardflow.sources.files import read_files, read_framed
+from wardflow.sources.predictions import read_predictions
 from wardflow.sources.publish import SERVING_KEYS, publish_all
 from wardflow.streaming.ingest import (
     FILES,
@@ -184,12 +186,35 @@ def test_gold_equals_direct_tables(spark, sf, gold):
 def test_forecast_loop(spark, gold, tmp_path):
     linear = LinearRegression(labelCol="label", featuresCol="x")
     search = [("linear", linear, ParamGridBuilder().addGrid(linear.regParam, [0.1]).build())]
-    metadata = train_all(spark, gold, str(tmp_path / "models"), search, folds=2)
-    rows = metadata.collect()
+    report = train_all(spark, gold, str(tmp_path / "models"), search, folds=2).collect()
+    assert {(r["model_name"], r["status"]) for r in report} == {(m.name, "SUCCESS") for m in fc.MODELS}
+    rows = store.read_table(spark, f"{gold}/gold_model_training_metadata").collect()
     assert {r["model_name"] for r in rows} == {m.name for m in fc.MODELS}
     assert all(r["training_samples"] >= 10 and r["rmse"] >= 0 and r["champion"] for r in rows)
+
+    # A retrain with too few rows for one department keeps its champions; one broken table harms no other model.
+    other = str(tmp_path / "retrain")
+    for name in ("ed", "combined"):
+        table = f"gold_{name}_forecast_features"
+        store.write_table(store.read_table(spark, f"{gold}/{table}"), f"{other}/{table}")
+    icu = store.read_table(spark, f"{gold}/gold_icu_forecast_features")
+    store.write_table(icu.limit(4), f"{other}/gold_icu_forecast_features")
+    store.write_table(store.read_table(spark, f"{gold}/gold_model_training_metadata"), f"{other}/gold_model_training_metadata")
+    again = {r["model_name"]: r for r in train_all(spark, other, str(tmp_path / "models"), search, folds=2).collect()}
+    assert again["icu_arrivals_forecast"]["status"] == "SKIPPED" and again["icu_arrivals_forecast"]["training_samples"] == 4
+    assert again["ed_arrivals_forecast"]["status"] == "SUCCESS"
+    fresh = {r["model_name"]: r for r in store.read_table(spark, f"{other}/gold_model_training_metadata").collect()}
+    assert set(fresh) == {m.name for m in fc.MODELS}
+    first = {r["model_name"]: r for r in rows}
+    assert all(fresh[m][k] == first[m][k] for m in fresh for k in ("rmse", "mae", "r2_score"))  # repeatable
+    assert predict_all(spark, other) == 5  # by the clock: one run, all departments
+    newest = store.read_table(spark, f"{other}/gold_forecast_predictions")
+    assert newest.select("forecast_generated_at").distinct().count() == 1
+    assert reports.latest_batch(newest).select("department").distinct().count() == 3
+
     run = F.lit("2024-01-31 00:00:00").cast("timestamp")
     assert predict_all(spark, gold, run) == 5
+    assert predict_all(spark, gold, run) == 5  # the same run again adds nothing
     predictions = store.read_table(spark, f"{gold}/gold_forecast_predictions")
     assert predictions.count() == 20 and len(predictions.columns) == 17
     assert predictions.select("prediction_id").distinct().count() == 20
@@ -202,8 +227,9 @@ def test_forecast_loop(spark, gold, tmp_path):
     moved.write.parquet(str(tmp_path / "g" / "gold_forecast_predictions"))
     for name in ("gold_ed_hourly_census", "gold_icu_hourly_census"):
         store.write_table(store.read_table(spark, f"{gold}/{name}"), str(tmp_path / "g" / name))
-    assert backfill(spark, str(tmp_path / "g"), str(tmp_path / "staged"))
-    filled = store.read_table(spark, str(tmp_path / "g" / "gold_forecast_predictions"))
+    assert backfill(spark, str(tmp_path / "g"))
+    assert backfill(spark, str(tmp_path / "g"))  # nothing new: nothing changes
+    filled = read_predictions(spark, str(tmp_path / "g"))
     assert not backfill(spark, str(tmp_path / "nothing"))
     assert filled.count() == 20
     scored = filled.where("actual_value IS NOT NULL")
@@ -217,7 +243,7 @@ def test_same_hour_columns_are_left_out(spark, gold):
     kept = fc.feature_columns(ed, "arrivals")
     assert "arrivals" not in kept and "net_change" not in kept and "arrivals_rolling_6h" not in kept
     assert "arrivals_lag_1h" in kept and "discharges_rolling_24h" in kept
-    assert fc.train(ed.limit(5), "arrivals") is None
+    assert fc.train(ed.limit(5), "arrivals") == 5
 
 
 def test_horizons(spark):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -13,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardflow.functions.values import steady_avg, when_run
+from wardflow.session import checkpoint_dir
 from wardflow.sources.tables import update_by_key
 
 NOT_FEATURES = ("event_hour", "location_facility", "department")
@@ -79,21 +81,38 @@ def default_search(seed: int = 7) -> list[tuple]:
     ]
 
 
+def prepared_set(features: DataFrame, target: str, folds: int) -> DataFrame:
+    """The training set with ``label``, ``held_out`` (a fifth of the rows) and ``fold``.
+
+    Both follow from the row's hour and facility, so a repeated run splits alike.
+    """
+    keys = [c for c in ("event_hour", "location_facility") if c in features.columns]
+    part = lambda n, salt: F.pmod(F.xxhash64(*keys, F.lit(salt)), F.lit(n))
+    return features.where(F.col(target).isNotNull()).select(
+        *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in feature_columns(features, target)],
+        F.col(target).cast("double").alias("label"),
+        (part(5, "test") == 0).alias("held_out"),
+        part(folds, "fold").cast("int").alias("fold"),
+    )
+
+
 def train(
     features: DataFrame, target: str, search: list[tuple] | None = None, folds: int = 3, seed: int = 7
-) -> tuple[PipelineModel, dict] | None:
+) -> tuple[PipelineModel, dict] | int:
     """Best model by cross-validated RMSE, with held-out metrics.
 
-    None when there are fewer than ten rows. A fifth of the rows is held out.
+    The number of rows when there are fewer than ten. The prepared rows are
+    written once and read back by every fit.
     """
+    spark = features.sparkSession
     inputs = feature_columns(features, target)
-    data = training_set(features, target).select(
-        *[F.col(c).cast("double") for c in inputs], F.col(target).cast("double").alias("label")
-    )
+    path = f"{checkpoint_dir(spark)}/training-{uuid.uuid4().hex}"
+    prepared_set(features, target, folds).write.parquet(path)
+    data = spark.read.parquet(path)
     samples = data.count()
     if samples < MIN_TRAINING_ROWS:
-        return None
-    fit_rows, test_rows = data.randomSplit([0.8, 0.2], seed)
+        return samples
+    fit_rows, test_rows = data.where("NOT held_out"), data.where("held_out")
     assemble = VectorAssembler(inputCols=inputs, outputCol="x")
     rmse = RegressionEvaluator(labelCol="label", metricName="rmse")
     best = None
@@ -103,6 +122,7 @@ def train(
             estimatorParamMaps=grid,
             evaluator=rmse,
             numFolds=folds,
+            foldCol="fold",
             seed=seed,
             parallelism=2,
         ).fit(fit_rows)
@@ -118,6 +138,9 @@ def train(
     return best[2], {**metrics, "best_trial": best[1], "samples": samples}
 
 
+RUN_SCHEMA = (
+    "model_name string, training_timestamp timestamp, status string, reason string, training_samples long"
+)
 METADATA_SCHEMA = (
     "model_name string, model_version string, training_timestamp timestamp, rmse double, "
     "r2_score double, mae double, best_trial_description string, run_id string, "
@@ -211,10 +234,17 @@ def expand_horizons(points: DataFrame, horizons=HORIZONS) -> DataFrame:
 def prediction_rows(
     expanded: DataFrame, config: Model, version: str, run_ts=None, prediction_id: Column | None = None
 ) -> DataFrame:
-    """The 17 columns of the prediction table, actuals still open."""
+    """The 17 columns of the prediction table, actuals still open.
+
+    Unless one is given, the id follows from model, version, facility, run,
+    snapshot and horizon.
+    """
     run = when_run(run_ts)
+    hour = lambda t: F.date_format(t, "yyyyMMddHHmmssSSSSSS")
+    own = [F.lit(config.name), F.lit(str(version)), F.coalesce("location_facility", F.lit("")), hour(run)]
+    own += [hour("feature_snapshot_hour"), F.col("forecast_horizon_hours").cast("string")]
     return expanded.select(
-        (F.uuid() if prediction_id is None else prediction_id).alias("prediction_id"),
+        (F.md5(F.concat_ws("|", *own)) if prediction_id is None else prediction_id).alias("prediction_id"),
         F.lit(config.name).alias("model_name"),
         F.lit(str(version)).alias("model_version"),
         F.lit(config.department).alias("department"),

@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import uuid
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from wardflow.operators import forecast as fc
+from wardflow.sources.predictions import ACTUALS, PREDICTIONS, read_predictions
 from wardflow.sources.tables import append_table, read_table, table_exists, write_table
 
 FEATURE_TABLES = {
@@ -15,48 +18,78 @@ FEATURE_TABLES = {
     "icu": "gold_icu_forecast_features",
     "combined": "gold_combined_forecast_features",
 }
+METADATA, RUNS = "gold_model_training_metadata", "gold_model_training_runs"
 
 
-def train_all(spark: SparkSession, gold: str, models_dir: str, search=None, folds: int = 3) -> DataFrame:
-    """Train every model on its feature table and record the outcome.
+def _now() -> datetime:
+    return datetime.now(timezone.utc).replace(tzinfo=None)
 
-    The newly trained version becomes the champion. Models without enough rows
-    are left out.
-    """
-    now = datetime.now(timezone.utc).replace(tzinfo=None)
-    version = now.strftime("%Y%m%d%H%M%S")
-    results = []
-    for model in fc.MODELS:
-        trained = fc.train(read_table(spark, f"{gold}/{FEATURE_TABLES[model.features]}"), model.target, search, folds)
-        if trained is None:
-            continue
+
+def _outcome(spark, gold: str, models_dir: str, model: fc.Model, now: datetime, search, folds: int) -> tuple[dict, dict | None]:
+    """What became of one model: its status row and, when it was trained, its metadata."""
+    version = now.strftime("%Y%m%d%H%M%S%f")
+    status = {"model_name": model.name, "training_timestamp": now, "training_samples": 0}
+    try:
+        features = read_table(spark, f"{gold}/{FEATURE_TABLES[model.features]}")
+        trained = fc.train(features, model.target, search, folds)
+        if isinstance(trained, int):
+            reason = f"{trained} rows, at least {fc.MIN_TRAINING_ROWS} are needed"
+            return {**status, "status": "SKIPPED", "reason": reason, "training_samples": trained}, None
         fitted, metrics = trained
         path = f"{models_dir}/{model.name}/{version}"
         fitted.write().overwrite().save(path)
-        results.append(
-            {
-                "model_name": model.name,
-                "model_version": version,
-                "training_timestamp": now,
-                "rmse": float(metrics["rmse"]),
-                "r2_score": float(metrics["r2"]),
-                "mae": float(metrics["mae"]),
-                "best_trial_description": metrics["best_trial"],
-                "run_id": uuid.uuid4().hex,
-                "training_samples": int(metrics["samples"]),
-                "champion": True,
-                "model_path": path,
-            }
-        )
-    metadata = fc.training_metadata(spark, results)
-    write_table(metadata, f"{gold}/gold_model_training_metadata")
-    return metadata
+    except Exception as err:  # one model's failure is reported and leaves the others alone
+        return {**status, "status": "FAILED", "reason": str(err)}, None
+    samples = int(metrics["samples"])
+    row = {
+        "model_name": model.name,
+        "model_version": version,
+        "training_timestamp": now,
+        "rmse": float(metrics["rmse"]),
+        "r2_score": float(metrics["r2"]),
+        "mae": float(metrics["mae"]),
+        "best_trial_description": metrics["best_trial"],
+        "run_id": uuid.uuid4().hex,
+        "training_samples": samples,
+        "champion": True,
+        "model_path": path,
+    }
+    return {**status, "status": "SUCCESS", "reason": None, "training_samples": samples}, row
+
+
+def train_all(spark: SparkSession, gold: str, models_dir: str, search=None, folds: int = 3) -> DataFrame:
+    """Train every model on its feature table; returns one status row per model.
+
+    A newly trained version becomes its model's champion. A model that is skipped
+    or fails keeps the champion it had. The status rows are appended to
+    ``gold_model_training_runs``, and the metadata table, one champion per model,
+    is written only when something was trained.
+    """
+    now = _now()
+    outcomes = [_outcome(spark, gold, models_dir, m, now, search, folds) for m in fc.MODELS]
+    report = spark.createDataFrame([s for s, _ in outcomes], fc.RUN_SCHEMA)
+    append_table(report, f"{gold}/{RUNS}")
+    trained = [row for _, row in outcomes if row]
+    if trained:
+        rows = trained
+        if table_exists(spark, f"{gold}/{METADATA}"):
+            names = {row["model_name"] for row in trained}
+            old = read_table(spark, f"{gold}/{METADATA}").collect()  # one row per model
+            rows = [*trained, *(r.asDict() for r in old if r["model_name"] not in names)]
+        write_table(fc.training_metadata(spark, rows), f"{gold}/{METADATA}")
+    return report
 
 
 def predict_all(spark: SparkSession, gold: str, run_ts=None) -> int:
-    """Append predictions of every champion; returns the models that ran."""
-    metadata = read_table(spark, f"{gold}/gold_model_training_metadata")
-    ran = 0
+    """Append predictions of every champion, all with one run time; returns the models that ran.
+
+    The rows of all models are appended at once. Their ids follow from model,
+    version, run and horizon, so a run repeated for the same time is recognized
+    and adds nothing.
+    """
+    run = F.lit(_now()) if run_ts is None else run_ts
+    metadata = read_table(spark, f"{gold}/{METADATA}")
+    parts = []
     for model in fc.MODELS:
         loaded = fc.champion(metadata, model.name)
         if loaded is None:
@@ -64,28 +97,19 @@ def predict_all(spark: SparkSession, gold: str, run_ts=None) -> int:
         fitted, version = loaded
         newest = fc.latest_rows(read_table(spark, f"{gold}/{FEATURE_TABLES[model.features]}"))
         points = fc.latest_score(fc.score(newest, fitted, model))
-        rows = fc.prediction_rows(fc.expand_horizons(points), model, version, run_ts)
-        append_table(rows, f"{gold}/gold_forecast_predictions")
-        ran += 1
-    return ran
-
+        parts.append(fc.prediction_rows(fc.expand_horizons(points), model, version, run))
+    if parts:
+        rows = reduce(DataFrame.unionByName, parts)
+        if table_exists(spark, f"{gold}/{PREDICTIONS}"):
+            rows = rows.join(read_table(spark, f"{gold}/{PREDICTIONS}").select("prediction_id"), "prediction_id", "left_anti")
+        append_table(rows.select(*parts[0].columns), f"{gold}/{PREDICTIONS}")
+    return len(parts)
 
-def backfill(spark: SparkSession, gold: str, staging: str | None = None) -> bool:
-    """Fill known actuals into the prediction table; False when there is none yet.
 
-    Parquet has no update in place, so the filled table is written next to the
-    old one first and then takes its place. If the job dies in between, the
-    staged copy is whole and can be put in its place by hand.
-    """
-    path = f"{gold}/gold_forecast_predictions"
-    if not table_exists(spark, path):
+def backfill(spark: SparkSession, gold: str) -> bool:
+    """Append the actuals that became known for open predictions; False without predictions."""
+    if not table_exists(spark, f"{gold}/{PREDICTIONS}"):
         return False
-    staged = staging or f"{gold}/staged_forecast_predictions"
-    filled = fc.backfill_actuals(
-        read_table(spark, path),
-        read_table(spark, f"{gold}/gold_ed_hourly_census"),
-        read_table(spark, f"{gold}/gold_icu_hourly_census"),
-    )
-    write_table(filled, staged)
-    write_table(read_table(spark, staged), path)
+    census = [read_table(spark, f"{gold}/gold_{d}_hourly_census") for d in ("ed", "icu")]
+    append_table(fc.actual_updates(read_predictions(spark, gold), *census), f"{gold}/{ACTUALS}")
     return True

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from wardflow.operators import census, facts, features
 from wardflow.operators.forecast import forecast_accuracy
+from wardflow.sources.predictions import read_gold
 from wardflow.sources.tables import read_table, table_exists, write_table
 
 # Each gold table as a function of a lookup for the tables before it, in the order
@@ -57,7 +58,7 @@ def refresh_gold(spark: SparkSession, silver: str, gold: str, only: list[str] |
     """
 
     def table(name: str) -> DataFrame:
-        return read_table(spark, f"{silver if name.startswith('silver_') else gold}/{name}")
+        return read_table(spark, f"{silver}/{name}") if name.startswith("silver_") else read_gold(spark, gold, name)
 
     written = []
     for name, build in GOLD.items():

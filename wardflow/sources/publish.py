@@ -8,6 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from wardflow.sources.predictions import read_gold
 from wardflow.sources.tables import sanitize, write_table
 
 # Published tables and their primary keys.
@@ -108,7 +109,7 @@ def publish_all(
     report = []
     for table in tables or list(SERVING_KEYS):
         try:
-            df = spark.read.parquet(f"{source}/{table}")
+            df = read_gold(spark, source, table)
         except AnalysisException:
             df = None
         try:
