@@ -7,13 +7,13 @@ An entry is ``name: (frame from a Context, SQL or None)``. SQL names the tables
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from checks import feed
-from checks.context import Context
+from checks.context import TABLES, Context, lake
 from checks.oracle import AS_OF, NOW, mean, n, predicted, rnd
 from wardflow.functions import values as v
 from wardflow.functions.sqlfuncs import register_sql_functions
@@ -23,10 +23,12 @@ from wardflow.operators import messages as msgs
 from wardflow.operators.report import message_report
 from wardflow.operators.segments import SILVER
 from wardflow.plans import adt, reports, status
+from wardflow.plans.forecast import FEATURE_TABLES, METADATA, RUNS, predict_all, train_all
 from wardflow.sources import tables as store
 from wardflow.sources.bus import messages_from
 from wardflow.sources.files import read_files
-from wardflow.sources.publish import publish_all
+from wardflow.sources.predictions import PREDICTIONS
+from wardflow.sources.publish import SERVING_KEYS, publish_all
 from wardflow.streaming.ingest import (
     FILES,
     MESSAGES,
@@ -939,45 +941,78 @@ q(
 )
 
 
-def _linear():
-    from pyspark.ml.regression import LinearRegression
+def _search():
+    """Both learners, with one candidate each."""
+    from pyspark.ml.regression import GBTRegressor, LinearRegression
     from pyspark.ml.tuning import ParamGridBuilder
 
     linear = LinearRegression(labelCol="label", featuresCol="x")
-    return [("linear", linear, ParamGridBuilder().addGrid(linear.regParam, [0.01, 0.1]).build())]
+    trees = GBTRegressor(labelCol="label", featuresCol="x", maxIter=3, maxDepth=2, seed=7)
+    return [
+        ("linear", linear, ParamGridBuilder().addGrid(linear.regParam, [0.1]).build()),
+        ("boosted_trees", trees, ParamGridBuilder().addGrid(trees.maxDepth, [2]).build()),
+    ]
 
 
-SYSTEM = forecast.MODELS[-1]
+_TRAINED: dict[tuple[str, str], str] = {}
 
 
-def _metadata(c):
-    fitted, found = forecast.train(c.combined, SYSTEM.target, _linear(), folds=2)
-    path = feed.new_path(c.spark, "model")
-    fitted.write().overwrite().save(path)
-    row = {
-        "model_name": SYSTEM.name,
-        "model_version": "1",
-        "training_timestamp": datetime.fromisoformat(AS_OF),
-        "rmse": float(found["rmse"]),
-        "r2_score": float(found["r2"]),
-        "mae": float(found["mae"]),
-        "best_trial_description": found["best_trial"],
-        "run_id": "run",
-        "training_samples": int(found["samples"]),
-        "champion": True,
-        "model_path": path,
-    }
-    return forecast.training_metadata(c.spark, [row])
+def _trained(c):
+    """A gold folder where all models were trained and have predicted by the clock; once per session."""
+    key = (c.spark.sparkContext.applicationId, c.sf_dir)
+    if key not in _TRAINED:
+        gold = feed.new_path(c.spark, "forecast")
+        for table in FEATURE_TABLES.values():
+            store.write_table(c.stored(table), f"{gold}/{table}")
+        train_all(c.spark, gold, feed.new_path(c.spark, "models"), _search(), folds=2)
+        predict_all(c.spark, gold)
+        _TRAINED[key] = gold
+    return _TRAINED[key]
+
+
+def _training(c):
+    gold = _trained(c)
+    runs = store.read_table(c.spark, f"{gold}/{RUNS}").select("model_name", "status", "training_samples")
+    fitted = store.read_table(c.spark, f"{gold}/{METADATA}")
+    sound = (F.col("rmse") >= 0) & (F.col("mae") >= 0) & (F.col("r2_score") <= 1)
+    return runs.join(fitted.select("model_name", "champion", sound.alias("metrics_sound")), "model_name")
+
+
+_model_tables = {"ed": "ed_feat", "icu": "icu_feat", "combined": "comb"}
+q(
+    "F5_F6_train",
+    _training,
+    " UNION ALL ".join(
+        f"SELECT '{m.name}' AS model_name, 'SUCCESS' AS status, count({m.target}) AS training_samples, TRUE AS champion, "
+        f"TRUE AS metrics_sound FROM {_model_tables[m.features]}"
+        for m in forecast.MODELS
+    ),
+)
 
 
 def _champion_run(c):
-    fitted, version = forecast.champion(_metadata(c), SYSTEM.name)
-    points = forecast.latest_score(forecast.score(forecast.latest_rows(c.combined), fitted, SYSTEM))
-    return forecast.prediction_rows(forecast.expand_horizons(points), SYSTEM, version, c.as_of)
+    """What is fixed of a run by the clock: one run time, every model's place and horizons."""
+    rows = store.read_table(c.spark, f"{_trained(c)}/{PREDICTIONS}")
+    runs = rows.select(F.count_distinct("forecast_generated_at").alias("runs"))
+    newest = reports.latest_batch(rows)
+    kept = newest.select(
+        "model_name", "department", "location_facility", "target_metric", "forecast_horizon_hours", "target_hour", "feature_snapshot_hour"
+    )
+    return kept.withColumn("runs", F.lit(runs.first()["runs"]).cast("long"))
 
 
-q("F5_F6_train", lambda c: _metadata(c).drop("model_path"))
-q("F7_champion_run", _champion_run)
+def _run_sql(m):
+    table = _model_tables[m.features]
+    place = "'ALL'" if m.features == "combined" else "max(coalesce(location_facility, 'None'))"
+    return (
+        f"SELECT '{m.name}' AS model_name, '{m.department}' AS department, place AS location_facility, '{m.target}' AS target_metric, "
+        f"{INT('h')} AS forecast_horizon_hours, event_hour + to_hours(h) AS target_hour, event_hour AS feature_snapshot_hour, 1::BIGINT AS runs "
+        f"FROM (SELECT event_hour, {place} AS place FROM {table} GROUP BY event_hour ORDER BY event_hour DESC LIMIT 1), "
+        "(VALUES (1), (4), (8), (24)) AS v(h)"
+    )
+
+
+q("F7_champion_run", _champion_run, " UNION ALL ".join(_run_sql(m) for m in forecast.MODELS))
 _last48 = "SELECT * FROM ed_feat ORDER BY event_hour DESC, location_facility DESC NULLS LAST LIMIT 48"
 q("F8_latest_rows", lambda c: forecast.latest_rows(c.ed_feat), _last48)
 
@@ -1399,19 +1434,35 @@ q("S9_append_table", _appended, "SELECT * FROM ord")
 
 
 def _published(c):
+    return publish_all(c.spark, f"{lake(c.spark, c.sf_dir)}/gold", feed.new_path(c.spark, "serving"))
+
+
+def _published_partly(c):
     source = feed.new_path(c.spark, "gold")
     store.write_table(c.diagnoses, f"{source}/gold_diagnosis_fact")
-    store.write_table(c.allergies, f"{source}/gold_allergy_fact")
     store.write_table(c.orders.where("priority IS NULL"), f"{source}/gold_order_fact")
-    names = ["gold_diagnosis_fact", "gold_allergy_fact", "gold_order_fact", "gold_patient_dim"]
+    names = ["gold_diagnosis_fact", "gold_order_fact", "gold_patient_dim"]
     return publish_all(c.spark, source, feed.new_path(c.spark, "serving"), names)
 
 
+_sql_names = {
+    **{"encounters": "enc", "observations": "obs", "diagnoses": "dx", "allergies": "alg", "orders": "ord", "patients": "dim"},
+    **{"current": "cur", "combined": "comb", "predictions": "pred", "accuracy": "acc"},
+}
+_sql_tables = {full: _sql_names.get(short, short) for short, full in TABLES.items()}
 q(
-    "S13_publish_report",
+    "S13_publish_all",
     _published,
+    " UNION ALL ".join(
+        f"SELECT '{table}' AS \"table\", CASE WHEN count(*) = 0 THEN 'SKIPPED_EMPTY' ELSE 'SUCCESS' END AS status, count(*) AS rows, "
+        f"CAST(NULL AS VARCHAR) AS error FROM {_sql_tables[table]}"
+        for table in SERVING_KEYS
+    ),
+)
+q(
+    "S13_publish_report",
+    _published_partly,
     "SELECT 'gold_diagnosis_fact' AS \"table\", 'SUCCESS' AS status, count(*) AS rows, CAST(NULL AS VARCHAR) AS error FROM dx UNION ALL "
-    "SELECT 'gold_allergy_fact', 'SUCCESS', count(*), NULL FROM alg UNION ALL "
     "SELECT 'gold_order_fact', 'SKIPPED_EMPTY', 0, NULL UNION ALL SELECT 'gold_patient_dim', 'SKIPPED_NOT_FOUND', 0, NULL",
 )
 q(
@@ -1432,6 +1483,23 @@ q(
     lambda c: store.check_primary_key(c.ed_hour, ["event_hour", "location_facility"]),
     "SELECT event_hour, location_facility, count(*) AS row_count FROM ed_hour GROUP BY ALL HAVING count(*) > 1 OR location_facility IS NULL",
 )
+def _all_keys(c):
+    found = [
+        store.check_primary_key(c.stored(table), keys).agg(F.count("*").alias("bad_keys")).withColumn("table", F.lit(table))
+        for table, keys in SERVING_KEYS.items()
+    ]
+    return reduce(DataFrame.unionByName, found)
+
+
+q(
+    "S14_all_serving_keys",
+    _all_keys,
+    " UNION ALL ".join(
+        f"SELECT count(*) AS bad_keys, '{table}' AS \"table\" FROM (SELECT {', '.join(keys)} FROM {_sql_tables[table]} "
+        f"GROUP BY ALL HAVING count(*) > 1 OR {' OR '.join(f'{k} IS NULL' for k in keys)})"
+        for table, keys in SERVING_KEYS.items()
+    ),
+)
 q(
     "S15_snapshot_changes",
     lambda c: store.snapshot_changes(

@@ -7,59 +7,92 @@ from pyspark.sql import functions as F
 
 from checks import feed
 from checks.oracle import AS_OF
-from wardflow.operators import census, facts, features, forecast
+from wardflow.operators import forecast
 from wardflow.operators.messages import message_time, messages, parse_messages, stamp, with_headers
-from wardflow.operators.segments import SILVER, segment_table
-
-
-def _segment(kind):
-    return lambda c: c.segment(kind)
-
-
-# Stored tables, each built from the ones before it as the pipeline does.
-BUILD = {
-    **{f"silver_{k.lower()}": _segment(k) for k in SILVER},
-    "encounters": lambda c: facts.encounter_fact(c.silver_pv1),
-    "observations": lambda c: facts.observation_fact(c.silver_obx),
-    "diagnoses": lambda c: facts.diagnosis_fact(c.silver_dg1),
-    "allergies": lambda c: facts.allergy_fact(c.silver_al1),
-    "orders": lambda c: facts.order_fact(c.silver_obr),
-    "patients": lambda c: facts.patient_dim(c.silver_pid),
-    "metrics": lambda c: facts.message_metrics(c.silver_msh),
-    "activity": lambda c: facts.patient_activity(c.encounters),
-    "ed_hour": lambda c: census.ed_hourly_census(c.encounters),
-    "icu_hour": lambda c: census.icu_hourly_census(c.encounters),
-    "ed_day": lambda c: census.ed_daily_summary(c.encounters),
-    "icu_day": lambda c: census.icu_daily_summary(c.encounters),
-    "current": lambda c: census.census_current(c.encounters, c.as_of),
-    "ed_feat": lambda c: features.forecast_features(c.ed_hour, "ED"),
-    "icu_feat": lambda c: features.forecast_features(c.icu_hour, "ICU"),
-    "combined": lambda c: features.combined_features(c.ed_hour, c.icu_hour),
-    "open_predictions": lambda c: c.naive_predictions(),
-    "predictions": lambda c: forecast.backfill_actuals(c.open_predictions, c.ed_hour, c.icu_hour),
-    "accuracy": lambda c: forecast.forecast_accuracy(c.predictions),
+from wardflow.operators.segments import segment_table
+from wardflow.plans.forecast import backfill
+from wardflow.plans.gold import GOLD, refresh_gold
+from wardflow.plans.status import MONITORED
+from wardflow.sources.predictions import PREDICTIONS, read_gold
+from wardflow.sources.tables import append_table
+from wardflow.streaming.ingest import ingest_batch, read_ingested
+
+
+# Short names of the gold tables, which the shipped jobs write.
+TABLES = {
+    "encounters": "gold_encounter_fact",
+    "observations": "gold_observation_fact",
+    "diagnoses": "gold_diagnosis_fact",
+    "allergies": "gold_allergy_fact",
+    "orders": "gold_order_fact",
+    "patients": "gold_patient_dim",
+    "metrics": "gold_message_metrics",
+    "activity": "gold_patient_activity",
+    "ed_hour": "gold_ed_hourly_census",
+    "icu_hour": "gold_icu_hourly_census",
+    "ed_day": "gold_ed_daily_summary",
+    "icu_day": "gold_icu_daily_summary",
+    "current": "gold_department_census_current",
+    "ed_feat": "gold_ed_forecast_features",
+    "icu_feat": "gold_icu_forecast_features",
+    "combined": "gold_combined_forecast_features",
+    "predictions": PREDICTIONS,
+    "accuracy": "gold_forecast_accuracy",
 }
+_LAKES: dict[tuple[str, str], str] = {}
+
+
+def lake(spark: SparkSession, sf_dir: str) -> str:
+    """The folder where the jobs ran over the feed, once per session: ``silver`` and ``gold``."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _LAKES:
+        path = feed.new_path(spark, "lake")
+        folder = feed.landing_folder(spark, sf_dir)
+        ingest_batch(spark, folder, f"{path}/silver", message_time(), glob="*.txt", recursive=True)
+        as_of = F.lit(AS_OF).cast("timestamp")
+        refresh_gold(spark, f"{path}/silver", f"{path}/gold", as_of=as_of)
+        _LAKES[key] = path
+        append_table(Context(spark, sf_dir).open_predictions, f"{path}/gold/{PREDICTIONS}")
+        backfill(spark, f"{path}/gold")
+        refresh_gold(spark, f"{path}/silver", f"{path}/gold", ["gold_forecast_accuracy"])
+    return _LAKES[key]
 
 
 class Context:
     """The pipeline's tables for one session and data folder.
 
-    An attribute such as ``c.encounters`` is the stored table, written once per
-    session from the tables before it; ``c.make("encounters")`` computes it anew.
-    All times come from the messages.
+    An attribute such as ``c.encounters`` or ``c.silver_pv1`` is the table that the
+    shipped jobs wrote, run once per session; ``c.make("encounters")`` computes it
+    anew from the tables before it. All times come from the messages.
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
 
     def make(self, name: str) -> DataFrame:
-        return BUILD[name](self)
+        if name.startswith("silver_"):
+            return self.segment(name.removeprefix("silver_").upper())
+        if name == "predictions":
+            return forecast.backfill_actuals(self.open_predictions, self.ed_hour, self.icu_hour)
+        return GOLD[TABLES[name]](self.stored, self.as_of)
+
+    def stored(self, table: str) -> DataFrame:
+        """A table by its full name, as the jobs wrote it."""
+        path = lake(self.spark, self.sf_dir)
+        if table.startswith("silver_"):
+            return read_ingested(self.spark, f"{path}/silver", table)
+        return read_gold(self.spark, f"{path}/gold", table)
 
     def __getattr__(self, name: str) -> DataFrame:
-        if name not in BUILD:
+        if name not in TABLES and not name.startswith("silver_"):
             raise AttributeError(name)
+        return self.stored(TABLES.get(name, name))
+
+    @property
+    def open_predictions(self) -> DataFrame:
+        """The predictions before any actual is known."""
         return feed.landed(
-            self.spark, self.sf_dir, name, lambda spark, sf_dir: Context(spark, sf_dir).make(name), spread=False
+            self.spark, self.sf_dir, "open_predictions", lambda spark, sf_dir: Context(spark, sf_dir).naive_predictions(), spread=False
         )
 
     @property
@@ -155,19 +188,7 @@ class Context:
 
     @property
     def gold(self) -> dict[str, DataFrame]:
-        return {
-            "gold_message_metrics": self.metrics,
-            "gold_encounter_fact": self.encounters,
-            "gold_patient_dim": self.patients,
-            "gold_ed_hourly_census": self.ed_hour,
-            "gold_icu_hourly_census": self.icu_hour,
-            "gold_department_census_current": self.current,
-            "gold_ed_forecast_features": self.ed_feat,
-            "gold_icu_forecast_features": self.icu_feat,
-            "gold_combined_forecast_features": self.combined,
-            "gold_forecast_predictions": self.predictions,
-            "gold_forecast_accuracy": self.accuracy,
-        }
+        return {table: self.stored(table) for _, _, table, _, _ in MONITORED}
 
 
 def plain_times(df: DataFrame) -> DataFrame:
