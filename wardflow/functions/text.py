@@ -47,90 +47,82 @@ def split_messages(raw) -> Column:
     return F.coalesce(found, F.array().cast("array<string>"))
 
 
-def message_lines(raw) -> Column:
-    """Non-empty segment lines of a message, each cut at ``|``."""
-    lines = F.filter(F.split(raw, "\r"), lambda line: F.length(line) > 0)
-    return F.transform(lines, lambda line: F.split(line, r"\|"))
-
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once, also where ``body`` uses it in a lambda.
 
-def line_kind(parts) -> Column:
-    return F.substring(F.get(parts, 0), 1, 3)
+    A column that is only named in a lambda would be computed for each of its calls.
+    """
+    return F.get(F.transform(F.array(value), body), 0)
 
 
-def _numbered(parts: Column, value) -> Column:
-    """Array -> map keyed 1..n with ``value(element)``."""
-    return F.map_from_entries(
-        F.transform(parts, lambda part, i: F.struct((i + 1).alias("k"), value(part).alias("v")))
-    )
+def message_lines(raw) -> Column:
+    """Non-empty segment lines of a message."""
+    return F.filter(F.split(raw, "\r"), lambda line: F.length(line) > 0)
 
 
-def _single(value: Column) -> Column:
-    return F.create_map(F.lit(1), value)
+def line_kind(line) -> Column:
+    return F.substring(line, 1, 3)
 
 
 def _whole(text: Column) -> Column:
-    return F.array(_single(_single(text)))
-
-
-def _subcomponents(text: Column) -> Column:
-    return F.when(text.contains("&"), _numbered(F.split(text, "&"), lambda sub: sub)).otherwise(_single(text))
+    return F.array(F.array(F.array(text)))
 
 
 def _repetitions(text: Column) -> Column:
-    """Repetitions of a field; most fields hold one plain value."""
-    plain = ~(text.contains("~") | text.contains("^") | text.contains("&"))
-    components = lambda rep: _numbered(F.split(rep, r"\^"), _subcomponents)
-    return F.when(plain, _whole(text)).otherwise(F.transform(F.split(text, "~"), components))
+    """Repetitions of components of subcomponents."""
+    components = lambda rep: F.transform(F.split(rep, r"\^"), lambda c: F.split(c, "&"))
+    return F.transform(F.split(text, "~"), components)
 
 
-def _field_map(parts: Column, header: bool) -> Column:
-    """Field number -> repetitions -> component -> subcomponent.
+def _fields(line: Column) -> Column:
+    """Field number -> repetition -> component -> subcomponent, each by position.
 
     The header counts its separator as field 1 and keeps field 2 (the encoding
     characters) whole; everywhere else the split position is the field number.
-    Empty fields, most of a message, get no entry: they read as NULL either way.
+    Most fields are empty, which is NULL here, or hold one plain value.
     """
-    shift, first = (1, 2) if header else (0, 1)
-    numbered = F.transform(
-        F.slice(parts, first + 1, F.size(parts)),
-        lambda text, i: F.struct((i + first + shift).alias("k"), text.alias("t")),
-    )
-    fields = F.transform(
-        F.filter(numbered, lambda f: f["t"] != ""),
-        lambda f: F.struct(f["k"].alias("k"), _repetitions(f["t"]).alias("v")),
-    )
-    if header:
-        mark = lambda k, text: F.struct(F.lit(k).alias("k"), _whole(text).alias("v"))
-        own = F.array(mark(1, F.lit("|")), mark(2, F.get(parts, 1)))
-        fields = F.concat(F.slice(own, 1, F.size(parts)), fields)
-    return F.map_from_entries(fields)
+    header = line.startswith("MSH")
+    cut = F.split(line, r"\|")
+    numbered = F.when(
+        header, F.concat(F.array(F.lit("MSH"), F.lit("|")), F.slice(cut, 2, F.greatest(F.size(cut), F.lit(1))))
+    ).otherwise(cut)
 
+    def entry(text, i):
+        plain = (header & (i <= 2)) | ~(text.contains("~") | text.contains("^") | text.contains("&"))
+        return F.when(text == "", F.lit(None)).when(plain, _whole(text)).otherwise(_repetitions(text))
 
-def parse_lines(lines, kinds) -> Column:
-    """Cut lines and their distinct types as ``type -> repeats``.
+    return F.transform(numbered, entry)
 
-    A repeat is ``(index, segment, fields)`` with the index counted from 1.
-    """
 
-    def repeats(kind):
-        mine = F.filter(lines, lambda parts: line_kind(parts) == kind)
-        return F.transform(
-            mine,
-            lambda parts, i: F.struct(
-                (i + 1).alias("index"),
-                kind.alias("segment"),
-                F.when(kind == "MSH", _field_map(parts, True))
-                .otherwise(_field_map(parts, False))
-                .alias("fields"),
-            ),
+def parse_message(raw, kinds=None) -> Column:
+    """A message as ``type -> repeats``; with ``kinds``, only of these types.
+
+    A repeat is ``(index, segment, fields)`` with the index counted from 1. Each
+    line is cut up once.
+    """
+    lines = message_lines(raw)
+    if kinds:
+        lines = F.filter(lines, lambda line: line_kind(line).isin(*kinds))
+    cut = F.transform(lines, lambda line: F.struct(line_kind(line).alias("segment"), _fields(line).alias("fields")))
+
+    def grouped(segments):
+        def repeats(kind):
+            mine = F.filter(segments, lambda s: s["segment"] == kind)
+            return F.transform(
+                mine, lambda s, i: F.struct((i + 1).alias("index"), s["segment"].alias("segment"), s["fields"].alias("fields"))
+            )
+
+        found = F.array_distinct(F.transform(segments, lambda s: s["segment"]))
+        return F.map_from_entries(
+            F.transform(found, lambda kind: F.struct(kind.alias("key"), repeats(kind).alias("value")))
         )
 
-    return F.map_from_arrays(kinds, F.transform(kinds, repeats))
+    return _let(cut, grouped)
 
 
 def field(segment, number: int, comp: int = 1, sub: int = 1, rep: int = 0) -> Column:
     """Value in a parsed segment struct; NULL when absent or empty."""
-    value = F.get(segment["fields"][number], rep)[comp][sub]
+    value = F.get(F.get(F.get(F.get(segment["fields"], number), rep), comp - 1), sub - 1)
     return F.nullif(value, F.lit(""))
 
 

@@ -8,9 +8,7 @@ from pyspark.sql import functions as F
 from wardflow.functions.text import (
     first_line,
     line_field,
-    line_kind,
-    message_lines,
-    parse_lines,
+    parse_message,
     split_messages,
 )
 from wardflow.functions.values import hl7_ts
@@ -57,13 +55,9 @@ def stamp(df: DataFrame, parsed_at: Column | None = None) -> DataFrame:
     return df.withColumn("parsed_at", F.current_timestamp() if parsed_at is None else parsed_at)
 
 
-def parse_messages(df: DataFrame, parsed_at: Column | None = None) -> DataFrame:
-    """Message rows with the nested ``hl7`` map and ``parsed_at``."""
-    cut = df.withColumn("__lines", message_lines(F.col("raw_message")))
-    kinds = F.array_distinct(F.transform("__lines", line_kind))
-    typed = cut.withColumn("__kinds", kinds)
-    parsed = typed.withColumn("hl7", parse_lines(F.col("__lines"), F.col("__kinds")))
-    return stamp(parsed.drop("__lines", "__kinds"), parsed_at)
+def parse_messages(df: DataFrame, parsed_at: Column | None = None, kinds=None) -> DataFrame:
+    """Message rows with the nested ``hl7`` map and ``parsed_at``; ``kinds`` limits the map to these types."""
+    return stamp(df.withColumn("hl7", parse_message(F.col("raw_message"), kinds)), parsed_at)
 
 
 def with_headers(df: DataFrame) -> DataFrame:

@@ -41,7 +41,8 @@ def message_report(messages: DataFrame, rules: dict[str, list[Rule]]) -> DataFra
     columns, counts = [], []
     for segment, own in rules.items():
         named = _own_columns(segment)
-        columns += [c.alias(f"{segment}__{n}") for n, c in named.items()]
+        # Only lines of the segment are cut up and parsed for it.
+        columns += [F.when(F.col("__kind") == segment, c).alias(f"{segment}__{n}") for n, c in named.items()]
         word = re.compile(rf"(?<!')\b({'|'.join(sorted(named, key=len, reverse=True))})\b")
         mine = F.col("__kind") == segment
         counts.append(F.count_if(mine).alias(f"{segment}__rows"))
