@@ -26,9 +26,9 @@ from wardflow.plans import adt, reports, status
 from wardflow.plans.forecast import FEATURE_TABLES, METADATA, RUNS, predict_all, train_all
 from wardflow.sources import tables as store
 from wardflow.sources.bus import messages_from
-from wardflow.sources.files import read_files
+from wardflow.sources.files import read_files, read_line_messages
 from wardflow.sources.predictions import PREDICTIONS
-from wardflow.sources.publish import SERVING_KEYS, publish_all
+from wardflow.sources.publish import SERVING_KEYS, create_statement, publish_all
 from wardflow.streaming.ingest import (
     FILES,
     MESSAGES,
@@ -1351,6 +1351,32 @@ q(
 )
 
 
+q(
+    "S1_line_messages",
+    lambda c: read_line_messages(c.spark, feed.landing_folder(c.spark, c.sf_dir), glob="*.txt", recursive=True).select(
+        "message_id",
+        "raw_message",
+        F.regexp_extract("source_file", "file_id=(file-[0-9]+)", 1).alias("file"),
+        "file_message_count",
+    ),
+    f"SELECT md5(rtrim(raw_message, chr(13))) AS message_id, rtrim(raw_message, chr(13)) AS raw_message, "
+    f"'file-' || CAST({_file_no} AS VARCHAR) AS file, {INT(f'count(*) OVER (PARTITION BY {_file_no})')} AS file_message_count FROM msg",
+)
+q(
+    "S11_serving_ddl",
+    lambda c: reduce(
+        DataFrame.unionByName,
+        [
+            c.stored(t).limit(0).groupBy().agg(F.lit(t).alias("table"), F.lit(create_statement(t, c.stored(t), k)).alias("ddl"))
+            for t, k in SERVING_KEYS.items()
+        ],
+    ).select("table", F.regexp_extract("ddl", r"PRIMARY KEY \((.*)\)\)$", 1).alias("key"), F.regexp_count("ddl", F.lit(" NOT NULL")).alias("required")),
+    " UNION ALL ".join(
+        f"SELECT '{t}' AS \"table\", '{', '.join(chr(34) + x + chr(34) for x in k)}' AS key, {len(k)} AS required" for t, k in SERVING_KEYS.items()
+    ),
+)
+
+
 def _streamed(c):
     out, checkpoint = feed.new_path(c.spark, "stream"), feed.new_path(c.spark, "checkpoint")
     folder = feed.landing_folder(c.spark, c.sf_dir)
@@ -1450,15 +1476,19 @@ _sql_names = {
     **{"current": "cur", "combined": "comb", "predictions": "pred", "accuracy": "acc"},
 }
 _sql_tables = {full: _sql_names.get(short, short) for short, full in TABLES.items()}
-q(
-    "S13_publish_all",
-    _published,
-    " UNION ALL ".join(
-        f"SELECT '{table}' AS \"table\", CASE WHEN count(*) = 0 THEN 'SKIPPED_EMPTY' ELSE 'SUCCESS' END AS status, count(*) AS rows, "
-        f"CAST(NULL AS VARCHAR) AS error FROM {_sql_tables[table]}"
-        for table in SERVING_KEYS
-    ),
-)
+
+
+def _publish_sql(table, keys):
+    grouped = ", ".join(f"coalesce(CAST({k} AS VARCHAR), '')" for k in keys)
+    bad = f"(SELECT count(*) FROM (SELECT 1 FROM {_sql_tables[table]} GROUP BY {grouped} HAVING count(*) > 1))"
+    return (
+        f"SELECT '{table}' AS \"table\", CASE WHEN {bad} > 0 THEN 'FAILED' WHEN count(*) = 0 THEN 'SKIPPED_EMPTY' ELSE 'SUCCESS' END AS status, "
+        f"CASE WHEN {bad} > 0 THEN 0 ELSE count(*) END AS rows, "
+        f"CASE WHEN {bad} > 0 THEN {bad} || ' key values are repeated or missing in {', '.join(keys)}' END AS error FROM {_sql_tables[table]}"
+    )
+
+
+q("S13_publish_all", _published, " UNION ALL ".join(_publish_sql(t, k) for t, k in SERVING_KEYS.items()))
 q(
     "S13_publish_report",
     _published_partly,

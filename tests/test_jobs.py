@@ -17,9 +17,9 @@ from wardflow.plans import reports
 from wardflow.plans.gold import GOLD, refresh_gold
 from wardflow.sources import tables as store
 from wardflow.sources.bus import messages_from
-from wardflow.sources.files import read_files, read_framed
+from wardflow.sources.files import read_files, read_framed, read_line_messages
 from wardflow.sources.predictions import read_predictions
-from wardflow.sources.publish import SERVING_KEYS, publish_all
+from wardflow.sources.publish import SERVING_KEYS, create_statement, publish_all
 from wardflow.streaming.ingest import (
     FILES,
     ingest_batch,
@@ -77,6 +77,24 @@ def test_framed_files_are_split_by_frame(spark, tmp_path):
     assert framed.count() == 500
 
 
+@pytest.mark.parametrize("split", ["128m", "700"])
+def test_large_files_are_read_by_line(spark, tmp_path, split):
+    head = "MSH|^~\\&|A|F|||20240101||ADT^A01|C{}|P|2.5"
+    parts = [f"\x0b{head.format(i)}\rPID|1||P{i}{'|x' * (i % 9)}\x1c\r" for i in range(60)]
+    parts += ["garbage\n", head.format("a") + "\r\n EVN|A01 \r\n\r\nPID|no header\n", head.format("b") + "\n" + head.format("c") + "\x1cPV1|1"]
+    (tmp_path / "big.hl7").write_bytes("".join(parts).encode())
+    (tmp_path / "none.hl7").write_bytes(b"nothing")
+    whole = messages(read_files(spark, str(tmp_path))).select("message_id", "raw_message", "source_file", "file_message_count")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    try:
+        lines = read_line_messages(spark, str(tmp_path))
+        assert split != "700" or spark.read.text(str(tmp_path / "big.hl7")).rdd.getNumPartitions() > 3
+        assert same(lines.select(*whole.columns), whole)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
 def test_batch_equals_feed(spark, sf, batch):
     context = Context(spark, sf)
     for kind in SILVER:
@@ -292,6 +310,17 @@ def test_publish(spark, gold, tmp_path):
     failed = publish_all(spark, source, "jdbc:nothing:x", ["gold_order_fact"]).first()
     assert failed["status"] == "FAILED" and failed["error"]
     assert len(SERVING_KEYS) == 18
+    # Repeated keys are refused; a missing text in a key is published as a value.
+    store.write_table(orders.union(orders.limit(1)), f"{source}/gold_order_fact")
+    refused = publish_all(spark, source, target, ["gold_order_fact"]).first()
+    assert refused["status"] == "FAILED" and refused["error"].startswith("1 key values") and len(refused["error"]) < 90
+    census = store.read_table(spark, f"{gold}/gold_ed_hourly_census")
+    assert publish_all(spark, gold, target, ["gold_ed_hourly_census"]).first()["status"] == "SUCCESS"
+    written = store.read_table(spark, f"{target}/gold_ed_hourly_census")
+    assert written.where("location_facility = ''").count() == census.where("location_facility IS NULL").count() > 0
+    text = create_statement("gold_patient_dim", store.read_table(spark, f"{gold}/gold_patient_dim"), ["patient_key"])
+    assert text.startswith('CREATE TABLE IF NOT EXISTS "gold_patient_dim" ("patient_key" TEXT NOT NULL, ')
+    assert text.endswith('PRIMARY KEY ("patient_key"))')
 
 
 def test_facts_have_unique_keys(spark, gold):

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from wardflow.functions.text import BLANKS
+
 
 def _with_lineage(df: DataFrame) -> DataFrame:
     modified = F.col("_metadata.file_modification_time")
@@ -49,7 +51,8 @@ def read_files(
 
     A stream takes at most ``max_files`` files or ``max_bytes`` (such as
     ``10g``; give one of the two) per micro-batch. A file becomes one string, so
-    this suits the usual drops of a few MB; see :func:`read_framed` for archives.
+    this suits the usual drops of a few MB; see :func:`read_line_messages` and
+    :func:`read_framed` for archives.
     """
     if max_bytes:
         max_files = None
@@ -58,6 +61,54 @@ def read_files(
     return _with_lineage(whole.option("recursiveFileLookup", recursive).load(directory))
 
 
+def read_line_messages(
+    spark: SparkSession, directory: str, glob: str = "*.hl7", recursive: bool = False
+) -> DataFrame:
+    """Message rows of files of any size, shaped like those of ``messages``.
+
+    Files are read line by line, so Spark cuts a large one into splits for many
+    tasks. A line's message is the number of message starts before it: counted
+    within its split, plus a running sum over the splits of its file. Messages are
+    then put together by file and number, so one that crosses a split is whole.
+    The rules are those of ``split_messages``: a header or a blank line starts a
+    new group, and a group without a header first is dropped.
+    """
+    reader = spark.read.format("text").option("pathGlobFilter", glob).option("recursiveFileLookup", recursive)
+    modified = F.col("_metadata.file_modification_time")
+    pieces = F.split(F.regexp_replace(F.replace("value", F.lit("\x0b"), F.lit("")), "\x1c$", ""), "\x1c")
+    lines = reader.load(directory).select(
+        F.col("_metadata.file_path").alias("source_file"),
+        modified.alias("file_modification_time"),
+        F.col("_metadata.file_block_start").alias("split"),
+        F.monotonically_increasing_id().alias("at"),
+        F.posexplode(pieces).alias("piece", "line"),
+    )
+    lines = lines.withColumn("line", F.btrim("line", F.lit(BLANKS)))
+    starts = (F.col("line") == "") | F.col("line").startswith("MSH|")
+    place = ["source_file", "split"]
+    within = Window.partitionBy(*place).orderBy("at", "piece").rowsBetween(Window.unboundedPreceding, 0)
+    lines = lines.withColumn("local", F.sum(starts.cast("long")).over(within))
+    totals = lines.groupBy(*place).agg(F.max("local").alias("n"))
+    before = Window.partitionBy("source_file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(*place, F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
+    numbered = lines.where("line != ''").join(offsets, place).withColumn("number", F.col("offset") + F.col("local"))
+    # No two lines of a file share a place, so the sort is total.
+    ordered = F.array_sort(F.collect_list(F.struct("split", "at", "piece", "line")))
+    found = numbered.groupBy("source_file", "file_modification_time", "number").agg(ordered.alias("lines"))
+    text = F.array_join(F.transform("lines", lambda x: x["line"]), "\r")
+    found = found.select("source_file", "file_modification_time", text.alias("raw_message")).where("raw_message LIKE 'MSH|%'")
+    counts = found.groupBy("source_file").agg(F.count("*").cast("int").alias("file_message_count"))
+    return found.join(counts, "source_file").select(
+        F.md5("raw_message").alias("message_id"),
+        "raw_message",
+        F.md5(F.concat("source_file", F.col("file_modification_time").cast("string"))).alias("file_id"),
+        "source_file",
+        "file_message_count",
+        "file_modification_time",
+        F.current_timestamp().alias("ingested_at"),
+    )
+
+
 def read_framed(
     spark: SparkSession,
     directory: str,

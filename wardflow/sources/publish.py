@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from wardflow.sources.predictions import read_gold
-from wardflow.sources.tables import sanitize, write_table
+from wardflow.sources.tables import check_primary_key, sanitize, write_table
 
 # Published tables and their primary keys.
 SERVING_KEYS = {
@@ -40,6 +40,34 @@ SERVING_KEYS = {
     "gold_combined_forecast_features": ["event_hour"],
 }
 
+# Column types of the serving store, by Spark's own names.
+SERVING_TYPES = {
+    "string": "TEXT", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE PRECISION", "float": "REAL",
+    "boolean": "BOOLEAN", "date": "DATE", "timestamp": "TIMESTAMP", "timestamp_ntz": "TIMESTAMP", "binary": "BYTEA",
+}
+#: What a missing text in a key column is published as, since a key holds no NULL.
+NO_VALUE = ""
+
+
+def create_statement(table: str, df: DataFrame, keys: list[str]) -> str:
+    """DDL of a serving table with its primary key; run it once before the first publish.
+
+    Spark's writer only truncates and fills, so the key and the types stay.
+    """
+    quoted = lambda name: '"' + name.replace('"', '""') + '"'
+    columns = [
+        f"{quoted(name)} {SERVING_TYPES.get(kind, kind.upper())}{' NOT NULL' if name in keys else ''}" for name, kind in df.dtypes
+    ]
+    key = ", ".join(map(quoted, keys))
+    return f"CREATE TABLE IF NOT EXISTS {quoted(table)} ({', '.join(columns)}, PRIMARY KEY ({key}))"
+
+
+def serving_rows(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows as they are published: missing texts in key columns become a value."""
+    texts = [name for name, kind in df.dtypes if name in keys and kind == "string"]
+    return df.na.fill(NO_VALUE, texts) if texts else df
+
+
 REPORT_SCHEMA = "table string, status string, rows long, error string"
 
 
@@ -103,8 +131,9 @@ def publish_all(
 ) -> DataFrame:
     """Publish every gold table and report what happened to each.
 
-    A missing or empty table empties its target; a failure is reported and does
-    not stop the others.
+    A missing or empty table empties its target. A table whose rows repeat a
+    primary key, or lack one, is not published. A failure is reported and does not
+    stop the others.
     """
     report = []
     for table in tables or list(SERVING_KEYS):
@@ -117,6 +146,12 @@ def publish_all(
                 clear_target(spark, target, table, **properties)
                 report.append((table, "SKIPPED_NOT_FOUND", 0, None))
                 continue
+            keys = SERVING_KEYS.get(table, [])
+            df = serving_rows(df, keys)
+            bad = check_primary_key(df, keys).count() if keys else 0
+            if bad:
+                report.append((table, "FAILED", 0, f"{bad} key values are repeated or missing in {', '.join(keys)}"))
+                continue
             rows = publish_snapshot(df, target, table, **properties)
             report.append((table, "SUCCESS" if rows else "SKIPPED_EMPTY", rows, None))
         except Exception as err:  # reported per table
