@@ -39,23 +39,45 @@ TABLES = {
     "predictions": PREDICTIONS,
     "accuracy": "gold_forecast_accuracy",
 }
+# Gold tables that other gold tables are made of.
+_CENSUS = ["gold_ed_hourly_census", "gold_icu_hourly_census"]
+NEEDS = {
+    **{f"gold_{d}_{t}": ["gold_encounter_fact"] for d in ("ed", "icu") for t in ("hourly_census", "daily_summary")},
+    "gold_patient_activity": ["gold_encounter_fact"],
+    "gold_department_census_current": ["gold_encounter_fact"],
+    "gold_ed_forecast_features": _CENSUS[:1],
+    "gold_icu_forecast_features": _CENSUS[1:],
+    "gold_combined_forecast_features": _CENSUS,
+    PREDICTIONS: _CENSUS,
+    "gold_forecast_accuracy": [PREDICTIONS],
+}
 _LAKES: dict[tuple[str, str], str] = {}
+_READY: set[tuple[str, str]] = set()
+
 
+def lake(spark: SparkSession, sf_dir: str, tables=tuple(TABLES.values())) -> str:
+    """The folder where the jobs run over the feed: ``silver`` and ``gold``.
 
-def lake(spark: SparkSession, sf_dir: str) -> str:
-    """The folder where the jobs ran over the feed, once per session: ``silver`` and ``gold``."""
+    The ingest runs once per session, and so does the refresh of each gold table
+    that is asked for.
+    """
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _LAKES:
         path = feed.new_path(spark, "lake")
         folder = feed.landing_folder(spark, sf_dir)
         ingest_batch(spark, folder, f"{path}/silver", message_time(), glob="*.txt", recursive=True)
-        as_of = F.lit(AS_OF).cast("timestamp")
-        refresh_gold(spark, f"{path}/silver", f"{path}/gold", as_of=as_of)
         _LAKES[key] = path
-        append_table(Context(spark, sf_dir).open_predictions, f"{path}/gold/{PREDICTIONS}")
-        backfill(spark, f"{path}/gold")
-        refresh_gold(spark, f"{path}/silver", f"{path}/gold", ["gold_forecast_accuracy"])
-    return _LAKES[key]
+    path = _LAKES[key]
+    for table in tables:
+        if table.startswith("gold_") and (path, table) not in _READY:
+            lake(spark, sf_dir, NEEDS.get(table, ()))
+            if table == PREDICTIONS:
+                append_table(Context(spark, sf_dir).open_predictions, f"{path}/gold/{table}")
+                backfill(spark, f"{path}/gold")
+            else:
+                refresh_gold(spark, f"{path}/silver", f"{path}/gold", [table], F.lit(AS_OF).cast("timestamp"))
+            _READY.add((path, table))
+    return path
 
 
 class Context:
@@ -78,7 +100,7 @@ class Context:
 
     def stored(self, table: str) -> DataFrame:
         """A table by its full name, as the jobs wrote it."""
-        path = lake(self.spark, self.sf_dir)
+        path = lake(self.spark, self.sf_dir, (table,))
         if table.startswith("silver_"):
             return read_ingested(self.spark, f"{path}/silver", table)
         return read_gold(self.spark, f"{path}/gold", table)
