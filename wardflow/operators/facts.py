@@ -1,4 +1,7 @@
-"""Patient dimension, fact tables and activity rollups."""
+"""Patient dimension, fact tables and activity rollups.
+
+Fixed values: the output columns and key parts of each table.
+"""
 
 from __future__ import annotations
 

@@ -24,70 +24,70 @@ class Rule:
 # The rule catalog, by segment.
 RULES = {
     "MSH": [
-        Rule("msh_message_type_not_null", "Message type must be present",
+        Rule("msh_message_type_not_null", "tells which kind of event a message reports",
              "message_type IS NOT NULL", DROP, ("required", "msh")),
-        Rule("msh_control_id_not_null", "Message control ID must be present",
+        Rule("msh_control_id_not_null", "identifies a message to its sender",
              "message_control_id IS NOT NULL", DROP, ("required", "msh")),
-        Rule("msh_sending_facility_not_null", "Sending facility should be present",
+        Rule("msh_sending_facility_not_null", "needed to attribute a message to a site",
              "sending_facility IS NOT NULL", WARN, ("recommended", "msh")),
-        Rule("msh_valid_version", "HL7 version should be 2.x",
+        Rule("msh_valid_version", "only the pipe-delimited family is read",
              "version_id LIKE '2.%'", WARN, ("format", "msh")),
-        Rule("msh_datetime_not_future", "Message datetime should not be in the future",
+        Rule("msh_datetime_not_future", "a sender's clock that runs ahead",
              "message_datetime <= current_timestamp()", WARN, ("temporal", "msh")),
     ],
     "PID": [
-        Rule("pid_patient_id_not_null", "Patient ID must be present",
+        Rule("pid_patient_id_not_null", "rows without it join to nobody",
              "patient_id IS NOT NULL AND patient_id != ''", DROP, ("required", "pid")),
-        Rule("pid_patient_name_not_null", "Patient name should be present",
+        Rule("pid_patient_name_not_null", "family or given name, either will do",
              "patient_name_family IS NOT NULL OR patient_name_given IS NOT NULL",
              WARN, ("recommended", "pid")),
-        Rule("pid_valid_sex", "Sex should be a valid code",
+        Rule("pid_valid_sex", "one-letter administrative code, or none",
              "sex IS NULL OR sex IN ('M', 'F', 'U', 'O', 'A', 'N')", WARN, ("format", "pid")),
-        Rule("pid_dob_not_future", "Date of birth should not be in the future",
+        Rule("pid_dob_not_future", "born by today",
              "date_of_birth IS NULL OR date_of_birth <= current_date()",
              WARN, ("temporal", "pid")),
-        Rule("pid_dob_reasonable", "Date of birth should be within reasonable range (150 years)",
+        Rule("pid_dob_reasonable", "nobody is older than 54 750 days",
              "date_of_birth IS NULL OR date_of_birth >= date_sub(current_date(), 54750)",
              WARN, ("temporal", "pid")),
-        Rule("pid_valid_zip_format", "ZIP code should be valid format (5 or 9 digits)",
+        Rule("pid_valid_zip_format", "five digits, four more after a dash",
              "address_zip IS NULL OR address_zip RLIKE '^[0-9]{5}(-[0-9]{4})?$'",
              WARN, ("format", "pid")),
     ],
     "PV1": [
-        Rule("pv1_patient_class_not_null", "Patient class should be present",
+        Rule("pv1_patient_class_not_null", "inpatient, outpatient and so on",
              "patient_class IS NOT NULL", WARN, ("recommended", "pv1")),
-        Rule("pv1_valid_patient_class", "Patient class should be valid code",
+        Rule("pv1_valid_patient_class", "one-letter visit class, or none",
              "patient_class IS NULL OR patient_class IN "
              "('I', 'O', 'E', 'P', 'R', 'B', 'C', 'N', 'U')", WARN, ("format", "pv1")),
-        Rule("pv1_admit_before_discharge", "Admit datetime should be before discharge datetime",
+        Rule("pv1_admit_before_discharge", "nobody leaves before coming",
              "discharge_datetime IS NULL OR admit_datetime IS NULL "
              "OR admit_datetime <= discharge_datetime", WARN, ("temporal", "pv1")),
-        Rule("pv1_admit_not_future", "Admit datetime should not be in the future",
+        Rule("pv1_admit_not_future", "planned stays do not count as admissions",
              "admit_datetime IS NULL OR admit_datetime <= current_timestamp()",
              WARN, ("temporal", "pv1")),
     ],
     "OBX": [
-        Rule("obx_observation_id_not_null", "Observation ID must be present",
+        Rule("obx_observation_id_not_null", "a result without it cannot be named",
              "observation_id IS NOT NULL AND observation_id != ''", DROP, ("required", "obx")),
-        Rule("obx_value_type_not_null", "Value type should be present",
+        Rule("obx_value_type_not_null", "says how to read the value",
              "value_type IS NOT NULL", WARN, ("recommended", "obx")),
-        Rule("obx_valid_value_type", "Value type should be valid HL7 code",
+        Rule("obx_valid_value_type", "one of the types that results come in",
              "value_type IS NULL OR value_type IN "
              "('NM', 'ST', 'TX', 'CE', 'DT', 'TM', 'TS', 'FT', 'ED', 'SN', 'CWE')",
              WARN, ("format", "obx")),
-        Rule("obx_numeric_has_units", "Numeric observations should have units",
+        Rule("obx_numeric_has_units", "a bare number means nothing",
              "value_type != 'NM' OR units IS NOT NULL", WARN, ("completeness", "obx")),
-        Rule("obx_valid_result_status", "Result status should be valid HL7 code",
+        Rule("obx_valid_result_status", "final, preliminary, corrected and the like",
              "observation_result_status IS NULL OR observation_result_status IN "
              "('C', 'D', 'F', 'I', 'N', 'O', 'P', 'R', 'S', 'U', 'W', 'X')",
              WARN, ("format", "obx")),
     ],
     "DG1": [
-        Rule("dg1_code_not_null", "Diagnosis code must be present",
+        Rule("dg1_code_not_null", "a diagnosis without it cannot be counted",
              "diagnosis_code IS NOT NULL AND diagnosis_code != ''", DROP, ("required", "dg1")),
-        Rule("dg1_valid_coding_system", "Coding system should be specified",
+        Rule("dg1_valid_coding_system", "codes repeat across systems",
              "diagnosis_coding_system IS NOT NULL", WARN, ("recommended", "dg1")),
-        Rule("dg1_icd10_format", "ICD-10 codes should match format",
+        Rule("dg1_icd10_format", "letter, two digits, up to four places after a point",
              "diagnosis_coding_system != 'ICD10' OR "
              r"diagnosis_code RLIKE '^[A-Z][0-9]{2}(\\.[0-9A-Z]{1,4})?$'",
              WARN, ("format", "dg1")),

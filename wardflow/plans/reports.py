@@ -507,16 +507,22 @@ def prediction_overview(predictions: DataFrame) -> DataFrame:
 
 # Columns of the feature listings.
 FEATURE_COLUMNS = {
-    "combined": """event_hour ed_arrivals ed_discharges ed_net_change icu_arrivals icu_discharges
-        icu_net_change total_arrivals total_discharges ed_to_icu_ratio net_system_pressure
-        hour_of_day day_of_week is_weekend ed_arrivals_rolling_24h icu_arrivals_rolling_24h
-        ed_discharges_rolling_24h icu_discharges_rolling_24h""".split(),
-    "department": """event_hour location_facility arrivals discharges net_change arrivals_lag_1h
-        arrivals_lag_24h arrivals_rolling_6h arrivals_rolling_24h arrivals_avg_24h
-        arrivals_std_24h discharges_rolling_24h cumulative_net_census arrivals_wow_ratio
-        is_night_shift is_holiday_window""".split(),
-    "sample": """event_hour location_facility arrivals discharges arrivals_lag_1h
-        arrivals_rolling_24h cumulative_net_census is_night_shift is_holiday_window""".split(),
+    "combined": (
+        "event_hour", "ed_arrivals", "ed_discharges", "ed_net_change", "icu_arrivals", "icu_discharges",
+        "icu_net_change", "total_arrivals", "total_discharges", "ed_to_icu_ratio", "net_system_pressure",
+        "hour_of_day", "day_of_week", "is_weekend", "ed_arrivals_rolling_24h", "icu_arrivals_rolling_24h",
+        "ed_discharges_rolling_24h", "icu_discharges_rolling_24h",
+    ),
+    "department": (
+        "event_hour", "location_facility", "arrivals", "discharges", "net_change", "arrivals_lag_1h",
+        "arrivals_lag_24h", "arrivals_rolling_6h", "arrivals_rolling_24h", "arrivals_avg_24h",
+        "arrivals_std_24h", "discharges_rolling_24h", "cumulative_net_census", "arrivals_wow_ratio",
+        "is_night_shift", "is_holiday_window",
+    ),
+    "sample": (
+        "event_hour", "location_facility", "arrivals", "discharges", "arrivals_lag_1h",
+        "arrivals_rolling_24h", "cumulative_net_census", "is_night_shift", "is_holiday_window",
+    ),
 }
 
 
