@@ -47,7 +47,7 @@ COORDINATES = BANDS * ROWS
 #: and fewer than this have a probability of about one in a million.
 AGREE = 81
 #: Sizes of the blocks in which a bucket is compared: classes outside its main component, members.
-OUTSIDE, MEMBERS = 256, 1024
+OUTSIDE, MEMBERS = 128, 512
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _FREE = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -288,6 +288,8 @@ def near_dedup(docs: DataFrame) -> DataFrame:
     parts = stored(components(nodes, links.union(more)), "components")
 
     label = classes.join(parts, "node", "left").select("digest", F.coalesce("component", "node").alias("component"))
+    # Stored, so that the join reads it from a shuffle of its own and a hot class can be split.
+    label = stored(label, "class-components")
     found = rows.select("doc_id", "n_shingles", "digest").join(label, "digest", "left")
     component = F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("component")).otherwise(F.col("doc_id"))
     return found.select(
