@@ -39,7 +39,7 @@ from wardflow.llm.common import mix, slices, stored
 #: Tokens of the shortest passage whose repetition counts.
 REPEAT_TOKENS = 4
 #: Tokens that one task's suffix array holds, about 50 bytes each while it is built.
-CHUNK_TOKENS = 400_000
+CHUNK_TOKENS = 25_000
 
 # Elements by their part in a page.
 _SILENT = frozenset(
