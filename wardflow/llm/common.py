@@ -20,23 +20,29 @@ SPACES = "\t\n\x0b\x0c\r "
 SPACE_BYTES = SPACES.encode()
 
 #: Bytes of text that a task handles at a time.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 
-#: Lets Spark delete an execution's shuffle files when it ends; nothing needs them after a written step.
-CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Settings of a written step. Spark deletes its shuffle files when it ends, as nothing needs them
+#: once the step is stored; and Python workers get texts in batches of this many rows.
+STEP_SETTINGS = {
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+}
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
     """``df`` written to the shared folder and read back, which cuts its lineage."""
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark)}/corpus/{label}-{uuid.uuid4().hex}"
-    before = spark.conf.get(CLEANUP, None)
-    spark.conf.set(CLEANUP, "true")
+    before = {key: spark.conf.get(key, None) for key in STEP_SETTINGS}
+    for key, value in STEP_SETTINGS.items():
+        spark.conf.set(key, value)
     try:
         df.write.option("compression", "zstd").parquet(path)
     finally:
-        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
     return spark.read.schema(df.schema).parquet(path)
 
 

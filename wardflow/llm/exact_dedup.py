@@ -32,7 +32,7 @@ CAPACITY = 1_000
 #: Bits of the key that the directory may use; a bucket at this depth chains instead of splitting.
 MOST_BITS = 20
 #: Bytes of texts that a task keeps at a time to fold copies.
-FOLD_BYTES = 48 << 20
+FOLD_BYTES = 16 << 20
 #: Directories of at most this many pointers (16 bytes each) are broadcast.
 BROADCAST_POINTERS = 1 << 14
 

@@ -22,13 +22,19 @@ _LATIN = re.compile("[\t\n\r -~\xa1-ɏ‐-‧€]*")
 _RUN = re.compile(r"\s\s")
 
 
+def _exact():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    coder = Tokenizer.from_file(public_tokenizers.path(VOCABULARY))
+    coder.encode_special_tokens = True
+    return coder
+
+
 def _load() -> Callable[[Sequence[str]], list[np.ndarray]]:
     import public_tokenizers
     import tiktoken
-    from tokenizers import Tokenizer
 
-    exact = Tokenizer.from_file(public_tokenizers.path(VOCABULARY))
-    exact.encode_special_tokens = True
     with open(public_tokenizers.path(RANKS), "rb") as lines:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
     whole = tiktoken.Encoding("whole", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
@@ -42,9 +48,9 @@ def _load() -> Callable[[Sequence[str]], list[np.ndarray]]:
             if _LATIN.fullmatch(text):
                 coder = whole if _RUN.search(text) else plain
                 out[i] = np.array(coder.encode_ordinary(text), dtype="<u4")
-        rest = [i for i, ids in enumerate(out) if ids is None]
-        for i in rest:
-            out[i] = np.array(exact.encode(texts[i], add_special_tokens=False).ids, dtype="<u4")
+        for i, ids in enumerate(out):
+            if ids is None:  # the library itself, loaded only where it is needed
+                out[i] = np.array(once("exact", _exact).encode(texts[i], add_special_tokens=False).ids, dtype="<u4")
         return out
 
     return encode
