@@ -60,3 +60,47 @@ def test_documents_in_a_known_language_are_kept(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     judged = X.identify_documents(docs).join(docs.select("doc_id", "lang"), "doc_id")
     assert judged.where("kept AND language = lang").count() == docs.count()
+
+
+# Texts in languages that the corpus does not declare, and random characters.
+FOREIGN = {
+    "ru": "дом стоит недалеко от старой реки и утром они гуляли там вместе со своими друзьями по берегу",
+    "zh": "房子离古老的河流不远他们早上和朋友们一起在那里散步然后回家吃饭看书休息",
+    "ar": "البيت قريب من النهر القديم وكانوا يمشون هناك مع أصدقائهم في الصباح الباكر",
+    "pl": "dom stoi niedaleko starej rzeki a rano spacerowali tam razem ze swoimi przyjaciółmi wzdłuż brzegu",
+    "fi": "talo on lähellä vanhaa jokea ja he kävelivät siellä ystäviensä kanssa varhain aamulla",
+    "zz": "xq7vkz jw9pqx zvbkq wqxjz kkvzq pxwqj zzvqk jqxwv bqzkx vwqpz xjkqz qvzwx kzqjv wxqzk",
+}
+
+
+def test_foreign_and_junk_texts_are_rejected(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang", "source")
+    odd = [(-1 - i, t, l if i % 2 else "de", "hot") for i, (l, t) in enumerate(FOREIGN.items())]
+    out = X.identify_documents(docs.union(spark.createDataFrame(odd, docs.schema))).where("doc_id < 0").collect()
+    assert len(out) == len(odd) and {(r.language, r.kept) for r in out} == {("und", False)}
+
+
+def test_numbers_and_keys_are_no_evidence(spark):
+    odd = [(3100, "the house 9f3a77c1de0b55aa42 4550997810720808 a8f00e1", "en", "x", 7)]
+    out = {r.doc_id: r for r in X.identify_documents(spark.createDataFrame(corpus(spark) + odd, SCHEMA)).collect()}
+    assert out[3100].language == "en" and out[3100].kept
+
+
+def test_a_fifth_language_that_rows_declare_is_a_candidate(spark):
+    words = FOREIGN["pl"].split(" ")
+    polish = [(5000 + i, " ".join(words[i % 9 :] + words[: i % 9]), "pl-PL", "a.example", 7) for i in range(40)]
+    stray = [(6000, FOREIGN["pl"], None, "other", 7), (6001, SAID["de"], "PL", "other", 7)]
+    out = {r.doc_id: r for r in X.identify_documents(spark.createDataFrame(corpus(spark) + polish + stray, SCHEMA)).collect()}
+    assert all(out[i].language == "pl" and out[i].kept for i in [*range(5000, 5040), 6000]) and out[6001].language == "de"
+    assert all(out[i].language == X.LANGUAGES[i % 4] for i in range(160))
+
+
+def test_tags_are_read_by_their_primary_subtag(spark):
+    tags = ["en", "EN-us", "pt_BR", "fil", "fil-PH", "x-klingon", "", None, "e n", " de "]
+    rows = spark.createDataFrame([(t,) for t in tags], "t string").select(X.primary_subtag(X.F.col("t")).alias("t")).collect()
+    assert [r.t or "" for r in rows] == ["en", "en", "pt", "fil", "fil", "", "", "", "", "de"]
+
+
+def test_a_corpus_without_declared_languages_is_not_judged(spark):
+    out = X.identify_documents(spark.createDataFrame([(1, SAID["en"], None, "a", 7)], SCHEMA)).collect()
+    assert [(r.language, r.kept) for r in out] == [("und", False)]
