@@ -76,3 +76,41 @@ def test_nulls_empty_texts_repeats_and_no_rows(spark):
 
 def test_no_python_in_the_plan(spark):
     assert not re.search("Python|Pandas|Arrow", X.mix(corpus(spark))._jdf.queryExecution().toString())
+
+
+def drawn_share(rows):
+    return sum(r.p * r.tokens for r in rows) / sum(r.tokens for r in rows)
+
+
+def test_a_stray_row_does_not_shrink_the_draw(spark):
+    stray = spark.createDataFrame([(9999, "#", "xx", "stray", 9.0, "own")], SCHEMA)
+    rows = X.mix(corpus(spark).union(stray)).collect()
+    assert drawn_share(rows) == pytest.approx(X.KEPT_SHARE, rel=1e-6)
+    assert max(r.p for r in rows) == 1.0 and [r.drawn for r in rows if r.doc_id == 9999] == [True]
+
+
+def test_the_scale_keeps_the_proportions_of_cells_under_one(spark):
+    cells = spark.createDataFrame([("a", 1, 0.2), ("b", 10, 0.4), ("c", 989, 0.4), ("d", 50, 0.0)], "k string, tokens long, weight double")
+    p = {r.k: r.p for r in X.probabilities(cells, 0.5).collect()}
+    # a and b reach one; c gives the other 489 of 500 tokens; d is not wanted.
+    assert p == pytest.approx({"a": 1.0, "b": 1.0, "c": 489 / 989, "d": 0.0})
+    assert {r.p for r in X.probabilities(cells, 1.0).where("weight > 0").collect()} == {1.0}
+
+
+def test_raking_goes_on_until_the_margins_hold(spark):
+    # Languages go along with sources almost entirely, so each round takes off little.
+    rows = [(s, l, "t", 1000 if s == l else 30) for s in "ab" for l in "ab"]
+    cells = spark.createDataFrame(rows, "source string, language string, topic string, tokens long")
+    to = lambda m, **w: spark.createDataFrame(list(w.items()), f"{m} string, target double")
+    targets = {"source": to("source", a=0.7, b=0.3), "language": to("language", a=0.35, b=0.65), "topic": to("topic", t=1.0)}
+    out = X.rake(cells, targets, 2).collect()
+    assert sum(r.weight for r in out if r.source == "a") == pytest.approx(0.7, rel=X.TOLERANCE)
+    assert sum(r.weight for r in out if r.language == "b") == pytest.approx(0.65, rel=X.TOLERANCE)
+
+
+def test_targets_that_exclude_each_other_end_with_a_warning(spark):
+    cells = spark.createDataFrame([("a", "a", "t", 10), ("b", "b", "t", 10)], "source string, language string, topic string, tokens long")
+    to = lambda m, **w: spark.createDataFrame(list(w.items()), f"{m} string, target double")
+    targets = {"source": to("source", a=0.7, b=0.3), "language": to("language", a=0.2, b=0.8), "topic": to("topic", t=1.0)}
+    with pytest.warns(UserWarning, match="marginal error"):
+        X.rake(cells, targets, 2)

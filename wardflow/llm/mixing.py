@@ -2,9 +2,16 @@
 
 The tokens of all documents are summed per cell of source, language and topic. Cell weights are
 then raked: scaled to the target share of each source, then of each language, then of each topic,
-again and again, until the marginals hold. A cell's factor over its tokens is the relative rate at
-which its documents are wanted; scaled so that the largest rate is one, it is the probability with
-which each of the cell's documents is drawn, by a hash of its id, so the draw can be repeated.
+again and again, ``ROUNDS`` times and then until every marginal is within ``TOLERANCE`` of its target.
+Targets that cannot be met together stop the rounds when the error no longer falls, or at
+``MOST_ROUNDS``, with a warning. A cell's factor over its tokens is the relative rate at which its
+documents are wanted; scaled, and one at most, it is the probability with which each of the cell's
+documents is drawn, by a hash of its id, so the draw can be repeated.
+
+The scale brings the largest rate to one, so that the draw meets the targets exactly. Where a few
+rare cells would thereby hold the draw under ``KEPT_SHARE`` of the wanted tokens, the scale is raised
+until that share is drawn: cells that reach one are drawn whole, fall short of their targets, and
+leave the rest to the others, whose rates keep their proportions.
 
 Everything is a DataFrame. Documents are aggregated before the first shuffle, so a source with a
 third of all rows costs one row per task and cell. The marginal factors are tables; the cells are
@@ -18,6 +25,8 @@ weigh one token, and a value without a target (or with target 0) is not drawn. R
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,8 +34,12 @@ from wardflow.llm.common import stored
 
 MARGINS = ("source", "language", "topic")
 TEMPER = 0.8
-#: Rounds of raking; each adjusts all marginals once.
-ROUNDS = 8
+#: Rounds of raking, at least and at most; each adjusts all marginals once.
+ROUNDS, MOST_ROUNDS = 8, 100
+#: Relative error of a marginal at which raking ends; a round that takes off less than this part of the error is the last.
+TOLERANCE, LEAST_GAIN = 0.01, 0.001
+#: Share of the wanted tokens that is drawn at least.
+KEPT_SHARE = 1 / 3
 #: A cell row is about 100 bytes.
 BROADCAST_CELLS = 20_000
 SEED = "mix"
@@ -83,20 +96,52 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROUNDS)
     for margin in keys:
         wanted = wanted.join(targets[margin].withColumnRenamed("target", f"{margin}_target"), margin, "left")
     shares = stored(wanted.fillna(0.0, [f"{m}_target" for m in keys]).withColumn("weight", F.col("tokens").cast("double")), "cells")
-    for _ in range(rounds):
+    error = float("inf")
+    for done in range(1, max(rounds, MOST_ROUNDS) + 1):
         for margin in keys:
             sums = shares.groupBy(margin).agg(F.sum("weight").alias("has"))
             factor = F.when(F.col("has") > 0, F.col(f"{margin}_target") / F.col("has")).otherwise(0.0)
             shares = shares.join(sums, margin).withColumn("weight", F.col("weight") * factor).drop("has")
         shares = stored(shares, "raked")
+        if done >= rounds:
+            before, error = error, marginal_error(shares, keys)
+            if error <= TOLERANCE:
+                break
+            if error > before * (1 - LEAST_GAIN):
+                warnings.warn(f"raking ended after {done} rounds at a marginal error of {error:.3g}", stacklevel=2)
+                break
+    else:
+        if error > TOLERANCE:
+            warnings.warn(f"raking ended after {done} rounds at a marginal error of {error:.3g}", stacklevel=2)
     return shares.select(*cells.columns, "weight")
 
 
-def probabilities(cells: DataFrame) -> DataFrame:
-    """``cells`` with ``p``: the weight per token, scaled so that the largest is one."""
+def marginal_error(shares: DataFrame, margins: list[str]) -> float:
+    """The largest relative distance of a marginal of ``weight`` from its target, among values with one."""
+    worst = 0.0
+    for margin in margins:
+        sums = shares.groupBy(margin).agg(F.sum("weight").alias("has"), F.first(f"{margin}_target").alias("target"))
+        found = sums.where("target > 0").agg(F.max(F.abs(F.col("has") / F.col("target") - 1))).first()[0]
+        worst = max(worst, found or 0.0)
+    return worst
+
+
+def probabilities(cells: DataFrame, share: float = KEPT_SHARE) -> DataFrame:
+    """``cells`` with ``p``: the weight per token, scaled so that the largest is one or ``share`` is drawn."""
     rate = F.col("weight") / F.col("tokens")
-    top = cells.agg(F.max(rate)).first()[0] or 1.0
-    return cells.withColumn("p", rate / F.lit(top))
+    wanted = cells.where("weight > 0")
+    top, weight, tokens = wanted.agg(F.max(rate), F.sum("weight"), F.sum("tokens")).first()
+    one = top or 1.0  # the rate that counts as one
+    if top and weight / one < share * tokens:
+        while True:
+            # Cells drawn whole give their tokens; the others must give the rest. The former only become more.
+            is_whole = rate >= F.lit(one)
+            whole_tokens = F.sum(F.when(is_whole, F.col("tokens")).otherwise(0))
+            whole, rest = wanted.agg(whole_tokens, F.sum(F.when(is_whole, 0.0).otherwise(F.col("weight")))).first()
+            if not rest or whole >= share * tokens or rest / (share * tokens - whole) >= one * (1 - 1e-12):
+                break
+            one = rest / (share * tokens - whole)
+    return cells.withColumn("p", F.least(rate / F.lit(one), F.lit(1.0)))
 
 
 def drawn(p: Column, doc_id: Column, seed: str = SEED) -> Column:
