@@ -101,3 +101,23 @@ def test_long_page(spark):
     page = "<article>" + "<p>word word</p>" * 20_000 + "</article>"
     (row,) = X.extract(spark.createDataFrame([(1, "http://a/", page)], "page_id long, url string, html string")).collect()
     assert row.text == "\n".join(["word word"] * 20_000)
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<body class='single no-sidebar'><article><p>t</p></article></body>",
+        "<body class='sidebar'><article><p>t</p></article></body>",
+        "<main class='has-sidebar'><p>t</p></main>",
+        "<article class='post comment-open'><p>t</p></article>",
+        "<article class='comment'><p>t</p></article>",
+        "<div id='page' class='menu-closed'><p>t</p></div>",
+        "<div id='page' class='widget'><article><p>t</p></article></div>",
+        # Articles within comments stay comments, also within a marked element around the whole page.
+        "<div class='widget'><main><p>t</p><div id='comments'><article><p>nice</p></article></div></main></div>",
+        "<div class='related'><article>r</article></div><main><p>t</p><article class='comment'>c</article></main>",
+        "<main><p>t</p></main><div class='cookie-notice'>c</div><div class='left-sidebar'>s</div><div id='footer'>f</div>",
+    ],
+)
+def test_marks_of_the_page_and_of_states_are_no_boilerplate(page):
+    assert X.main_text(page, [])[0] == "t"

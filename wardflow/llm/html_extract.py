@@ -1,7 +1,10 @@
 """Main text of web pages by markup and a host suffix array.
 
 A page is cut into blocks, each with the place it stands in: boilerplate by its markup (menus,
-headers, footers, sidebars, notices, adverts, forms, comments), the article, or neither.
+headers, footers, sidebars, notices, adverts, forms, comments), the article, or neither. Classes and
+ids count as markup word by word, but names of a state (``has-sidebar``, ``menu-closed``) do not, nor
+do those of ``html``, ``body``, ``main``, an outermost ``article`` and the elements around the page's
+article: the first of those with the fewest marked elements around them.
 
 Markup alone can't judge the blocks that stand in neither, so each host's pages are compared. The
 tokens of all blocks outside the article, page after page, form the host's token stream, and the
@@ -61,6 +64,10 @@ _MARKS = frozenset(
     "promo promoted promotion recommended related replies reply respond share sharing sidebar signup social sponsor "
     "sponsored subscribe subscription toolbar widget".split()
 )
+# Words that make a class name tell a state of the element rather than its part.
+_STATES = frozenset(
+    "has no not with without is active closed collapsed disabled enabled expanded fixed hidden off on open opened visible".split()
+)
 _WORD = re.compile(r"[a-z]+")
 
 _TOKEN = re.compile(
@@ -71,7 +78,7 @@ _TOKEN = re.compile(
 )
 _ATTRIBUTE = re.compile(r"([A-Za-z_:-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))")
 
-BOILER, ARTICLE, OTHER = 0, 1, 2
+BOILER, ARTICLE, OTHER, MARKED = 0, 1, 2, 3
 
 
 class Block(NamedTuple):
@@ -79,40 +86,60 @@ class Block(NamedTuple):
     text: str
 
 
-def _marked(name: str, attributes: str, in_article: bool) -> bool:
-    """Whether the element is boilerplate by its markup."""
+def _names_boilerplate(value: str) -> bool:
+    """Whether one of the class names (or the id) has a word for boilerplate and none for a state."""
+    for name in value.split():
+        words = _WORD.findall(name)
+        if not _MARKS.isdisjoint(words) and _STATES.isdisjoint(words):
+            return True
+    return False
+
+
+def _marked(name: str, attributes: str, in_article: bool) -> int:
+    """BOILER if the element is boilerplate by its markup, MARKED if only by its class or id, else OTHER."""
     if name in _BOILER or (name == "header" and not in_article):
-        return True
+        return BOILER
     if not attributes.strip():
-        return False
+        return OTHER
+    marked = False
     for key, *values in _ATTRIBUTE.findall(attributes):
         key, value = key.lower(), "".join(values).lower()
-        if key in ("class", "id") and _MARKS.intersection(_WORD.findall(value)):
-            return True
+        if key in ("class", "id"):
+            marked = marked or _names_boilerplate(value)
         if key == "role" and value in _ROLES or key == "aria-hidden" and value == "true":
-            return True
+            return BOILER
         if key == "style" and "display:none" in value.replace(" ", ""):
-            return True
-    return bool(re.search(r"(?:^|\s)hidden(?:[\s=/]|$)", re.sub(r"\"[^\"]*\"|'[^']*'", "", attributes)))
+            return BOILER
+    if re.search(r"(?:^|\s)hidden(?:[\s=/]|$)", re.sub(r"\"[^\"]*\"|'[^']*'", "", attributes)):
+        return BOILER
+    if name in ("html", "body", "main") or name == "article" and not in_article:
+        return OTHER
+    return MARKED if marked else OTHER
 
 
 def blocks_of(page: str) -> list[Block]:
     """The text blocks of a page in order, white space folded, entities decoded."""
-    out: list[Block] = []
+    # Blocks with the place they have but for classes and ids, and the marked elements that they stand in.
+    out: list[tuple[int, list[int], str]] = []
     words: list[str] = []
-    # Open elements that matter, as (name, boilerplate or article).
-    stack: list[tuple[str, int]] = []
+    # Open elements that matter, as (name, boilerplate or article or marked, number).
+    stack: list[tuple[str, int, int]] = []
+    opened = 0
+    around: list[int] | None = None  # the marked elements around the page's article
 
     def place() -> int:
-        if any(kind == BOILER for _, kind in stack):
+        if any(kind == BOILER for _, kind, _ in stack):
             return BOILER
-        return ARTICLE if any(kind == ARTICLE for _, kind in stack) else OTHER
+        return ARTICLE if any(kind == ARTICLE for _, kind, _ in stack) else OTHER
+
+    def marks() -> list[int]:
+        return [i for _, kind, i in stack if kind == MARKED]
 
     def flush() -> None:
         text = " ".join(entities.unescape("".join(words)).split())
         words.clear()
         if text:
-            out.append(Block(place(), text))
+            out.append((place(), marks(), text))
 
     at, size = 0, len(page)
     while at < size:
@@ -152,15 +179,20 @@ def blocks_of(page: str) -> list[Block]:
             continue
         if name in _VOID or m[3].endswith("/"):
             continue
-        if _marked(name, m[3], any(kind == ARTICLE for _, kind in stack)):
+        opened += 1
+        kind = _marked(name, m[3], any(kind == ARTICLE for _, kind, _ in stack))
+        if kind != OTHER:
             flush()
-            stack.append((name, BOILER))
+            stack.append((name, kind, opened))
         elif name in ("article", "main"):
-            stack.append((name, ARTICLE))
+            if place() != BOILER and (around is None or len(marks()) < len(around)):
+                around = marks()
+            stack.append((name, ARTICLE, opened))
         elif name in _BLOCKS and name not in ("p", "li", "dt", "dd", "tr", "td", "th", "body", "html") or name == "span":
-            stack.append((name, OTHER))
+            stack.append((name, OTHER, opened))
     flush()
-    return out
+    free = set(around or ())
+    return [Block(BOILER if set(inside) - free else kind, text) for kind, inside, text in out]
 
 
 def suffix_array(tokens: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
