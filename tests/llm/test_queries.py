@@ -18,4 +18,4 @@ def test_query_equals_sql(spark, sf, con, name):
 
 def test_one_query_for_each_operator():
     numbers = [re.match(r"op(\d+)_", n) for n in entry.CORPUS if n != "pipeline"]
-    assert sorted(int(m[1]) for m in numbers) == list(range(1, 11)) and "pipeline" in entry.queries()
+    assert sorted(int(m[1]) for m in numbers) == list(range(1, 14)) and "pipeline" in entry.queries()
