@@ -23,14 +23,18 @@ from wardflow.operators import messages as msgs
 from wardflow.operators.report import message_report
 from wardflow.operators.segments import SILVER
 from wardflow.plans import adt, reports, status
-from wardflow.plans.forecast import FEATURE_TABLES, METADATA, RUNS, predict_all, train_all
+from wardflow.plans.forecast import FEATURE_TABLES, METADATA, RUNS, backfill, predict_all, refresh_accuracy, train_all
+from wardflow.plans.increment import refresh_increment
 from wardflow.sources import tables as store
 from wardflow.sources.bus import messages_from
 from wardflow.sources.files import read_files, read_line_messages
-from wardflow.sources.predictions import PREDICTIONS
+from wardflow.sources.changes import publish_version, read_changes, replay
+from wardflow.sources.predictions import PREDICTIONS, append_predictions, read_predictions
 from wardflow.sources.publish import SERVING_KEYS, create_statement, publish_all
+from wardflow.sources.versions import write_version
 from wardflow.streaming.ingest import (
     FILES,
+    LINES,
     MESSAGES,
     ingest_batch,
     read_ingested,
@@ -1390,12 +1394,12 @@ q("R1_R2_R3_S3_stream_ingest", _streamed, "SELECT * EXCLUDE (admit_at, discharge
 
 
 def _ingested(c):
-    """The feed ingested as two runs into one folder, the first of them twice; once per session."""
+    """The feed ingested by three runs into one folder, the last of which finds nothing new; once per session."""
     key = (c.spark.sparkContext.applicationId, c.sf_dir)
     if key not in _INGESTED:
         out, folder = feed.new_path(c.spark, "ingested"), feed.landing_folder(c.spark, c.sf_dir)
-        for half in ("[02468]", "[13579]", "[02468]"):
-            ingest_batch(c.spark, f"{folder}/file_id=file-*{half}", out, msgs.message_time(), glob="*.txt", recursive=True)
+        for some in ("*[02468]", "*", "*[13579]"):  # a folder that grows, and files that are all known
+            ingest_batch(c.spark, f"{folder}/file_id=file-{some}", out, msgs.message_time(), glob="*.txt", recursive=True)
         _INGESTED[key] = out
     return _INGESTED[key]
 
@@ -1419,6 +1423,114 @@ q(
     f"SELECT files, count(*) AS runs FROM (SELECT CAST(substr(file, 6) AS INTEGER) % 2 AS half, count(*) AS files FROM "
     f"(SELECT DISTINCT 'file-' || CAST({_file_no} AS VARCHAR) AS file FROM msg) GROUP BY 1) GROUP BY 1",
 )
+q(
+    "R3_grown_folder",
+    lambda c: read_ingested(c.spark, _ingested(c), MESSAGES).groupBy("message_id").agg(F.count("*").alias("times")),
+    "SELECT md5(rtrim(raw_message, chr(13))) AS message_id, count(*) AS times FROM msg GROUP BY 1",
+)
+
+
+def _archive(c):
+    """The feed as one file; once per session."""
+    key = (c.spark.sparkContext.applicationId, c.sf_dir)
+    if key not in _ARCHIVES:
+        path = feed.new_path(c.spark, "archive")
+        text = feed.feed_messages(c.spark, c.sf_dir).select(F.concat("raw_message", F.lit("\n")).alias("value"))
+        text.coalesce(1).write.text(path)
+        _ARCHIVES[key] = path
+    return _ARCHIVES[key]
+
+
+_ARCHIVES: dict[tuple[str, str], str] = {}
+
+
+def _archived(c, streamed: bool):
+    """The archive's messages, read by line from more than one split."""
+    out, source = feed.new_path(c.spark, "archived"), {"glob": "*.txt", "lines": True}
+    before = c.spark.conf.get("spark.sql.files.maxPartitionBytes")
+    c.spark.conf.set("spark.sql.files.maxPartitionBytes", "256k")
+    try:
+        if streamed:
+            start_ingest(
+                c.spark, _archive(c), out, feed.new_path(c.spark, "checkpoint"), parsed_at=msgs.message_time(), **source
+            ).awaitTermination()
+        else:
+            ingest_batch(c.spark, _archive(c), out, msgs.message_time(), **source)
+    finally:
+        c.spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    splits = read_ingested(c.spark, out, LINES).agg((F.count_distinct("split") > 1).alias("many_splits"))
+    return read_ingested(c.spark, out, MESSAGES).select("message_id", "raw_message", "parsed_at", "patient_id").join(splits)
+
+
+for _streams in (False, True):
+    q(
+        f"S1_archive_{'stream' if _streams else 'batch'}",
+        lambda c, s=_streams: _archived(c, s),
+        f"SELECT message_id, raw_message, parsed_at, patient_id, TRUE AS many_splits FROM ({QUERIES['R1_ingest_hl7_parsed'][1]})",
+    )
+
+
+def _increments(c):
+    """Gold kept up to date over three ingests of the feed; once per session.
+
+    The first takes the earlier files, the second the later ones, the third those that were late:
+    every tenth file, whenever it is from.
+    """
+    key = (c.spark.sparkContext.applicationId, c.sf_dir)
+    if key not in _INCREMENTS:
+        path, folder = feed.new_path(c.spark, "increments"), feed.landing_folder(c.spark, c.sf_dir)
+        last = c.spark.read.parquet(f"{c.sf_dir}/events.parquet").agg(F.max("event_id")).first()[0] // feed.FILE_SIZE
+        on_time = [i for i in range(last + 1) if i % 10 != 7]
+        early = [i for i in on_time if i < 0.6 * last]
+        for some in (early, on_time, range(last + 1)):
+            folders = [f"{folder}/file_id=file-{i}" for i in some]
+            ingest_batch(c.spark, folders, f"{path}/silver", msgs.message_time(), glob="*.txt", recursive=True)
+            refresh_increment(c.spark, f"{path}/silver", f"{path}/gold", as_of=c.as_of)
+        _INCREMENTS[key] = path
+    return _INCREMENTS[key]
+
+
+_INCREMENTS: dict[tuple[str, str], str] = {}
+for _id, _table in (
+    ("A1_patient_dim", "patients"), ("K1_encounter_fact", "encounters"), ("K2_observation_fact", "observations"),
+    ("K3_diagnosis_fact", "diagnoses"), ("K4_allergy_fact", "allergies"), ("K5_order_fact", "orders"),
+    ("A2_message_metrics", "metrics"), ("A3_patient_activity", "activity"), ("A4_ed_hourly_census", "ed_hour"),
+    ("A5_icu_hourly_census", "icu_hour"), ("A6_ed_daily_summary", "ed_day"), ("A7_icu_daily_summary", "icu_day"),
+    ("A8_department_census_current", "current"), ("F2_ed_forecast_features", "ed_feat"),
+    ("F2_icu_forecast_features", "icu_feat"), ("F3_combined_features", "combined"),
+):
+    q(
+        f"R4_increment_{_id}",
+        lambda c, t=_table: store.read_table(c.spark, f"{_increments(c)}/gold/{TABLES[t]}"),
+        QUERIES[_id][1],
+    )
+
+
+def _backfilled(c):
+    """A prediction log whose actuals came in two steps, and its accuracy by target day; once per session."""
+    key = (c.spark.sparkContext.applicationId, c.sf_dir)
+    if key not in _BACKFILLED:
+        gold = feed.new_path(c.spark, "backfilled")
+        append_predictions(c.open_predictions, gold)
+        half = F.lit("2024-01-16").cast("timestamp")
+        days = None
+        for known in (F.col("event_hour") < half, F.lit(True)):
+            for table in ("ed_hour", "icu_hour"):
+                write_version(c.stored(TABLES[table]).where(known), f"{gold}/{TABLES[table]}")
+            filled = backfill(c.spark, gold)
+            refresh_accuracy(c.spark, gold, days if days is None else filled)
+            days = filled
+        _BACKFILLED[key] = gold
+    return _BACKFILLED[key]
+
+
+_BACKFILLED: dict[tuple[str, str], str] = {}
+q("F11_two_backfills", lambda c: read_predictions(c.spark, _backfilled(c)), "SELECT * FROM pred")
+q(
+    "A9_accuracy_of_touched_days",
+    lambda c: store.read_table(c.spark, f"{_backfilled(c)}/gold_forecast_accuracy"),
+    QUERIES["A9_F12_forecast_accuracy"][1],
+)
 _rule_sources = {k: f"raw_{k.lower()}" if k in ("MSH", "PID", "OBX", "DG1") else f"t_{k.lower()}" for k in quality.PIPELINE_RULES if k != "messages"}
 q(
     "Q3_violation_counts",
@@ -1544,3 +1656,24 @@ q(
     f"{INT('CASE WHEN activity_date <= DATE ' + chr(39) + '2024-01-10' + chr(39) + ' THEN 0 ELSE day(activity_date) % 2 END')} AS mark FROM ed_day "
     "WHERE location_facility IS NOT NULL AND (activity_date <= DATE '2024-01-10' OR activity_date >= DATE '2024-01-20' OR day(activity_date) % 2 = 1)",
 )
+
+
+def _fed(c):
+    """The orders published in three versions: a part with other values, a part that ends later, and all; once per session."""
+    key = (c.spark.sparkContext.applicationId, c.sf_dir)
+    if key not in _FED:
+        path, third = feed.new_path(c.spark, "published"), F.pmod(F.xxhash64("order_key"), F.lit(3))
+        orders = c.orders
+        publish_version(orders.where(third != 0).withColumn("priority", F.lit("?")), path, ["order_key"])
+        publish_version(orders.where(third != 1), path, ["order_key"])
+        publish_version(orders, path, ["order_key"])
+        _FED[key] = path
+    return _FED[key]
+
+
+_FED: dict[tuple[str, str], str] = {}
+q(
+    "S15_replayed_feed",
+    lambda c: replay(c.orders.limit(0), read_changes(c.spark, _fed(c)), ["order_key"]),
+    "SELECT * FROM ord",
+)

@@ -13,8 +13,7 @@ from wardflow.operators.segments import segment_table
 from wardflow.plans.forecast import backfill
 from wardflow.plans.gold import GOLD, refresh_gold
 from wardflow.plans.status import MONITORED
-from wardflow.sources.predictions import PREDICTIONS, read_gold
-from wardflow.sources.tables import append_table
+from wardflow.sources.predictions import PREDICTIONS, append_predictions, read_gold
 from wardflow.streaming.ingest import ingest_batch, read_ingested
 
 
@@ -72,7 +71,7 @@ def lake(spark: SparkSession, sf_dir: str, tables=tuple(TABLES.values())) -> str
         if table.startswith("gold_") and (path, table) not in _READY:
             lake(spark, sf_dir, NEEDS.get(table, ()))
             if table == PREDICTIONS:
-                append_table(Context(spark, sf_dir).open_predictions, f"{path}/gold/{table}")
+                append_predictions(Context(spark, sf_dir).open_predictions, f"{path}/gold")
                 backfill(spark, f"{path}/gold")
             else:
                 refresh_gold(spark, f"{path}/silver", f"{path}/gold", [table], F.lit(AS_OF).cast("timestamp"))

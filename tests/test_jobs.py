@@ -18,10 +18,11 @@ from wardflow.plans.gold import GOLD, refresh_gold
 from wardflow.sources import tables as store
 from wardflow.sources.bus import messages_from
 from wardflow.sources.files import read_files, read_framed, read_line_messages
-from wardflow.sources.predictions import read_predictions
+from wardflow.sources.predictions import append_predictions, read_predictions
 from wardflow.sources.publish import SERVING_KEYS, create_statement, publish_all
 from wardflow.streaming.ingest import (
     FILES,
+    VIOLATIONS,
     ingest_batch,
     ingest_stream,
     read_ingested,
@@ -151,6 +152,27 @@ def test_runs_into_one_folder_keep_each_other(spark, landing, batch, tmp_path):
     assert same(read_quarantine(spark, out, "DG1"), read_quarantine(spark, batch, "DG1"))
 
 
+def test_a_failed_batch_is_not_read_and_its_files_are_taken_again(spark, tmp_path, monkeypatch):
+    from wardflow.streaming import ingest
+
+    source, out = tmp_path / "in [1]", str(tmp_path / "out")
+    source.mkdir()
+    (source / "a{b}.hl7").write_text("MSH|^~\\&|A|F|||20240101||ADT^A01|C1|P|2.5\rPID|1||P1\r")
+
+    def fail(*args):
+        raise RuntimeError("stopped")
+
+    with monkeypatch.context() as m:
+        m.setattr(ingest, "_stored", lambda df, out, table, *a, f=ingest._stored, **k: fail() if table == VIOLATIONS else f(df, out, table, *a, **k))
+        with pytest.raises(RuntimeError):
+            ingest_batch(spark, str(source).replace("[", "\\[").replace("]", "\\]"), out)
+    assert read_silver(spark, out, "PID").count() == 0
+    (source / "c.hl7").write_text("MSH|^~\\&|A|F|||20240102||ADT^A01|C2|P|2.5\rPID|1||P2\r")
+    made = ingest_batch(spark, str(source).replace("[", "\\[").replace("]", "\\]"), out, most_files=1)
+    assert len(made) == 2 and sorted(r[0] for r in read_silver(spark, out, "PID").select("patient_id").collect()) == ["P1", "P2"]
+    assert read_silver(spark, out, "PV1").count() == 0  # no row of it in any batch
+
+
 def test_files_without_messages_are_kept(spark, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "x.hl7").write_text("garbage before any header")
@@ -242,13 +264,13 @@ def test_forecast_loop(spark, gold, tmp_path):
     moved = predictions.withColumn(
         "target_hour", F.when(F.col("forecast_horizon_hours") == 1, F.lit(known)).otherwise(F.col("target_hour") + F.expr("INTERVAL 90 DAYS"))
     )
-    moved.write.parquet(str(tmp_path / "g" / "gold_forecast_predictions"))
+    append_predictions(moved, str(tmp_path / "g"))
     for name in ("gold_ed_hourly_census", "gold_icu_hourly_census"):
         store.write_table(store.read_table(spark, f"{gold}/{name}"), str(tmp_path / "g" / name))
-    assert backfill(spark, str(tmp_path / "g"))
-    assert backfill(spark, str(tmp_path / "g"))  # nothing new: nothing changes
+    assert backfill(spark, str(tmp_path / "g")) == [str(known.date())]
+    assert backfill(spark, str(tmp_path / "g")) == []  # nothing new: nothing changes
     filled = read_predictions(spark, str(tmp_path / "g"))
-    assert not backfill(spark, str(tmp_path / "nothing"))
+    assert backfill(spark, str(tmp_path / "nothing")) is None
     assert filled.count() == 20
     scored = filled.where("actual_value IS NOT NULL")
     assert {r["forecast_horizon_hours"] for r in scored.collect()} == {1}

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -82,10 +83,21 @@ def hourly_census(encounters: DataFrame, dept: str) -> DataFrame:
         .where("m IS NOT NULL")
         .select("location_facility", "m.*")
     )
-    counted = each.groupBy(
+    return _hour_rows(each)
+
+
+def merged_hours(*parts: DataFrame) -> DataFrame:
+    """Hourly census tables of separate encounters as one: counts of an hour and facility add up."""
+    moves = [p.select("event_hour", "location_facility", F.col("arrivals").alias("a"), F.col("discharges").alias("d")) for p in parts]
+    return _hour_rows(reduce(DataFrame.unionByName, moves))
+
+
+def _hour_rows(moves: DataFrame) -> DataFrame:
+    """Census rows from counts; arrivals and discharges of an unknown facility stay two rows."""
+    counted = moves.groupBy(
         "event_hour",
         "location_facility",
-        F.when(F.col("location_facility").isNull(), F.col("a")).alias("__side"),
+        F.when(F.col("location_facility").isNull(), F.col("a") > 0).alias("__side"),
     ).agg(F.sum("a").alias("arrivals"), F.sum("d").alias("discharges"))
     return counted.select(
         "event_hour",
@@ -149,22 +161,39 @@ def icu_daily_summary(encounters: DataFrame) -> DataFrame:
     return _daily(encounters, "ICU", "hours", 3600, [beds])
 
 
+def activity_day() -> Column:
+    """The day that an encounter counts for in the daily summaries."""
+    return F.to_date(F.coalesce(hl7_ts("admit_datetime"), "created_at"))
+
+
+def move_days() -> Column:
+    """The days whose hourly census an encounter may change."""
+    return F.array(*[F.to_date(_event_hour(c)) for c in ("admit_datetime", "discharge_datetime")])
+
+
 def census_current(encounters: DataFrame, as_of=None) -> DataFrame:
     """Arrivals less discharges so far, per facility and department."""
     arrived = F.col("trigger_event").isin(*CURRENT.arrive)
     moved = encounters.where(F.col("trigger_event").isin(*CURRENT.arrive, *CURRENT.leave))
-    counted = (
-        classify_department(moved)
-        .groupBy(
-            "location_facility",
-            "department",
-            F.when(F.col("location_facility").isNull(), arrived).alias("__side"),
-        )
-        .agg(
-            F.count_if(arrived).alias("total_arrivals"),
-            F.count_if(~arrived).alias("total_discharges"),
-        )
+    moves = classify_department(moved).select(
+        "location_facility", "department", arrived.cast("long").alias("a"), (~arrived).cast("long").alias("d")
     )
+    return _current_rows(moves, as_of)
+
+
+def merged_current(*parts: DataFrame, as_of=None) -> DataFrame:
+    """Current census tables of separate encounters as one, for the moment ``as_of``."""
+    names = {"total_arrivals": "a", "total_discharges": "d"}
+    moves = [p.select("location_facility", "department", *[F.col(n).alias(c) for n, c in names.items()]) for p in parts]
+    return _current_rows(reduce(DataFrame.unionByName, moves), as_of)
+
+
+def _current_rows(moves: DataFrame, as_of) -> DataFrame:
+    counted = moves.groupBy(
+        "location_facility",
+        "department",
+        F.when(F.col("location_facility").isNull(), F.col("a") > 0).alias("__side"),
+    ).agg(F.sum("a").alias("total_arrivals"), F.sum("d").alias("total_discharges"))
     return counted.select(
         "location_facility",
         "department",

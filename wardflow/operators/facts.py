@@ -132,13 +132,8 @@ def order_fact(obr: DataFrame) -> DataFrame:
     )
 
 
-def patient_dim(pid: DataFrame) -> DataFrame:
-    """Latest state per patient, by (parsed_at, message_id).
-
-    The latest row is found by an aggregate, which each task runs on its own rows
-    first; a patient with very many messages costs one row per task in the shuffle.
-    """
-    latest = {
+def _latest_values() -> dict:
+    return {
         "patient_name_full": F.concat_ws(" ", "patient_name_given", "patient_name_family"),
         "patient_name_family": F.col("patient_name_family"),
         "patient_name_given": F.col("patient_name_given"),
@@ -155,15 +150,35 @@ def patient_dim(pid: DataFrame) -> DataFrame:
         "marital_status": F.col("marital_status"),
         "source_system": F.col("sending_facility"),
     }
-    found = pid.groupBy("patient_id", "patient_id_authority").agg(
-        F.max_by(
-            F.struct(*[c.alias(n) for n, c in latest.items()]), F.struct("parsed_at", "message_id")
-        ).alias("last"),
-        F.min("parsed_at").alias("first_seen_at"),
-        F.max("parsed_at").alias("last_updated_at"),
+
+
+def patient_states(pid: DataFrame) -> DataFrame:
+    """What is known of each patient from these rows: the latest values, when they are from, first and last time seen."""
+    rows = pid.select(
+        "patient_id",
+        "patient_id_authority",
+        F.struct(*[c.alias(n) for n, c in _latest_values().items()]).alias("last"),
+        F.struct("parsed_at", "message_id").alias("last_from"),
+        F.col("parsed_at").alias("first_seen_at"),
+        F.col("parsed_at").alias("last_updated_at"),
     )
-    attributes = [F.col(f"last.{n}") for n in latest]
-    return found.select(
+    return merged_patients(rows)
+
+
+def merged_patients(states: DataFrame) -> DataFrame:
+    """States of several sets of rows as one; the order and repeats of the sets do not matter."""
+    return states.groupBy("patient_id", "patient_id_authority").agg(
+        F.max_by("last", "last_from").alias("last"),
+        F.max("last_from").alias("last_from"),
+        F.min("first_seen_at").alias("first_seen_at"),
+        F.max("last_updated_at").alias("last_updated_at"),
+    )
+
+
+def patient_rows(states: DataFrame) -> DataFrame:
+    """The dimension's rows from states."""
+    attributes = [F.col(f"last.{n}") for n in _latest_values()]
+    return states.select(
         surrogate_key("patient_id", "patient_id_authority").alias("patient_key"),
         "patient_id",
         "patient_id_authority",
@@ -174,6 +189,15 @@ def patient_dim(pid: DataFrame) -> DataFrame:
     )
 
 
+def patient_dim(pid: DataFrame) -> DataFrame:
+    """Latest state per patient, by (parsed_at, message_id).
+
+    The latest row is found by an aggregate, which each task runs on its own rows
+    first; a patient with very many messages costs one row per task in the shuffle.
+    """
+    return patient_rows(patient_states(pid))
+
+
 def message_metrics(msh: DataFrame) -> DataFrame:
     """Messages per hour, type and sender."""
     return msh.groupBy(

@@ -76,11 +76,18 @@ def calendar_features() -> dict[str, Column]:
     }
 
 
+# Columns of the hourly census, which its features keep, and rows and hours that windows look back.
+CENSUS = ("event_hour", "location_facility", "arrivals", "discharges", "net_change", "hour_of_day", "day_of_week", "is_weekend")
+ROWS_BACK, HOURS_BACK = max(ARRIVAL_LAGS), max(ROLLING.values())
+DAY_BACK = 24
+
+
 def forecast_features(hourly: DataFrame, dept: str) -> DataFrame:
     """Feature vector per hour and facility from an hourly census.
 
     All windows share one partitioning and one leading sort key, so the whole
-    table takes a single shuffle and a single sort.
+    table takes a single shuffle and a single sort. A column ``carried``, where there is one, is
+    what the running census stood at before the row, and counts from the first row that has it.
     """
     by = ["location_facility"]
     rows = row_window(by, ties=("arrivals", "discharges"))
@@ -92,7 +99,7 @@ def forecast_features(hourly: DataFrame, dept: str) -> DataFrame:
         *lags("arrivals", ARRIVAL_LAGS, rows),
         *lags("discharges", DISCHARGE_LAGS, rows),
         *lags("net_change", NET_LAGS, rows),
-        cumulative("net_change", rows).alias("__cumulative"),
+        (cumulative("net_change", rows) + _start_of(hourly, rows)).alias("__cumulative"),
     )
     arrivals = rolling("arrivals", ROLLING, by)
     discharges = rolling("discharges", ROLLING, by)
@@ -108,12 +115,39 @@ def forecast_features(hourly: DataFrame, dept: str) -> DataFrame:
     )
     last_week = F.col("arrivals_lag_168h")
     return rolled.select(
-        *[c for c in rolled.columns if not c.startswith("__")],
+        *[c for c in rolled.columns if not c.startswith("__") and c != "carried"],
         F.col("__cumulative").alias("cumulative_net_census"),
         F.when(last_week > 0, F.round(F.col("arrivals") / last_week, 2)).alias("arrivals_wow_ratio"),
     )
 
 
+def _start_of(hourly: DataFrame, rows) -> Column:
+    if "carried" not in hourly.columns:
+        return F.lit(0)
+    return F.coalesce(F.first("carried").over(rows.rowsBetween(W.unboundedPreceding, W.currentRow)), F.lit(0))
+
+
+def halo(before: DataFrame, by: list[str], start, rows_back: int, hours_back: int, ties: tuple[str, ...] = ()) -> DataFrame:
+    """Of the rows before the hour ``start``, those that windows from ``start`` on can see.
+
+    Per group the last ``rows_back`` rows, and those of the ``hours_back`` hours before. The rows come from
+    a feature table and keep its columns.
+    """
+    earlier = with_clock(before.where(F.col("event_hour") < start))
+    latest = W.partitionBy(*by).orderBy(*[F.col(c).desc() for c in (AT, *ties)])
+    near = F.col(AT) >= F.lit(start).cast("timestamp").cast("long") - hours_back * HOUR
+    ranked = earlier.withColumn("__back", F.row_number().over(latest))
+    return ranked.where((F.col("__back") <= rows_back) | near).drop("__back", AT)
+
+
+def with_history(hourly: DataFrame, before: DataFrame, start) -> DataFrame:
+    """Census rows from ``start`` on behind the rows of the feature table that their windows reach back to."""
+    past = halo(before, ["location_facility"], start, ROWS_BACK, HOURS_BACK, ("arrivals", "discharges"))
+    carried = F.col("cumulative_net_census") - F.col("net_change")
+    fresh = hourly.where(F.col("event_hour") >= start).select(*CENSUS, F.lit(None).cast("long").alias("carried"))
+    return past.select(*CENSUS, carried.alias("carried")).unionByName(fresh)
+
+
 def _hour_totals(hourly: DataFrame, side: str) -> DataFrame:
     return hourly.select(
         "event_hour",
@@ -131,9 +165,19 @@ def combined_features(ed: DataFrame, icu: DataFrame) -> DataFrame:
     The two sides are stacked and summed once per hour, a missing side being 0.
     The windows then see one row per hour in all, 8 784 a year.
     """
+    return system_features(system_hours(ed, icu))
+
+
+def system_hours(ed: DataFrame, icu: DataFrame) -> DataFrame:
+    """One row per hour with the counts of both departments."""
     stacked = _hour_totals(ed, "ed").unionByName(_hour_totals(icu, "icu"))
     sums = [c for c in stacked.columns if c != "event_hour"]
-    hours = with_clock(stacked.groupBy("event_hour").agg(*[F.sum(c).alias(c) for c in sums]))
+    return stacked.groupBy("event_hour").agg(*[F.sum(c).alias(c) for c in sums])
+
+
+def system_features(hours: DataFrame) -> DataFrame:
+    """The features of :func:`combined_features` from its hours."""
+    hours = with_clock(hours)
     w = row_window([])
     base = hours.select(
         "*",

@@ -10,8 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardflow.operators import forecast as fc
-from wardflow.sources.predictions import ACTUALS, PREDICTIONS, read_predictions
-from wardflow.sources.tables import append_table, read_table, table_exists, write_table
+from wardflow.sources.predictions import append_predictions, fill_in, has_predictions, open_days, read_predictions
+from wardflow.sources.tables import append_table, read_table, table_exists
+from wardflow.sources.versions import in_parts, is_versioned, read_version, write_version
 
 FEATURE_TABLES = {
     "ed": "gold_ed_forecast_features",
@@ -63,7 +64,8 @@ def train_all(spark: SparkSession, gold: str, models_dir: str, search=None, fold
     A newly trained version becomes its model's champion. A model that is skipped
     or fails keeps the champion it had. The status rows are appended to
     ``gold_model_training_runs``, and the metadata table, one champion per model,
-    is written only when something was trained.
+    gets a new version only when something was trained; the old champions stay in
+    place until it is whole.
     """
     now = _now()
     outcomes = [_outcome(spark, gold, models_dir, m, now, search, folds) for m in fc.MODELS]
@@ -76,7 +78,7 @@ def train_all(spark: SparkSession, gold: str, models_dir: str, search=None, fold
             names = {row["model_name"] for row in trained}
             old = read_table(spark, f"{gold}/{METADATA}").collect()  # one row per model
             rows = [*trained, *(r.asDict() for r in old if r["model_name"] not in names)]
-        write_table(fc.training_metadata(spark, rows), f"{gold}/{METADATA}")
+        write_version(fc.training_metadata(spark, rows), f"{gold}/{METADATA}")
     return report
 
 
@@ -99,17 +101,41 @@ def predict_all(spark: SparkSession, gold: str, run_ts=None) -> int:
         points = fc.latest_score(fc.score(newest, fitted, model))
         parts.append(fc.prediction_rows(fc.expand_horizons(points), model, version, run))
     if parts:
-        rows = reduce(DataFrame.unionByName, parts)
-        if table_exists(spark, f"{gold}/{PREDICTIONS}"):
-            rows = rows.join(read_table(spark, f"{gold}/{PREDICTIONS}").select("prediction_id"), "prediction_id", "left_anti")
-        append_table(rows.select(*parts[0].columns), f"{gold}/{PREDICTIONS}")
+        append_predictions(reduce(DataFrame.unionByName, parts), gold)
     return len(parts)
 
 
-def backfill(spark: SparkSession, gold: str) -> bool:
-    """Append the actuals that became known for open predictions; False without predictions."""
-    if not table_exists(spark, f"{gold}/{PREDICTIONS}"):
-        return False
-    census = [read_table(spark, f"{gold}/gold_{d}_hourly_census") for d in ("ed", "icu")]
-    append_table(fc.actual_updates(read_predictions(spark, gold), *census), f"{gold}/{ACTUALS}")
-    return True
+def _census(spark: SparkSession, gold: str) -> list[DataFrame]:
+    return [read_table(spark, f"{gold}/gold_{d}_hourly_census") for d in ("ed", "icu")]
+
+
+def backfill(spark: SparkSession, gold: str) -> list[str] | None:
+    """Fill in the actuals that became known for open predictions; None without predictions.
+
+    Only target days with an open prediction are read, and only those that got a value
+    are written; they are returned.
+    """
+    if not has_predictions(spark, gold):
+        return None
+    census = _census(spark, gold)
+    newest = reduce(DataFrame.unionByName, [c.select("event_hour") for c in census]).agg(F.max("event_hour")).first()[0]
+    if newest is None:
+        return []
+    days = open_days(spark, gold, F.to_date(F.lit(newest)))
+    known = [c.where(F.to_date("event_hour").cast("string").isin(days)) for c in census]
+    return fill_in(spark, gold, days, lambda rows: fc.actual_updates(rows, *known)) if days else []
+
+
+def refresh_accuracy(spark: SparkSession, gold: str, days: list[str] | None = None) -> None:
+    """``gold_forecast_accuracy`` by target day: of some days only, or of all.
+
+    Give the days that ``backfill`` returned; all others keep their figures.
+    """
+    path = f"{gold}/gold_forecast_accuracy"
+    rows = read_predictions(spark, gold)
+    if days is None or not is_versioned(spark, path):
+        table, how = fc.forecast_accuracy(rows), {}
+    else:
+        by_day = read_version(spark, f"{gold}/gold_forecast_predictions", keep_part=True)
+        table, how = fc.forecast_accuracy(by_day.where(in_parts("target_day", days))), {"replaced": days}
+    write_version(table.withColumn("target_day", F.col("prediction_date")).repartition("target_day"), path, "target_day", **how)

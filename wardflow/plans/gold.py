@@ -8,8 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from wardflow.operators import census, facts, features
 from wardflow.operators.forecast import forecast_accuracy
+from wardflow.plans.forecast import refresh_accuracy
 from wardflow.sources.predictions import read_gold
-from wardflow.sources.tables import read_table, table_exists, write_table
+from wardflow.sources.tables import table_exists
+from wardflow.sources.versions import write_version
+from wardflow.streaming.ingest import read_ingested
 
 # Each gold table as a function of a lookup for the tables before it and of the moment
 # it is for, in the order they are written. Census and features read the written tables, so a table is
@@ -55,21 +58,25 @@ def refresh_gold(
 ) -> list[str]:
     """Recompute gold tables from the segment tables; returns those written.
 
-    ``as_of`` stands in for the clock.
+    Each table is written beside its old version, which readers have until the new one is whole.
+    ``plans.increment`` takes only what is new. ``as_of`` stands in for the clock.
 
     ``gold_forecast_accuracy`` needs predictions and is left out until there are
     some.
     """
 
     def table(name: str) -> DataFrame:
-        return read_table(spark, f"{silver}/{name}") if name.startswith("silver_") else read_gold(spark, gold, name)
+        return read_ingested(spark, silver, name) if name.startswith("silver_") else read_gold(spark, gold, name)
 
     written = []
     for name, build in GOLD.items():
         if only and name not in only:
             continue
-        if name == "gold_forecast_accuracy" and not table_exists(spark, f"{gold}/gold_forecast_predictions"):
+        if name == "gold_forecast_accuracy":
+            if table_exists(spark, f"{gold}/gold_forecast_predictions"):
+                refresh_accuracy(spark, gold)
+                written.append(name)
             continue
-        write_table(build(table, as_of), f"{gold}/{name}", SORTED.get(name, ()))
+        write_version(build(table, as_of), f"{gold}/{name}", sort_by=SORTED.get(name, ()))
         written.append(name)
     return written

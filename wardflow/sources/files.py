@@ -40,14 +40,14 @@ def _reader(spark: SparkSession, streaming: bool, max_files, max_bytes):
 
 def read_files(
     spark: SparkSession,
-    directory: str,
+    directory: str | list[str],
     streaming: bool = False,
     glob: str = "*.hl7",
     max_files: int | None = 1000,
     max_bytes: str | None = None,
     recursive: bool = False,
 ) -> DataFrame:
-    """One row per file.
+    """One row per file of a folder, or of a list of files.
 
     A stream takes at most ``max_files`` files or ``max_bytes`` (such as
     ``10g``; give one of the two) per micro-batch. A file becomes one string, so
@@ -61,29 +61,62 @@ def read_files(
     return _with_lineage(whole.option("recursiveFileLookup", recursive).load(directory))
 
 
-def read_line_messages(
-    spark: SparkSession, directory: str, glob: str = "*.hl7", recursive: bool = False
+def list_files(
+    spark: SparkSession,
+    directory: str,
+    streaming: bool = False,
+    glob: str = "*.hl7",
+    max_files: int | None = 1000,
+    max_bytes: str | None = None,
+    recursive: bool = False,
 ) -> DataFrame:
-    """Message rows of files of any size, shaped like those of ``messages``.
-
-    Files are read line by line, so Spark cuts a large one into splits for many
-    tasks. A line's message is the number of message starts before it: counted
-    within its split, plus a running sum over the splits of its file. Messages are
-    then put together by file and number, so one that crosses a split is whole.
-    The rules are those of ``split_messages``: a header or a blank line starts a
-    new group, and a group without a header first is dropped.
+    """One row per file, without its content: path, source_file, file_modification_time, bytes.
+
+    ``path`` is what a reader takes, ``source_file`` the same place as lineage names it.
+    """
+    if max_bytes:
+        max_files = None
+    reader = _reader(spark, streaming, max_files, max_bytes).format("binaryFile")
+    reader = reader.schema("path string, modificationTime timestamp, length long, content binary")
+    found = reader.option("pathGlobFilter", glob).option("recursiveFileLookup", recursive).load(directory)
+    return found.select(
+        "path",
+        F.col("_metadata.file_path").alias("source_file"),
+        F.col("_metadata.file_modification_time").alias("file_modification_time"),
+        F.col("_metadata.file_size").alias("bytes"),
+    )
+
+
+def read_lines(
+    spark: SparkSession, where: str | list[str], glob: str = "*.hl7", recursive: bool = False
+) -> DataFrame:
+    """The lines of files of any size: Spark cuts a large file into splits for many tasks.
+
+    ``split`` is the place of a line's split in its file; ``at`` and ``piece`` order the lines of a
+    split. Lines end at CR, LF or the end of a frame. ``at`` belongs to this plan: write the lines
+    before they are used twice.
     """
     reader = spark.read.format("text").option("pathGlobFilter", glob).option("recursiveFileLookup", recursive)
-    modified = F.col("_metadata.file_modification_time")
     pieces = F.split(F.regexp_replace(F.replace("value", F.lit("\x0b"), F.lit("")), "\x1c$", ""), "\x1c")
-    lines = reader.load(directory).select(
+    lines = reader.load(where).select(
         F.col("_metadata.file_path").alias("source_file"),
-        modified.alias("file_modification_time"),
+        F.col("_metadata.file_modification_time").alias("file_modification_time"),
         F.col("_metadata.file_block_start").alias("split"),
         F.monotonically_increasing_id().alias("at"),
         F.posexplode(pieces).alias("piece", "line"),
     )
-    lines = lines.withColumn("line", F.btrim("line", F.lit(BLANKS)))
+    return lines.withColumn("line", F.btrim("line", F.lit(BLANKS)))
+
+
+def line_messages(lines: DataFrame) -> DataFrame:
+    """Message rows, shaped like those of ``messages``, put together from lines.
+
+    A line's message is the number of message starts before it: counted within its split, plus a
+    running sum over the splits of its file. Messages are then put together by file and number, so
+    one that crosses a split is whole, and no task sees more of a file than a split. The rules are
+    those of ``split_messages``: a header or a blank line starts a new group, and a group without
+    a header first is dropped.
+    """
     starts = (F.col("line") == "") | F.col("line").startswith("MSH|")
     place = ["source_file", "split"]
     within = Window.partitionBy(*place).orderBy("at", "piece").rowsBetween(Window.unboundedPreceding, 0)
@@ -97,6 +130,7 @@ def read_line_messages(
     found = numbered.groupBy("source_file", "file_modification_time", "number").agg(ordered.alias("lines"))
     text = F.array_join(F.transform("lines", lambda x: x["line"]), "\r")
     found = found.select("source_file", "file_modification_time", text.alias("raw_message")).where("raw_message LIKE 'MSH|%'")
+    # One row per file; the messages of a large file are counted in parts before they travel.
     counts = found.groupBy("source_file").agg(F.count("*").cast("int").alias("file_message_count"))
     return found.join(counts, "source_file").select(
         F.md5("raw_message").alias("message_id"),
@@ -109,6 +143,13 @@ def read_line_messages(
     )
 
 
+def read_line_messages(
+    spark: SparkSession, where: str | list[str], glob: str = "*.hl7", recursive: bool = False
+) -> DataFrame:
+    """Message rows of files of any size; see ``read_lines`` and ``line_messages``."""
+    return line_messages(read_lines(spark, where, glob, recursive))
+
+
 def read_framed(
     spark: SparkSession,
     directory: str,

@@ -4,26 +4,26 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from wardflow.sources.versions import is_versioned, path_exists, read_version
+
 
 def read_table(spark: SparkSession, path: str, streaming: bool = False) -> DataFrame:
-    """A table in full, or as a stream of the files added to it."""
+    """A table in full, or as a stream of the files added to it.
+
+    Of a table with versions the newest one is read; such a table cannot be streamed.
+    """
     if not streaming:
-        return spark.read.parquet(path)
+        return read_version(spark, path) if is_versioned(spark, path) else spark.read.parquet(path)
     schema = spark.read.parquet(path).schema
     return spark.readStream.schema(schema).parquet(path)
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path)
-        return True
-    except AnalysisException:
-        return False
+    return path_exists(spark, path)
 
 
 def write_table(df: DataFrame, path: str, sort_by: tuple[str, ...] = ()) -> None:

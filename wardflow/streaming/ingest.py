@@ -1,29 +1,48 @@
 """Message files to segment tables, continuously or until caught up.
 
-A batch is a set of file rows: a micro-batch of a stream, or the files of one call of
-``ingest_batch``. Its tables go to folders named ``batch=<run>-<epoch>``, where the run is the
-stream's own id (kept in its checkpoint) or the files' identity, and the epoch counts within it.
-So a batch that is run again replaces its own folders, and no other run's.
+A batch is a set of files (or of bus records): a micro-batch of a stream, or some of the files that
+``ingest_batch`` finds. Its tables go to folders named ``batch=<name>``, cut by the day of
+``parsed_at``. A stream's batch is named after the stream's own id and epoch, a batch of files after
+the files, so a batch that is run again replaces its own folders, and no other's.
 
-Every layer is written and read back before the next is built from it: raw files, messages,
+``ingested_files`` is the ledger: every file taken, by path and modification time, with its batch.
+Both kinds of run read it before they take files, so a file is taken once however it comes. A batch
+is noted in ``ingested_batches`` before its first and after its last table is written; readers
+leave out batches that were begun and not finished, and such files are taken again.
+
+Every layer is written and read back before the next is built from it: raw files or lines, messages,
 segment tables. A segment table's rows are judged by ``PIPELINE_RULES``: rows that break a drop
 rule go to ``quarantine_<segment>``, and every rule's failures are counted in ``rule_violations``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import hashlib
+import re
+from collections.abc import Iterable
+
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from wardflow.operators.messages import messages, stamp, with_headers
 from wardflow.operators.quality import DROP, PIPELINE_RULES, apply_rules, quarantine
 from wardflow.operators.segments import SILVER, segment_table
-from wardflow.sources.files import read_files
+from wardflow.sources.files import line_messages, list_files, read_files, read_lines
+from wardflow.sources.versions import path_exists
 
 CATCH_UP = {"availableNow": True}
-FILES, MESSAGES, VIOLATIONS = "bronze_files", "silver_hl7_parsed", "rule_violations"
+FILES, LINES, MESSAGES, VIOLATIONS = "bronze_files", "bronze_lines", "silver_hl7_parsed", "rule_violations"
 VIOLATION_SCHEMA = "segment string, rule string, action string, rows_checked long, failures long"
+FILE_SCHEMA = (
+    "file_id string, raw_content string, source_file string, file_modification_time timestamp, ingested_at timestamp"
+)
+LEDGER, BATCHES = "ingested_files", "ingested_batches"
+LEDGER_SCHEMA = "source_file string, file_modification_time timestamp, batch string"
+BATCH_SCHEMA = "batch string, finished boolean, at timestamp"
+#: Files of a batch that ``ingest_batch`` makes; their paths pass through the driver.
+MOST_FILES = 10_000
 
 
 def silver_name(kind: str) -> str:
@@ -34,11 +53,17 @@ def quarantine_name(kind: str) -> str:
     return f"quarantine_{kind.lower()}"
 
 
-def _stored(df: DataFrame, out: str, table: str, name: str) -> DataFrame:
-    """One batch's rows of a table, replaced and read back."""
+def _stored(df: DataFrame, out: str, table: str, name: str, by_day: bool = False) -> DataFrame:
+    """One batch's rows of a table, replaced and read back; by day of ``parsed_at``, if asked for."""
     path = f"{out}/{table}/batch={name}"
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    rows = df.withColumn("day", F.to_date("parsed_at")) if by_day else df
+    if table == MESSAGES:
+        # Brings days together, in as many tasks as their size asks for. Segment tables are made
+        # from these files without a shuffle, so they too get few files a day.
+        rows = rows.hint("rebalance", "day")
+    writer = rows.write.mode("overwrite")
+    (writer.partitionBy("day") if by_day else writer).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
 def _write_segment(headed: DataFrame, kind: str, out: str, name: str) -> list[tuple]:
@@ -46,10 +71,10 @@ def _write_segment(headed: DataFrame, kind: str, out: str, name: str) -> list[tu
     rules = PIPELINE_RULES.get(kind, [])
     rows = segment_table(headed, kind, rule=False)
     if not rules:
-        _stored(rows, out, silver_name(kind), name)
+        _stored(rows, out, silver_name(kind), name, by_day=True)
         return []
     kept, seen = apply_rules(rows, rules)
-    _stored(kept, out, silver_name(kind), name)
+    _stored(kept, out, silver_name(kind), name, by_day=True)
     counts = seen.get or {}  # nothing is observed where there are no rows
     drops = [r for r in rules if r.action == DROP]
     if any(counts.get(r.name) for r in drops):  # only then a second pass is worth it
@@ -57,13 +82,71 @@ def _write_segment(headed: DataFrame, kind: str, out: str, name: str) -> list[tu
     return [(kind, r.name, r.action, counts.get("rows") or 0, counts.get(r.name) or 0) for r in rules]
 
 
-def _write_batch(files: DataFrame, name: str, out: str, parsed_at: Column | None = None) -> None:
-    """All tables of one batch of file rows."""
-    spark = files.sparkSession
-    landed = _stored(files, out, FILES, name)
-    headed = _stored(with_headers(stamp(messages(landed), parsed_at)), out, MESSAGES, name)
+def _note(spark: SparkSession, out: str, name: str, finished: bool) -> None:
+    row = spark.createDataFrame([(name, finished)], "batch string, finished boolean")
+    row.withColumn("at", F.current_timestamp()).coalesce(1).write.mode("append").parquet(f"{out}/{BATCHES}")
+
+
+def batch_states(spark: SparkSession, out: str) -> DataFrame:
+    """Every batch that was begun: batch, finished."""
+    if not path_exists(spark, f"{out}/{BATCHES}"):
+        return spark.createDataFrame([], "batch string, finished boolean")
+    return spark.read.schema(BATCH_SCHEMA).parquet(f"{out}/{BATCHES}").groupBy("batch").agg(F.max("finished").alias("finished"))
+
+
+def _finished(spark: SparkSession, out: str, name: str) -> bool:
+    return not batch_states(spark, out).where((F.col("batch") == name) & F.col("finished")).isEmpty()
+
+
+def _left_open(spark: SparkSession, out: str) -> list[str]:
+    """Batches begun and not finished: what failed runs left, and those that are under way."""
+    return [r["batch"] for r in batch_states(spark, out).where("NOT finished").collect()]
+
+
+def taken_files(spark: SparkSession, out: str) -> DataFrame:
+    """The ledger's files of finished batches."""
+    if not path_exists(spark, f"{out}/{LEDGER}"):
+        return spark.createDataFrame([], LEDGER_SCHEMA)
+    ledger = spark.read.schema(LEDGER_SCHEMA).parquet(f"{out}/{LEDGER}")
+    return ledger.where(~F.col("batch").isin(_left_open(spark, out)))
+
+
+def not_taken(files: DataFrame, out: str) -> DataFrame:
+    """Of file rows, those that no finished batch has."""
+    return files.join(taken_files(files.sparkSession, out), ["source_file", "file_modification_time"], "left_anti")
+
+
+def _write_batch(
+    raw: DataFrame, name: str, out: str, parsed_at: Column | None = None, lines: bool = False, taken: DataFrame | None = None
+) -> None:
+    """All tables of one batch of file rows (or of lines); ``taken`` goes to the ledger."""
+    spark = raw.sparkSession
+    if _finished(spark, out, name):
+        return
+    _note(spark, out, name, False)
+    landed = _stored(raw, out, LINES if lines else FILES, name)
+    split = line_messages(landed) if lines else messages(landed)
+    headed = _stored(with_headers(stamp(split, parsed_at)), out, MESSAGES, name, by_day=True)
     violations = [v for kind in SILVER for v in _write_segment(headed, kind, out, name)]
     _stored(spark.createDataFrame(violations, VIOLATION_SCHEMA), out, VIOLATIONS, name)
+    if taken is not None:
+        _stored(taken.select("source_file", "file_modification_time"), out, LEDGER, name)
+    _note(spark, out, name, True)
+
+
+def _collected(files: DataFrame) -> list[Row]:
+    """Listed files with their modification time in microseconds, which no time zone of the driver bends."""
+    return files.select("path", "source_file", F.unix_micros("file_modification_time").alias("micros")).collect()
+
+
+def _take(spark: SparkSession, found: list[Row], name: str, out: str, parsed_at: Column | None, lines: bool) -> None:
+    """Ingest the listed files as one batch."""
+    paths = [re.sub(r"([{}\[\]*?\\])", r"\\\1", r["path"]) for r in found]  # names, not patterns
+    read = read_lines if lines else read_files
+    raw = read(spark, paths, glob="*", recursive=True)
+    listed = spark.createDataFrame([(r["source_file"], r["micros"]) for r in found], "source_file string, micros long")
+    listed = listed.select("source_file", F.timestamp_micros("micros").alias("file_modification_time"))
+    _write_batch(raw, name, out, parsed_at, lines, listed)
 
 
 def ingest_stream(
@@ -81,11 +164,18 @@ def ingest_stream(
     """
 
     def write(batch: DataFrame, epoch: int) -> None:
-        stream = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-        _write_batch(batch, f"{stream}-{epoch}", out, parsed_at)
+        _write_batch(batch, _epoch_name(batch, epoch), out, parsed_at)
+
+    return _started(files, write, checkpoint, trigger)
+
 
+def _epoch_name(batch: DataFrame, epoch: int) -> str:
+    return f"{batch.sparkSession.sparkContext.getLocalProperty('sql.streaming.queryId')}-{epoch}"
+
+
+def _started(rows: DataFrame, write, checkpoint: str, trigger: dict | None) -> StreamingQuery:
     return (
-        files.writeStream.foreachBatch(write)
+        rows.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or CATCH_UP))
         .start()
@@ -99,41 +189,87 @@ def start_ingest(
     checkpoint: str,
     trigger: dict | None = None,
     parsed_at: Column | None = None,
+    lines: bool = False,
     **source,
 ) -> StreamingQuery:
-    """Ingest a folder of message files; ``source`` goes to ``read_files``."""
-    files = read_files(spark, directory, streaming=True, **source)
-    return ingest_stream(files, out, checkpoint, trigger, parsed_at)
+    """Ingest a folder of message files; ``source`` goes to ``list_files``.
+
+    The stream is one of file names. The files of a micro-batch that the ledger does not know are
+    read whole, or with ``lines`` by line, which spreads one large archive over many tasks.
+    """
+    listing = list_files(spark, directory, streaming=True, **source)
+
+    def write(batch: DataFrame, epoch: int) -> None:
+        found = _collected(not_taken(batch, out))  # as many rows as a micro-batch takes files
+        if found:
+            _take(batch.sparkSession, found, _epoch_name(batch, epoch), out, parsed_at, lines)
+
+    return _started(listing, write, checkpoint, trigger)
 
 
-def files_identity(files: DataFrame) -> str:
+def files_identity(files: Iterable[Row]) -> str:
     """A name for a set of files, from their paths and times alone."""
-    mark = F.xxhash64("source_file", F.col("file_modification_time").cast("string"))
-    n, total = files.agg(F.count(F.lit(1)), F.sum(mark.cast("decimal(38,0)"))).first()
-    return f"files-{n}-{abs(int(total or 0)):x}"
+    marks = sorted(f"{r['source_file']} {r['micros']}" for r in files)
+    return f"files-{len(marks)}-{hashlib.md5(chr(10).join(marks).encode()).hexdigest()[:16]}"
 
 
 def ingest_batch(
-    spark: SparkSession, directory: str, out: str, parsed_at: Column | None = None, run: str | None = None, **source
-) -> str:
-    """The same tables from all files at once, as one batch; returns its name.
+    spark: SparkSession,
+    directory: str,
+    out: str,
+    parsed_at: Column | None = None,
+    lines: bool = False,
+    most_files: int = MOST_FILES,
+    **source,
+) -> list[str]:
+    """Ingest all files that the ledger does not know yet; returns the names of the batches made.
 
-    The same files again replace the batch they made before; other files, or another
-    ``run``, add one.
+    Files are taken by path, ``most_files`` at a time. ``lines`` reads them by line, as
+    ``start_ingest`` does.
     """
-    files = read_files(spark, directory, **source)
-    name = f"{run or files_identity(files)}-0"
-    _write_batch(files, name, out, parsed_at)
-    return name
+    made = []
+    listing = list_files(spark, directory, **source)
+    while found := _collected(not_taken(listing, out).orderBy("source_file").limit(most_files)):
+        made.append(files_identity(found))
+        _take(spark, found, made[-1], out, parsed_at, lines)
+    return made
+
 
+def read_ingested(
+    spark: SparkSession, out: str, table: str, streaming: bool = False, batches: list[str] | None = None
+) -> DataFrame:
+    """A table of the ingest, without the batch and day of its folders.
 
-def read_ingested(spark: SparkSession, out: str, table: str, streaming: bool = False) -> DataFrame:
-    """A table of the ingest, without the batch column of its folders."""
+    A batch that is not finished is left out; ``batches`` asks for some of the finished ones. A
+    stream of a table takes all files as they come.
+    """
     path = f"{out}/{table}"
     if streaming:
         schema = spark.read.parquet(path).schema
-        return spark.readStream.schema(schema).parquet(path).drop("batch")
-    return spark.read.parquet(path).drop("batch")
+        return spark.readStream.schema(schema).parquet(path).drop("batch", "day")
+    return _committed(spark, out, table, batches).drop("batch", "day")
+
+
+def silver_schema(spark: SparkSession, kind: str) -> StructType:
+    """Columns of a segment table; batches without a row of the segment leave no file to tell them."""
+    files = spark.createDataFrame([], FILE_SCHEMA)
+    return segment_table(with_headers(stamp(messages(files))), kind, rule=False).schema
+
+
+def _committed(spark: SparkSession, out: str, table: str, batches: list[str] | None = None) -> DataFrame:
+    kind = table.removeprefix("silver_").upper()
+    reader = spark.read.schema(silver_schema(spark, kind)) if kind in SILVER else spark.read
+    rows = reader.parquet(f"{out}/{table}")
+    unfinished = _left_open(spark, out)
+    if unfinished:
+        rows = rows.where(~F.col("batch").isin(unfinished))
+    return rows if batches is None else rows.where(F.col("batch").isin(batches))
+
+
+def read_days(spark: SparkSession, out: str, kind: str, batches: list[str] | None = None) -> DataFrame:
+    """A segment table with the column ``day`` of its folders, by which it can be filtered."""
+    rows = _committed(spark, out, silver_name(kind), batches).drop("batch")
+    return rows if "day" in rows.columns else rows.withColumn("day", F.lit(None).cast("date"))
 
 
 def read_silver(spark: SparkSession, out: str, kind: str, streaming: bool = False) -> DataFrame:
