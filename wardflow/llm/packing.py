@@ -13,7 +13,8 @@ A piece finds its place from its rank among the pieces of its length: the number
 plus a running sum of counts per task and length. The plan is bounded by the square of the
 capacity, not by the data.
 
-Null text counts as empty: a piece of one id. Rows that repeat a ``doc_id`` are packed each.
+Ids are the library's with its default settings, so a marker between texts that stands in a text is
+the marker's id. Null text counts as empty: a piece of one id. Rows that repeat a ``doc_id`` are packed each.
 """
 
 from __future__ import annotations
@@ -38,7 +39,7 @@ _PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long, part
 
 def _pieces(capacity: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder()
+        encode = encoder(marker=True)
         part = TaskContext.get().partitionId()
         met = [0] * (capacity + 1)  # pieces of each length so far
         for some in slices(batches):
