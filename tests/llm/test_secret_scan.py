@@ -1,5 +1,6 @@
 import hashlib
 import re
+import time
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -62,3 +63,18 @@ def test_no_match_is_filtered_out(texts):
         postings = X.segment_postings([t.encode() for t in texts], sorted(X.trigrams(query)))
         kept = set(X.candidates(query, postings, len(texts)).tolist())
         assert kept >= {i for i, t in enumerate(texts) if re.search(rule.pattern, t)}
+
+
+def test_runs_are_read_once():
+    """Time grows with the text, not with its square, where every place might start a match."""
+    for rule in X.RULES:
+        for piece in ("eyJ", "AKIA", "password=", "xoxb-", "ghp_", "-----BEGIN A ", "token  ", "deadbeef"):
+            start = time.perf_counter()
+            sum(1 for _ in re.compile(rule.pattern).finditer(piece * (1_000_000 // len(piece))))
+            assert time.perf_counter() - start < 3, (rule.kind, piece)
+
+
+def test_tokens_of_three_parts():
+    jwt = next(r for r in X.RULES if r.kind == "jwt")
+    text = "x eyJhbGciOiJI.eyJzdWIiOiIx.abc_-9. eyJshort.eyJzdWIiOiIx.a"
+    assert [m.span() for m in re.finditer(jwt.pattern, text)] == [(2, 34)]

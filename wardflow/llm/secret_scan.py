@@ -53,7 +53,8 @@ MORE_RULES = (
     Rule("private", r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----", 0, 1),
     Rule("github", r"gh[pousr]_[A-Za-z0-9]{36,}", 0, 1),
     Rule("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}", 0, 1),
-    Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]+", 0, 1),
+    # Only at the start of a run, which is then taken whole, so a run is read once.
+    Rule("jwt", r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{8,}+\.eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]+", 0, 1),
 )
 
 RULES = BASE_RULES + MORE_RULES
