@@ -56,9 +56,27 @@ def test_equal_keys_are_told_apart_by_bytes(spark, monkeypatch):
     assert found(spark, rows, capacity=1) == brute(rows)
 
 
-def test_repeated_rows_share_a_verdict(spark):
+def test_one_of_repeated_rows_stays(spark):
     out = X.exact_dedup(frame(spark, [(1, "a"), (1, "a"), (2, "a")])).collect()
-    assert sorted((r.doc_id, r.group_size, r.kept) for r in out) == [(1, 3, True), (1, 3, True), (2, 3, False)]
+    assert sorted((r.doc_id, r.group_size, r.kept) for r in out) == [(1, 3, False), (1, 3, True), (2, 3, False)]
+
+
+ODD = [(1, "a b"), (1, "a b"), (1, "a b"), (None, "n"), (None, "n"), (None, " n"), (7, "one"), (7, "two"), (7, "one"), (None, "one"), (9, None), (None, "")]
+
+
+def test_rows_with_equal_or_null_ids_are_told_apart(spark):
+    """One row per text, by the longest, then the smallest id, then any."""
+    want = sorted([(1, "a b"), (None, " n"), (7, "one"), (7, "two"), (9, None)], key=str)
+    docs = frame(spark, ODD).repartition(3)
+    assert sorted(((r.doc_id, r.text) for r in X.drop_copies(docs).collect()), key=str) == want
+    out = X.exact_dedup(docs).collect()
+    assert len(out) == len(ODD) and sum(r.kept for r in out) == len({r.text_sha256 for r in out}) == len(want)
+
+
+def test_a_table_appended_twice_passes_once(spark):
+    docs = frame(spark, [(i, f"text {i}") for i in range(50)])
+    out = X.drop_copies(docs.union(docs).repartition(4))
+    assert sorted(r.doc_id for r in out.collect()) == list(range(50))
 
 
 @pytest.mark.parametrize("capacity", [1, 4, 1000])

@@ -104,3 +104,12 @@ def test_tags_are_read_by_their_primary_subtag(spark):
 def test_a_corpus_without_declared_languages_is_not_judged(spark):
     out = X.identify_documents(spark.createDataFrame([(1, SAID["en"], None, "a", 7)], SCHEMA)).collect()
     assert [(r.language, r.kept) for r in out] == [("und", False)]
+
+
+def test_stage_judges_rows_not_ids(spark):
+    """A null or shared id rescues no other row."""
+    said = SAID["en"]
+    rows = [(None, said, "en", "s"), (None, "12 34", "en", "s"), (5, said, "en", "s"), (5, "..", "en", "s"), (6, SAID["de"], "de", "s")] * 3
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    out = X.drop_unidentified(docs).collect()
+    assert len(out) == 9 and {r.text for r in out} == {said, SAID["de"]}

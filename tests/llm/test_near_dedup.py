@@ -12,13 +12,15 @@ from wardflow.llm import near_dedup as X
 SCHEMA = "doc_id long, text string"
 
 
-def shingles(text):
+def shingles(text, size=3):
     words = re.findall("[^\x20\x09-\x0d]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
-    return {tuple(words[i : i + 3]) for i in range(len(words) - 2)} if len(words) > 2 else {tuple(words)} if words else set()
+    if len(words) < size:
+        return {tuple(words)} if words else set()
+    return {tuple(words[i : i + size]) for i in range(len(words) - size + 1)}
 
 
-def brute(rows):
-    sets = {i: shingles(t) for i, t in rows}
+def brute(rows, size=3, link=85):
+    sets = {i: shingles(t, size) for i, t in rows}
     own = {i: i for i in sets}
 
     def root(i):
@@ -30,7 +32,7 @@ def brute(rows):
     for n, i in enumerate(ids):
         for j in ids[:n]:
             both = len(sets[i] & sets[j])
-            if sets[i] and sets[j] and 100 * both >= 85 * (len(sets[i]) + len(sets[j]) - both):
+            if sets[i] and sets[j] and 100 * both >= link * (len(sets[i]) + len(sets[j]) - both):
                 a, b = root(i), root(j)
                 own[max(a, b)] = min(a, b)
     return {i: (len(sets[i]), root(i), root(i) == i) for i in ids}
@@ -90,7 +92,42 @@ def test_null_ids_repeated_rows_and_clashing_columns(spark):
     out = sorted(((r.doc_id or 0, r.component_id, r.kept) for r in X.near_dedup(docs).collect()), key=str)
     assert out == [(0, None, True), (2, 2, True), (3, 2, False), (3, 2, False)]
     kept = X.drop_near_copies(docs)
-    assert kept.columns == docs.columns and sorted(r.component for r in kept.collect()) == [1, 2]
+    assert kept.columns == docs.columns and [r.doc_id for r in kept.collect()] == [2]
+
+
+def stage(spark, rows):
+    docs = spark.createDataFrame([(i, t, "x") for i, t in rows], SCHEMA + ", _key string").repartition(3)
+    out = X.drop_near_copies(docs)
+    assert out.columns == docs.columns
+    return sorted([(r.doc_id, r.text) for r in out.collect()], key=str)
+
+
+def test_stage_takes_five_words_and_four_fifths(spark):
+    rng, rows = random.Random(11), []
+    base = [f"a{i}" for i in range(100)]
+    rows += [(1, " ".join(base)), (2, " ".join([*base, *(f"x{i}" for i in range(20))]))]  # 96 of 116 shingles: near
+    other = [f"b{i}" for i in range(200)]
+    spread = [f"y{i}" if i % 40 == 20 else w for i, w in enumerate(other)]
+    rows += [(3, " ".join(other)), (4, " ".join(spread))]  # 171 of 221: not near by five words, but by three
+    for family in range(6):
+        words = [f"f{family}w{rng.randrange(300)}" for _ in range(rng.choice([20, 90]))]
+        rows += [(10 + 10 * family + k, edited(rng, words, rng.choice([0, 1, 2, 4]))) for k in range(8)]
+    verdict = brute(rows, 5, 80)
+    assert verdict[2][1] == 1 and verdict[4][2] and not brute(rows)[4][2]
+    assert stage(spark, rows) == sorted([r for r in rows if verdict[r[0]][2]], key=str)
+
+
+def test_stage_with_null_and_shared_ids(spark):
+    """Every row is compared by itself; one of each group stays, and the rows without words."""
+    long = " ".join(f"w{i}" for i in range(60))
+    rows = [(None, long), (None, long), (None, long + " more"), (7, "one two"), (7, "three four"), (7, "one two"), (7, long), (8, "one two")]
+    rows += [(9, None), (None, "")]
+    groups = [{(None, long), (None, long + " more"), (7, long)}, {(7, "one two"), (8, "one two")}, {(7, "three four")}]
+    out = stage(spark, rows)
+    assert len(out) == 5 and all(sum(r in g for r in out) == 1 for g in groups)
+    assert {(9, None), (None, "")} <= set(out)
+    twice = [(i, " ".join(f"d{i}w{k}" for k in range(12))) for i in range(30)]
+    assert stage(spark, twice + twice) == sorted(twice, key=str)
 
 
 @pytest.mark.parametrize("size", [1, 2, 7, 100, 3000])

@@ -36,7 +36,7 @@ def test_stages_equal_brute_force(spark, rows, tmp_path):
     want = [r[:2] for r in rows if r[0] < 500]  # language ID rejects texts without letters
     exact = exact_brute(want)
     want = [r for r in want if exact[r[0]][2]]
-    near = near_brute(want)
+    near = near_brute(want, 5, 80)
     want = [r for r in want if near[r[0]][2]]
     got = docs
     for name, stage in corpus_pipeline.STAGES[:3]:
@@ -49,7 +49,7 @@ def test_stages_equal_brute_force(spark, rows, tmp_path):
     out = corpus_pipeline.run(spark, str(tmp_path)).collect()
     assert {r.doc_id for r in out} == drawn
     text = dict(want)
-    sizes = dict(zip(drawn, (len(x) + 1 for x in encoder()([text[i] for i in drawn]))))
+    sizes = dict(zip(drawn, (len(x) + 1 for x in encoder(marker=True)([text[i] for i in drawn]))))
     for i in drawn:
         assert sum(r.length for r in out if r.doc_id == i) == sizes[i]
 

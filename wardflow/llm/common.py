@@ -10,7 +10,7 @@ from collections.abc import Callable, Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardflow.session import checkpoint_dir
@@ -46,17 +46,50 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def id_text(docs: DataFrame) -> DataFrame:
-    """Only ``doc_id`` and ``text``; null text counts as empty."""
+def id_text(docs: DataFrame, row: str | None = None) -> DataFrame:
+    """Only ``doc_id`` and ``text`` (and the column ``row``); null text counts as empty."""
     return docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
+        *([F.col(row).alias("row")] if row else []),
     )
 
 
-def keep_rows(docs: DataFrame, kept: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose ``doc_id`` is in ``kept``; a null id equals a null id."""
-    ids = kept.select(F.col("doc_id").alias("_kept_id"))
-    return docs.join(ids, docs["doc_id"].eqNullSafe(ids["_kept_id"]), "left_semi")
+#: The columns that make a document; rows that agree in all of them are the same document.
+DOCUMENT = ("doc_id", "source", "lang", "n_chars", "text")
+
+
+def row_key(docs: DataFrame) -> Column:
+    """A 128-bit name of a row, from its document columns: equal for rows that repeat a document only.
+
+    It tells rows apart whose ids are null or repeated, and is the same however often Spark computes it.
+    """
+    parts = [F.col(c).cast("string") for c in DOCUMENT if c in docs.columns]
+    # Nulls leave a hash as it is; say where they are.
+    nulls = F.concat(*[F.col(c).isNull().cast("string") for c in DOCUMENT if c in docs.columns])
+    return F.concat(F.hex(F.xxhash64(F.lit("a"), nulls, *parts)), F.lit("-"), F.hex(F.xxhash64(F.lit("b"), *parts, nulls)))
+
+
+def keyed(docs: DataFrame, **keys: Column) -> DataFrame:
+    """Rows as one column ``document``, whatever their own columns are called, beside the given keys."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("document"), *[k.alias(n) for n, k in keys.items()])
+
+
+def keep_rows(rows: DataFrame, kept: DataFrame) -> DataFrame:
+    """Of ``rows`` (see ``keyed``) those whose ``key`` is among the values of ``kept``, which has one column."""
+    return rows.join(kept.toDF("key"), "key", "left_semi")
+
+
+def one_each(rows: DataFrame) -> DataFrame:
+    """The documents of ``rows`` (see ``keyed``), one for each ``key``.
+
+    Rows whose key is their own are not shuffled for it.
+    """
+    many = stored(rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key"), "repeated-rows")
+    if many.isEmpty():
+        return rows.select("document.*")
+    alone = rows.join(many, "key", "left_anti")
+    return alone.unionByName(rows.join(many, "key", "left_semi").dropDuplicates(["key"])).select("document.*")
 
 
 def slices(batches: Iterable[pa.RecordBatch], column: str = "text", most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:

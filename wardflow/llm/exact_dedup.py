@@ -11,8 +11,8 @@ Copies are folded before anything is shuffled: each task sends one text for each
 that it meets, with the number of copies and the best row, so a hot text costs a row per task.
 The directory is built from counts per key prefix, never from the keys on the driver.
 
-Null text counts as empty. Rows that repeat a ``doc_id`` and its text count as copies in
-``group_size`` and share one verdict. A null ``doc_id`` ranks after all others.
+Null text counts as empty. A null ``doc_id`` ranks after all others. Of rows that agree in length and
+id too, one stays: rows are numbered in a stored step, and the lowest number wins.
 """
 
 from __future__ import annotations
@@ -21,11 +21,12 @@ import hashlib
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardflow.llm.common import SPACE_BYTES, id_text, keep_rows, slices, stored
+from wardflow.llm.common import SPACE_BYTES, id_text, keep_rows, keyed, one_each, row_key, slices, stored
 
 #: Distinct keys that a bucket holds before it splits.
 CAPACITY = 1_000
@@ -36,7 +37,7 @@ FOLD_BYTES = 16 << 20
 #: Directories of at most this many pointers (16 bytes each) are broadcast.
 BROADCAST_POINTERS = 1 << 14
 
-_ENTRY = "doc_id long, key long, sha binary, n_chars long"
+_ENTRY = "doc_id long, key long, sha binary, n_chars long, row string"
 _TEXT = "key long, body binary, copies long, n_chars long, doc_id long"
 _CHAIN = "bucket long, key long, chain int, sha binary, group_size long, keep_id long, keep_chars long"
 
@@ -63,14 +64,17 @@ def _table(rows: list, schema: pa.Schema) -> pa.RecordBatch:
 
 
 def _entries(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    schema = pa.schema([("doc_id", pa.int64()), ("key", pa.int64()), ("sha", pa.binary()), ("n_chars", pa.int64())])
-    rows = []
-    for doc_id, n_chars, body in _rows(batches):
-        rows.append((doc_id, _key(body), hashlib.sha256(body).digest(), n_chars))
-        if len(rows) == 8192:
-            yield _table(rows, schema)
-            rows = []
-    yield _table(rows, schema)
+    names = ("doc_id", "key", "sha", "n_chars", "row")
+    for part in slices(batches):
+        bodies = [t.encode().translate(None, SPACE_BYTES) for t in part.column("text").to_pylist()]
+        columns = [
+            part.column("doc_id"),
+            pa.array([_key(b) for b in bodies], pa.int64()),
+            pa.array([hashlib.sha256(b).digest() for b in bodies], pa.binary()),
+            pc.utf8_length(part.column("text")).cast(pa.int64()),
+            part.column("row"),
+        ]
+        yield pa.RecordBatch.from_arrays(columns, names=list(names))
 
 
 def _folded(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -176,24 +180,37 @@ def build_index(docs: DataFrame, keys: DataFrame, capacity: int = CAPACITY) -> D
     return stored(owned.mapInArrow(_owned, _CHAIN), "exact-index")
 
 
+def _verdicts(docs: DataFrame, row: Column, capacity: int) -> DataFrame:
+    """Per row of ``docs``: doc_id, key, sha, row, keep_id, group_size, best (has the id and length that stay)."""
+    texts = id_text(docs.select("doc_id", "text", row.alias("row")), "row")
+    entries = texts.mapInArrow(_entries, _ENTRY).withColumn("at", F.monotonically_increasing_id())
+    entries = stored(entries, "exact-entries")
+    index = build_index(docs, entries.select("key"), capacity)
+    found = entries.join(index.select("key", "sha", "group_size", "keep_id", "keep_chars"), ["key", "sha"])
+    best = F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("n_chars") == F.col("keep_chars"))
+    return found.withColumn("best", best)
+
+
 def exact_dedup(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """One row per row of ``docs``: doc_id, keep_id, group_size, kept, text_sha256.
 
     Of equal texts, the row with the most code points in its own text stays, then the one with
-    the smallest id.
+    the smallest id, then the one with the lowest number.
     """
-    entries = stored(id_text(docs).mapInArrow(_entries, _ENTRY), "exact-entries")
-    index = build_index(docs, entries.select("key"), capacity)
-    found = entries.join(index.select("key", "sha", "group_size", "keep_id", "keep_chars"), ["key", "sha"])
-    return found.select(
+    found = _verdicts(docs, F.lit(""), capacity)
+    first = found.where("best").groupBy("key", "sha").agg(F.min("at").alias("at"))
+    kept = stored(first.select("at", F.lit(True).alias("kept")), "exact-kept")
+    return found.join(kept, "at", "left").select(
         "doc_id",
         "keep_id",
         "group_size",
-        (F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("n_chars") == F.col("keep_chars"))).alias("kept"),
+        F.coalesce("kept", F.lit(False)).alias("kept"),
         F.lower(F.hex("sha")).alias("text_sha256"),
     )
 
 
 def drop_copies(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns."""
-    return keep_rows(docs, exact_dedup(docs).where("kept"))
+    """The rows of ``docs`` that stay, one per text, with all their columns."""
+    found = _verdicts(docs, row_key(docs), CAPACITY).where("best")
+    names = stored(found.groupBy("key", "sha").agg(F.min("row").alias("row")).select("row"), "exact-kept")
+    return one_each(keep_rows(keyed(docs, key=row_key(docs)), names))

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardflow.llm.common import keep_rows, slices, stored
+from wardflow.llm.common import keep_rows, keyed, row_key, slices, stored
 
 #: Languages that are candidates however few rows declare them.
 LANGUAGES = ("en", "de", "fr", "es")
@@ -240,10 +240,13 @@ def primary_subtag(tag: Column) -> Column:
     return F.lower(F.regexp_extract(tag.cast("string"), r"^\s*([A-Za-z]{2,8})\s*(?:$|[-_])", 1))
 
 
-def documents_evidence(docs: DataFrame) -> DataFrame:
-    """The source stands for the host, the ``lang`` column for the declared language; no address."""
+def documents_evidence(docs: DataFrame, name: Column | None = None) -> DataFrame:
+    """The source stands for the host, the ``lang`` column for the declared language; no address.
+
+    Rows are named by ``doc_id`` or by ``name``.
+    """
     return docs.select(
-        F.col("doc_id").cast("long").alias("id"),
+        (F.col("doc_id").cast("long") if name is None else name).alias("id"),
         F.col("text").cast("string").alias("text"),
         F.col("source").cast("string").alias("host"),
         primary_subtag(F.col("lang")).alias("tag"),
@@ -276,5 +279,7 @@ def identify_pages(pages: DataFrame) -> DataFrame:
 
 
 def drop_unidentified(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` in a known language, with all their columns."""
-    return keep_rows(docs, identify_documents(docs).where("kept"))
+    """The rows of ``docs`` in a known language, with all their columns; each is judged by itself, whatever its id."""
+    judged = identify(documents_evidence(docs, row_key(docs)))
+    kept = stored(judged.where("kept").select("id").distinct(), "language-kept")
+    return keep_rows(keyed(docs, key=row_key(docs)), kept).select("document.*")

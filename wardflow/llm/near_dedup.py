@@ -2,14 +2,14 @@
 
 A document's set holds its distinct word shingles as 64-bit hashes. The sketch places hashed
 elements into bins in rounds: in the first rounds each element falls into one random bin, in the
-last ones every element goes into the bin of the round, so that each of the ``COORDINATES`` bins
+last ones every element goes into the bin of the round, so that each bin
 is filled in the end, however small the set; a bin keeps the smallest hash of the earliest round
 that reached it. Two sets agree in a coordinate with the probability of their similarity, and the
 share of agreeing coordinates concentrates around it.
 
 Documents with equal sets form a class, of which the smallest id stands for all. Classes that
-agree in all rows of some band share a bucket. At similarity 0.85 a pair shares none with a
-probability below one in a million. A link is confirmed on the full sets, in two rounds that
+agree in all rows of some band share a bucket. At the link similarity a pair shares none with a
+probability of about one in a million. A link is confirmed on the full sets, in two rounds that
 together lose none found by the bands, yet never write all pairs of a group:
 
 * every class against the smallest id of each of its buckets;
@@ -20,14 +20,19 @@ together lose none found by the bands, yet never write all pairs of a group:
 Pairs whose sketches agree in too few coordinates to be similar are left out before sets are
 compared. Buckets are cut into blocks of bounded size, whatever their share of the rows.
 
-Rows without words are linked with nothing. A row with a null ``doc_id`` is linked with nothing
-and kept. Rows that repeat a ``doc_id`` with one text share a verdict; of different texts under
-one id, one is compared.
+Rows without words are linked with nothing. Results go by ``doc_id``: a row with a null one is linked
+with nothing and kept, rows that repeat one with one text share a verdict, and of different texts
+under one id, one is compared. The stage has no such limits: rows whose id is null or stands for
+several documents are compared under names of their own, and of equal rows one stays. Ids of 2^62
+and more are left to those names.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -36,16 +41,46 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardflow.llm.common import id_text, keep_rows, mix, slices, stored
+from wardflow.llm.common import id_text, keep_rows, keyed, mix, one_each, row_key, slices, stored
 
-SHINGLE_WORDS = 3
-#: A link: 100 * intersection >= LINK * union.
-LINK = 85
-BANDS, ROWS = 24, 5
-COORDINATES = BANDS * ROWS
-#: Agreeing coordinates below which a pair is not compared; at the link similarity 102 are expected,
-#: and fewer than this have a probability of about one in a million.
-AGREE = 81
+
+
+def _least_agreeing(coordinates: int, similarity: float, odds: float = 1e-6) -> int:
+    """The agreeing coordinates that a pair of this similarity reaches but for a probability of ``odds``."""
+    below = 0.0
+    for k in range(coordinates):
+        below += math.comb(coordinates, k) * similarity**k * (1 - similarity) ** (coordinates - k)
+        if below > odds:
+            return k
+    return coordinates
+
+
+@dataclass(frozen=True)
+class Likeness:
+    """What counts as a near copy, and the sketches that find it."""
+
+    #: Words of a shingle.
+    words: int
+    #: A link: 100 * intersection >= link * union.
+    link: int
+    #: Bands and coordinates of a band: a pair at the link similarity shares no band with a probability
+    #: of (1 - similarity ** rows) ** bands, about one in a million.
+    bands: int
+    rows: int = 5
+
+    @property
+    def coordinates(self) -> int:
+        return self.bands * self.rows
+
+    @cached_property
+    def agree(self) -> int:
+        """Agreeing coordinates below which a pair is not compared."""
+        return _least_agreeing(self.coordinates, self.link / 100)
+
+
+#: Three words and 0.85, as the query wants, and five words and 0.8, as the stage does.
+QUERY = Likeness(words=3, link=85, bands=24)
+STAGE = Likeness(words=5, link=80, bands=35)
 #: Sizes of the blocks in which a bucket is compared: classes outside its main component, members.
 OUTSIDE, MEMBERS = 128, 512
 
@@ -53,7 +88,7 @@ _STEP = np.uint64(0x9E3779B97F4A7C15)
 _FREE = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
-def shingle_sets(texts: list[str], size: int = SHINGLE_WORDS) -> tuple[np.ndarray, np.ndarray]:
+def shingle_sets(texts: list[str], size: int = QUERY.words) -> tuple[np.ndarray, np.ndarray]:
     """Distinct shingle hashes of all texts, ascending within a text, and the number of each text."""
     words = [t.encode().lower().split() for t in texts]  # bytes: A-Z and the six ASCII spaces only
     counts = np.array([len(w) for w in words], dtype=np.int64)
@@ -80,7 +115,7 @@ def shingle_sets(texts: list[str], size: int = SHINGLE_WORDS) -> tuple[np.ndarra
     return value[fresh], np.bincount(owner[fresh], minlength=len(texts))
 
 
-def sketches(values: np.ndarray, sizes: np.ndarray, bins: int = COORDINATES) -> np.ndarray:
+def sketches(values: np.ndarray, sizes: np.ndarray, bins: int = QUERY.coordinates) -> np.ndarray:
     """One row of ``bins`` hashes per set; sets without elements keep free bins."""
     cells = np.full(len(sizes) * bins, _FREE, np.uint64)
     owner = np.repeat(np.arange(len(sizes)), sizes)
@@ -100,10 +135,10 @@ def sketches(values: np.ndarray, sizes: np.ndarray, bins: int = COORDINATES) ->
     return cells.reshape(-1, bins)
 
 
-def _band_keys(cells: np.ndarray) -> np.ndarray:
-    parts = cells.reshape(len(cells), BANDS, ROWS)
-    key = np.broadcast_to(np.arange(BANDS, dtype=np.uint64), (len(cells), BANDS)).copy()
-    for r in range(ROWS):
+def _band_keys(cells: np.ndarray, bands: int) -> np.ndarray:
+    parts = cells.reshape(len(cells), bands, -1)
+    key = np.broadcast_to(np.arange(bands, dtype=np.uint64), (len(cells), bands)).copy()
+    for r in range(parts.shape[2]):
         key = mix(key + _STEP) ^ parts[:, :, r]
     return mix(key).view(np.int64)
 
@@ -111,105 +146,124 @@ def _band_keys(cells: np.ndarray) -> np.ndarray:
 _SKETCH = "doc_id long, n_shingles long, digest binary, sketch binary, bands array<long>"
 
 
-def _sketched(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = ["doc_id", "n_shingles", "digest", "sketch", "bands"]
-    for part in slices(batches):
-        values, sizes = shingle_sets(part.column("text").to_pylist())
-        cells = sketches(values, sizes)
-        ends = np.cumsum(sizes)
-        digests = [xxhash.xxh3_128_digest(values[e - n : e].tobytes()) if n else None for n, e in zip(sizes, ends)]
-        low = (cells >> np.uint64(8)).astype(np.uint8)
-        bands = pa.ListArray.from_arrays(
-            pa.array(np.arange(len(sizes) + 1) * BANDS, pa.int32()), pa.array(_band_keys(cells).ravel())
-        )
-        columns = [pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array([r.tobytes() for r in low]), bands]
-        yield pa.RecordBatch.from_arrays([part.column("doc_id"), *columns], names=names)
+def _sketched(like: Likeness):
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["doc_id", "n_shingles", "digest", "sketch", "bands"]
+        for part in slices(batches):
+            values, sizes = shingle_sets(part.column("text").to_pylist(), like.words)
+            cells = sketches(values, sizes, like.coordinates)
+            ends = np.cumsum(sizes)
+            digests = [xxhash.xxh3_128_digest(values[e - n : e].tobytes()) if n else None for n, e in zip(sizes, ends)]
+            low = (cells >> np.uint64(8)).astype(np.uint8)
+            bands = pa.ListArray.from_arrays(
+                pa.array(np.arange(len(sizes) + 1) * like.bands, pa.int32()),
+                pa.array(_band_keys(cells, like.bands).ravel()),
+            )
+            columns = [pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array([r.tobytes() for r in low]), bands]
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), *columns], names=names)
 
+    return run
 
-def _sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for part in slices(batches):
-        values, sizes = shingle_sets(part.column("text").to_pylist())
-        cuts = pa.array(np.append(0, np.cumsum(sizes)), pa.int32())
-        yield pa.RecordBatch.from_arrays(
-            [part.column("doc_id"), pa.ListArray.from_arrays(cuts, pa.array(values.view(np.int64)))], names=["node", "items"]
-        )
+
+def _sets(like: Likeness):
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches):
+            values, sizes = shingle_sets(part.column("text").to_pylist(), like.words)
+            cuts = pa.array(np.append(0, np.cumsum(sizes)), pa.int32())
+            yield pa.RecordBatch.from_arrays(
+                [part.column("doc_id"), pa.ListArray.from_arrays(cuts, pa.array(values.view(np.int64)))], names=["node", "items"]
+            )
+
+    return run
 
 
-def _agreeing(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray) -> np.ndarray:
+def _agreeing(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray, like: Likeness) -> np.ndarray:
     """Whether sets of these sizes and sketches may be linked."""
     small, large = np.minimum(na, nb), np.maximum(na, nb)
-    return (100 * small >= LINK * large) & ((a == b).sum(axis=-1) >= AGREE)
+    return (100 * small >= like.link * large) & ((a == b).sum(axis=-1) >= like.agree)
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), -1)
 
 
-def _near_hub(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _near_hub(like: Likeness):
     """Pairs of a class and the smallest id of a bucket whose sketches agree."""
-    for part in batches:
-        if part.num_rows:
-            sizes = [part.column(c).to_numpy(zero_copy_only=False) for c in ("n", "hub_n")]
-            near = _agreeing(_matrix(part.column("sketch")), _matrix(part.column("hub_sketch")), *sizes)
-            yield part.select(["a", "b"]).filter(pa.array(near))
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in batches:
+            if part.num_rows:
+                sizes = [part.column(c).to_numpy(zero_copy_only=False) for c in ("n", "hub_n")]
+                near = _agreeing(_matrix(part.column("sketch")), _matrix(part.column("hub_sketch")), *sizes, like)
+                yield part.select(["a", "b"]).filter(pa.array(near))
+
+    return run
 
 
-def _linked(x: np.ndarray, y: np.ndarray) -> bool:
+def _linked(x: np.ndarray, y: np.ndarray, link: int) -> bool:
     """Whether two sets, given as ascending distinct hashes, are similar enough."""
     both = len(np.intersect1d(x, y, assume_unique=True))
-    return 100 * both >= LINK * (len(x) + len(y) - both)
+    return 100 * both >= link * (len(x) + len(y) - both)
 
 
-def _across(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _across(like: Likeness):
     """Blocks in order: links between classes of different components, no more than connect the block."""
-    here, outside, members = None, [], []
-
-    def links() -> Iterator[pa.RecordBatch]:
-        if not outside or not members:
-            return
-        node, part, n, sketch = ([r[i] for r in members] for i in range(4))
-        part, n = np.array(part), np.array(n)
-        sketch = np.frombuffer(b"".join(sketch), np.uint8).reshape(len(members), -1)
-        own = {p: p for p in [*part.tolist(), *(r[1] for r in outside)]}
-
-        def root(p: int) -> int:
-            while own[p] != p:
-                own[p] = own[own[p]]
-                p = own[p]
-            return p
-
-        found = []
-        for a, a_part, a_n, a_sketch, a_items in outside:
-            near = _agreeing(np.frombuffer(a_sketch, np.uint8), sketch, np.full(len(n), a_n), n) & (part != a_part)
-            for k in np.flatnonzero(near):
-                x, y = root(a_part), root(int(part[k]))
-                if x != y and _linked(a_items, members[k][4]):
-                    own[max(x, y)] = min(x, y)
-                    found.append((max(a, node[k]), min(a, node[k])))
-        if found:
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], names=["a", "b"])
-
-    columns = ("bucket", "chunk", "block", "outside", "node", "component", "n", "sketch")
-    for batch in batches:
-        items = batch.column("items")
-        for i, (*key, is_outside, node, component, n, sketch) in enumerate(zip(*(batch.column(c).to_pylist() for c in columns))):
-            if key != here:
-                yield from links()
-                here, outside, members = key, [], []
-            # A copy, so that the batch can go before its block is complete.
-            row = (node, component, n, sketch, items[i].values.to_numpy(zero_copy_only=False).copy())
-            (outside if is_outside else members).append(row)
-    yield from links()
-
-
-def _confirmed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        here, outside, members = None, [], []
+
+        def links() -> Iterator[pa.RecordBatch]:
+            if not outside or not members:
+                return
+            node, part, n, sketch = ([r[i] for r in members] for i in range(4))
+            part, n = np.array(part), np.array(n)
+            sketch = np.frombuffer(b"".join(sketch), np.uint8).reshape(len(members), -1)
+            own = {p: p for p in [*part.tolist(), *(r[1] for r in outside)]}
+
+            def root(p: int) -> int:
+                while own[p] != p:
+                    own[p] = own[own[p]]
+                    p = own[p]
+                return p
+
+            found = []
+            for a, a_part, a_n, a_sketch, a_items in outside:
+                near = _agreeing(np.frombuffer(a_sketch, np.uint8), sketch, np.full(len(n), a_n), n, like) & (part != a_part)
+                for k in np.flatnonzero(near):
+                    x, y = root(a_part), root(int(part[k]))
+                    if x != y and _linked(a_items, members[k][4], like.link):
+                        own[max(x, y)] = min(x, y)
+                        found.append((max(a, node[k]), min(a, node[k])))
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], names=["a", "b"])
+
+        columns = ("bucket", "chunk", "block", "outside", "node", "component", "n", "sketch")
+        for batch in batches:
+            items = batch.column("items")
+            for i, (*key, is_outside, node, component, n, sketch) in enumerate(zip(*(batch.column(c).to_pylist() for c in columns))):
+                if key != here:
+                    yield from links()
+                    here, outside, members = key, [], []
+                # A copy, so that the batch can go before its block is complete.
+                row = (node, component, n, sketch, items[i].values.to_numpy(zero_copy_only=False).copy())
+                (outside if is_outside else members).append(row)
+        yield from links()
+
+    return run
+
+
+def _confirmed(like: Likeness):
     """The pairs whose full sets are similar enough."""
-    for part in batches:
-        if not part.num_rows:
-            continue
-        a, b = (part.column(c) for c in ("items_a", "items_b"))
-        good = [_linked(*(v.values.to_numpy(zero_copy_only=False) for v in pair)) for pair in zip(a, b)]
-        yield part.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in batches:
+            if not part.num_rows:
+                continue
+            a, b = (part.column(c) for c in ("items_a", "items_b"))
+            good = [_linked(*(v.values.to_numpy(zero_copy_only=False) for v in pair), like.link) for pair in zip(a, b)]
+            yield part.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
+
+    return run
 
 
 def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
@@ -240,16 +294,16 @@ def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
     )
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, label: str) -> DataFrame:
+def _verified(pairs: DataFrame, sets: DataFrame, label: str, like: Likeness) -> DataFrame:
     a = sets.select(F.col("node").alias("a"), F.col("items").alias("items_a"))
     b = sets.select(F.col("node").alias("b"), F.col("items").alias("items_b"))
-    return stored(pairs.join(a, "a").join(b, "b").mapInArrow(_confirmed, "a long, b long"), label)
+    return stored(pairs.join(a, "a").join(b, "b").mapInArrow(_confirmed(like), "a long, b long"), label)
 
 
-def near_dedup(docs: DataFrame) -> DataFrame:
+def near_dedup(docs: DataFrame, like: Likeness = QUERY) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id, kept."""
     texts = id_text(docs)
-    rows = stored(texts.mapInArrow(_sketched, _SKETCH), "sketches")
+    rows = stored(texts.mapInArrow(_sketched(like), _SKETCH), "sketches")
     named = rows.where("doc_id IS NOT NULL AND n_shingles > 0")
     classes = named.groupBy("digest").agg(F.min("doc_id").alias("node"))
     one = rows.join(classes.withColumnRenamed("node", "doc_id"), ["doc_id", "digest"], "left_semi").dropDuplicates(["doc_id"])
@@ -261,14 +315,14 @@ def near_dedup(docs: DataFrame) -> DataFrame:
     plain = one.select("node", "n", "sketch")
     spokes = members.where("node > hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
     hubs = plain.select(F.col("node").alias("b"), F.col("n").alias("hub_n"), F.col("sketch").alias("hub_sketch"))
-    near = spokes.join(plain.withColumnRenamed("node", "a"), "a").join(hubs, "b").mapInArrow(_near_hub, "a long, b long")
+    near = spokes.join(plain.withColumnRenamed("node", "a"), "a").join(hubs, "b").mapInArrow(_near_hub(like), "a long, b long")
     near = stored(near, "near-hub")
 
     wanted = members.select(F.col("node").alias("doc_id")).distinct()
     nodes = wanted.withColumnRenamed("doc_id", "node")
-    sets = texts.join(wanted, "doc_id", "left_semi").mapInArrow(_sets, "node long, items array<long>")
+    sets = texts.join(wanted, "doc_id", "left_semi").mapInArrow(_sets(like), "node long, items array<long>")
     sets = stored(sets.dropDuplicates(["node"]), "sets")
-    links = _verified(near, sets, "links")
+    links = _verified(near, sets, "links", like)
     parts = stored(components(nodes, links), "components")
 
     # Buckets that still hold several components: compare across them.
@@ -284,7 +338,7 @@ def near_dedup(docs: DataFrame) -> DataFrame:
     columns = ["bucket", "chunk", "block", "outside", "node", "component"]
     laid = left.select(columns).union(right.select(columns)).join(plain, "node").join(sets, "node")
     laid = laid.repartition("bucket", "chunk", "block").sortWithinPartitions("bucket", "chunk", "block", F.desc("outside"))
-    more = stored(laid.mapInArrow(_across, "a long, b long"), "more-links")
+    more = stored(laid.mapInArrow(_across(like), "a long, b long"), "more-links")
     parts = stored(components(nodes, links.union(more)), "components")
 
     label = classes.join(parts, "node", "left").select("digest", F.coalesce("component", "node").alias("component"))
@@ -300,6 +354,23 @@ def near_dedup(docs: DataFrame) -> DataFrame:
     )
 
 
-def drop_near_copies(docs: DataFrame) -> DataFrame:
+def _named(docs: DataFrame) -> DataFrame:
+    """Rows (see ``keyed``) with the id as key, or one of the row's own where ids are null or stand for several documents."""
+    row = row_key(docs)
+    own = F.lit(1 << 62) + F.xxhash64(row).bitwiseAND(F.lit((1 << 62) - 1))
+    number = F.col("doc_id").cast("long")
+    several = docs.where("doc_id IS NOT NULL").groupBy(number.alias("id")).agg(F.min(row).alias("low"), F.max(row).alias("high"))
+    several = stored(several.where("low <> high").select("id", F.lit(True).alias("several")), "shared-ids")
+    rows = keyed(docs, id=number, own=own, text=F.col("text"))
+    if several.isEmpty():
+        return rows.withColumn("key", F.coalesce("id", "own"))
+    shared = F.col("id").isNull() | F.col("several")
+    return rows.join(several, "id", "left").withColumn("key", F.when(shared, F.col("own")).otherwise(F.col("id")))
+
+
+def drop_near_copies(docs: DataFrame, like: Likeness = STAGE) -> DataFrame:
     """The rows of ``docs`` that stay, one of each group, with all their columns."""
-    return keep_rows(docs, near_dedup(docs).where("kept"))
+    rows = _named(docs)
+    texts = rows.select(F.col("key").alias("doc_id"), "text")
+    kept = stored(near_dedup(texts, like).where("kept").select("doc_id").distinct(), "near-kept")
+    return one_each(keep_rows(rows.select("document", "key"), kept))
