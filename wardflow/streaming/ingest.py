@@ -252,8 +252,13 @@ def read_ingested(
 
 def silver_schema(spark: SparkSession, kind: str) -> StructType:
     """Columns of a segment table; batches without a row of the segment leave no file to tell them."""
-    files = spark.createDataFrame([], FILE_SCHEMA)
-    return segment_table(with_headers(stamp(messages(files))), kind, rule=False).schema
+    if kind not in _SCHEMAS:
+        files = spark.createDataFrame([], FILE_SCHEMA)
+        _SCHEMAS[kind] = segment_table(with_headers(stamp(messages(files))), kind, rule=False).schema
+    return _SCHEMAS[kind]
+
+
+_SCHEMAS: dict[str, StructType] = {}
 
 
 def _committed(spark: SparkSession, out: str, table: str, batches: list[str] | None = None) -> DataFrame:
