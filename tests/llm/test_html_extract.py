@@ -64,16 +64,9 @@ def test_closing_an_outer_element_ends_the_menu_within():
     assert X.main_text("<main>a<span><nav>menu</span>b</main>")[0] == "a\nb"
 
 
-def streams(html):
-    """The parts of a page's token stream outside the article, with their places."""
-    at, parts = 0, [(0, [])]
-    for block in X.blocks_of(html):
-        if block.place == X.ARTICLE:
-            parts.append((at, []))
-        else:
-            parts[-1][1].extend(block.text.split(" "))
-            at += len(block.text.split(" "))
-    return parts
+def stream(html):
+    """The page's tokens outside the article."""
+    return [w for b in X.blocks_of(html) if b.place != X.ARTICLE for w in b.text.split(" ")]
 
 
 def main_of(html):
@@ -86,19 +79,18 @@ def brute_force(rows, depth):
     for host, _, html in rows:
         main = main_of(html)
         pages.setdefault(host, set()).add(main)
-        for _, words in streams(html):
-            for i in range(len(words) - depth + 1):
-                seen.setdefault((host, *words[i : i + depth]), set()).add(main)
+        words = stream(html)
+        for i in range(len(words) - depth + 1):
+            seen.setdefault((host, *words[i : i + depth]), set()).add(main)
         for b in X.blocks_of(html):
             if b.place == X.OTHER and len(b.text.split(" ")) < depth:
                 shorts.setdefault((host, b.text), set()).add(main)
     out = {}
     for host, _, html in rows:
-        covered = set()
-        for at, words in streams(html):
-            for i in range(len(words) - depth + 1):
-                if len(seen[(host, *words[i : i + depth])]) > 1:
-                    covered.update(range(at + i, at + i + depth))
+        covered, words = set(), stream(html)
+        for i in range(len(words) - depth + 1):
+            if len(seen[(host, *words[i : i + depth])]) > 1:
+                covered.update(range(i, i + depth))
         kept, at = [], 0
         for b in X.blocks_of(html):
             words = b.text.split(" ")

@@ -10,8 +10,8 @@ Markup alone can't judge the blocks that stand in neither, so each host's pages
 tokens of all blocks outside the article, page after page, form the host's token stream, and the
 sorted order of its suffixes - its suffix array - brings equal passages together: suffixes that
 share their first ``REPEAT_TOKENS`` tokens are neighbours. A passage of at least that length found
-on two or more distinct pages of the host is boilerplate. A passage may run over several blocks; of
-a block goes what passages cover if that is ``REPEAT_TOKENS`` or more in a run, and what is left,
+on two or more distinct pages of the host is boilerplate. A passage may run over several blocks, and
+on behind the article; of a block goes what passages cover if that is ``REPEAT_TOKENS`` or more in a run, and what is left,
 its unique runs, stays. A phrase that prose happens to share is shorter and stays too. Blocks too
 short to hold a passage go if they stand, as a whole, on ``BLOCK_SHARE`` of the host's distinct pages
 and on ``BLOCK_PAGES`` at least. All other blocks that stand in neither are main text, such as a
@@ -248,20 +248,6 @@ def _hashes(texts: list[str]) -> np.ndarray:
     return pd.util.hash_array(flat, categorize=False).view(np.int64) if len(flat) else np.empty(0, np.int64)
 
 
-def _segments(blocks: list[Block]) -> Iterator[tuple[int, list[str]]]:
-    """The tokens outside the article as (place in the page's stream, tokens); an article parts them."""
-    at, held = 0, []
-    for block in blocks:
-        if block.place == ARTICLE:
-            if held:
-                yield at, held
-            at, held = at + len(held), []
-        else:
-            held.extend(block.text.split(" "))
-    if held:
-        yield at, held
-
-
 _STREAM = "host string, page_id long, html_key long, page long, at int, tokens array<long>, block long"
 
 
@@ -279,11 +265,11 @@ def _streams(depth: int):
                 blocks = blocks_of(page)
                 mains.append("\n".join(b.text for b in blocks if b.place != BOILER))
                 rows.append((row, None, None))
-                for at, tokens in _segments(blocks):
-                    # A long stream in parts, each with the begin of the next, so that no passage is lost.
-                    for cut in range(0, max(len(tokens) - depth + 1, 0), CHUNK_TOKENS):
-                        rows.append((row, at + cut, None))
-                        words.append(tokens[cut : cut + CHUNK_TOKENS + depth - 1])
+                tokens = [w for b in blocks if b.place != ARTICLE for w in b.text.split(" ")]
+                # A long stream in parts, each with the begin of the next, so that no passage is lost.
+                for at in range(0, max(len(tokens) - depth + 1, 0), CHUNK_TOKENS):
+                    rows.append((row, at, None))
+                    words.append(tokens[at : at + CHUNK_TOKENS + depth - 1])
                 for text in {b.text for b in blocks if b.place == OTHER and b.text.count(" ") + 1 < depth}:
                     rows.append((row, None, len(shorts)))
                     shorts.append(text)
