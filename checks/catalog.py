@@ -30,7 +30,7 @@ from wardflow.sources.bus import messages_from
 from wardflow.sources.files import read_files, read_line_messages
 from wardflow.sources.changes import publish_version, read_changes, replay
 from wardflow.sources.predictions import PREDICTIONS, append_predictions, read_predictions
-from wardflow.sources.publish import SERVING_KEYS, create_statement, publish_all
+from wardflow.sources.publish import SERVING_KEYS, key_report, publish_all
 from wardflow.sources.versions import write_version
 from wardflow.streaming.ingest import (
     FILES,
@@ -518,9 +518,7 @@ _hours = lambda src, d: (
 )
 q(
     "A10_hour_totals",
-    lambda c: c.ed_hour.groupBy("event_hour").agg(
-        *[F.sum(x).alias(f"ed_{x}") for x in ("arrivals", "discharges", "net_change")]
-    ),
+    lambda c: features.hour_totals(c.ed_hour, "ed"),
     _hours("ed_hour", "ed"),
 )
 q("A11_U3_hourly_actuals", lambda c: forecast.hourly_actuals(c.ed_hour, c.icu_hour), "SELECT * FROM actuals")
@@ -1067,6 +1065,7 @@ q(
     f"SELECT * FROM icu_hour WHERE event_hour >= {NOW} - INTERVAL 24 HOUR",
 )
 q("T4_hourly_all", lambda c: reports.hourly(c.ed_hour), "SELECT * FROM ed_hour")
+q("T4_icu_hourly_all", lambda c: reports.hourly(c.icu_hour), "SELECT * FROM icu_hour")
 q("T5_ed_daily", lambda c: reports.daily(c.ed_day), "SELECT * FROM ed_day")
 q("T5_icu_daily", lambda c: reports.daily(c.icu_day), "SELECT * FROM icu_day")
 q(
@@ -1366,17 +1365,26 @@ q(
     f"SELECT md5(rtrim(raw_message, chr(13))) AS message_id, rtrim(raw_message, chr(13)) AS raw_message, "
     f"'file-' || CAST({_file_no} AS VARCHAR) AS file, {INT(f'count(*) OVER (PARTITION BY {_file_no})')} AS file_message_count FROM msg",
 )
+_sql_names = {
+    **{"encounters": "enc", "observations": "obs", "diagnoses": "dx", "allergies": "alg", "orders": "ord", "patients": "dim"},
+    **{"current": "cur", "combined": "comb", "predictions": "pred", "accuracy": "acc"},
+}
+_sql_tables = {full: _sql_names.get(short, short) for short, full in TABLES.items()}
 q(
     "S11_serving_ddl",
-    lambda c: reduce(
-        DataFrame.unionByName,
-        [
-            c.stored(t).limit(0).groupBy().agg(F.lit(t).alias("table"), F.lit(create_statement(t, c.stored(t), k)).alias("ddl"))
-            for t, k in SERVING_KEYS.items()
-        ],
-    ).select("table", F.regexp_extract("ddl", r"PRIMARY KEY \((.*)\)\)$", 1).alias("key"), F.regexp_count("ddl", F.lit(" NOT NULL")).alias("required")),
+    lambda c: reduce(DataFrame.unionByName, [key_report(c.stored(t), t, k) for t, k in SERVING_KEYS.items()]).select(
+        "table",
+        F.regexp_extract("ddl", r"PRIMARY KEY \((.*)\)\)$", 1).alias("key"),
+        F.regexp_count("ddl", F.lit(" NOT NULL")).alias("required"),
+        "rows",
+        "distinct_keys",
+        "rows_without_key",
+    ),
     " UNION ALL ".join(
-        f"SELECT '{t}' AS \"table\", '{', '.join(chr(34) + x + chr(34) for x in k)}' AS key, {len(k)} AS required" for t, k in SERVING_KEYS.items()
+        f"SELECT '{t}' AS \"table\", '{', '.join(chr(34) + x + chr(34) for x in k)}' AS key, {len(k)} AS required, count(*) AS rows, "
+        f"(SELECT count(*) FROM (SELECT DISTINCT {', '.join(k)} FROM {_sql_tables[t]})) AS distinct_keys, "
+        f"count(*) FILTER (WHERE {' OR '.join(f'{x} IS NULL' for x in k)}) AS rows_without_key FROM {_sql_tables[t]}"
+        for t, k in SERVING_KEYS.items()
     ),
 )
 
@@ -1583,13 +1591,6 @@ def _published_partly(c):
     return publish_all(c.spark, source, feed.new_path(c.spark, "serving"), names)
 
 
-_sql_names = {
-    **{"encounters": "enc", "observations": "obs", "diagnoses": "dx", "allergies": "alg", "orders": "ord", "patients": "dim"},
-    **{"current": "cur", "combined": "comb", "predictions": "pred", "accuracy": "acc"},
-}
-_sql_tables = {full: _sql_names.get(short, short) for short, full in TABLES.items()}
-
-
 def _publish_sql(table, keys):
     grouped = ", ".join(f"coalesce(CAST({k} AS VARCHAR), '')" for k in keys)
     bad = f"(SELECT count(*) FROM (SELECT 1 FROM {_sql_tables[table]} GROUP BY {grouped} HAVING count(*) > 1))"
@@ -1615,10 +1616,11 @@ q(
             F.when(F.col("units").isNull(), F.lit(float("nan"))).otherwise(F.col("observation_value_numeric")).alias("x"),
             F.when(F.col("is_abnormal"), F.lit(float("inf"))).otherwise(F.lit(1.0)).alias("y"),
             F.lit(1).alias("z"),
+            F.when(F.col("is_abnormal"), F.lit("9223372036854775808")).otherwise(F.lit("-9223372036854775808")).cast("decimal(20,0)").alias("w"),
         )
-    ),
+    ).withColumn("w", F.col("w").cast("long")),
     "SELECT observation_key, CASE WHEN units IS NOT NULL THEN observation_value_numeric END AS x, "
-    "CASE WHEN NOT is_abnormal THEN 1.0::DOUBLE END AS y, 1 AS z FROM obs",
+    "CASE WHEN NOT is_abnormal THEN 1.0::DOUBLE END AS y, 1 AS z, CASE WHEN NOT is_abnormal THEN (-9223372036854775808)::BIGINT END AS w FROM obs",
 )
 q(
     "S14_primary_key_check",

@@ -19,7 +19,7 @@ from wardflow.sources import tables as store
 from wardflow.sources.bus import messages_from
 from wardflow.sources.files import read_files, read_framed, read_line_messages
 from wardflow.sources.predictions import append_predictions, read_predictions
-from wardflow.sources.publish import SERVING_KEYS, create_statement, publish_all
+from wardflow.sources.publish import SERVING_KEYS, create_statement, key_report, publish_all
 from wardflow.streaming.ingest import (
     FILES,
     VIOLATIONS,
@@ -336,6 +336,9 @@ def test_publish(spark, gold, tmp_path):
     store.write_table(orders.union(orders.limit(1)), f"{source}/gold_order_fact")
     refused = publish_all(spark, source, target, ["gold_order_fact"]).first()
     assert refused["status"] == "FAILED" and refused["error"].startswith("1 key values") and len(refused["error"]) < 90
+    assert same(store.read_table(spark, f"{target}/gold_order_fact"), orders)  # what was refused was never shown
+    row = key_report(orders.union(orders.limit(1)), "gold_order_fact", ["order_key"]).first()
+    assert (row["rows"], row["distinct_keys"], row["rows_without_key"]) == (orders.count() + 1, orders.count(), 0)
     census = store.read_table(spark, f"{gold}/gold_ed_hourly_census")
     assert publish_all(spark, gold, target, ["gold_ed_hourly_census"]).first()["status"] == "SUCCESS"
     written = store.read_table(spark, f"{target}/gold_ed_hourly_census")

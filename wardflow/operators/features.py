@@ -148,6 +148,12 @@ def with_history(hourly: DataFrame, before: DataFrame, start) -> DataFrame:
     return past.select(*CENSUS, carried.alias("carried")).unionByName(fresh)
 
 
+def hour_totals(hourly: DataFrame, department: str) -> DataFrame:
+    """A department's counts per hour over all its facilities, named after it."""
+    counts = ("arrivals", "discharges", "net_change")
+    return hourly.groupBy("event_hour").agg(*[F.sum(c).alias(f"{department}_{c}") for c in counts])
+
+
 def _hour_totals(hourly: DataFrame, side: str) -> DataFrame:
     return hourly.select(
         "event_hour",

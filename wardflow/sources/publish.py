@@ -1,15 +1,25 @@
-"""Publishing gold tables to a serving store, with a load report."""
+"""Publishing gold tables to a serving store, with a load report.
+
+A gold table is read once. Its rows are written, without a shuffle, to a version that nobody reads
+yet; the primary key is checked on what was written, reading and shuffling the key columns alone,
+with counts per task before; then readers are switched, or the database is filled from that version.
+"""
 
 from __future__ import annotations
 
 import re
+import uuid
+from collections.abc import Callable
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from wardflow.session import checkpoint_dir
 from wardflow.sources.predictions import read_gold
-from wardflow.sources.tables import check_primary_key, sanitize, write_table
+from wardflow.sources.tables import check_primary_key, read_table, sanitize
+from wardflow.sources.versions import read_version, write_version
 
 # Published tables and their primary keys.
 SERVING_KEYS = {
@@ -68,6 +78,21 @@ def serving_rows(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.na.fill(NO_VALUE, texts) if texts else df
 
 
+def key_report(df: DataFrame, table: str, keys: list[str]) -> DataFrame:
+    """One row on a serving table's stored rows against its key: rows, distinct keys, rows that lack a part of it.
+
+    Counted per key within each task first, so that a frequent key costs one row per task.
+    """
+    lacking = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    none = F.lit(0).cast("long")
+    return counts.agg(
+        F.coalesce(F.sum("__n"), none).alias("rows"),
+        F.count(F.lit(1)).alias("distinct_keys"),
+        F.coalesce(F.sum(F.when(lacking, F.col("__n"))), none).alias("rows_without_key"),
+    ).select(F.lit(table).alias("table"), F.lit(create_statement(table, df, keys)).alias("ddl"), "*")
+
+
 REPORT_SCHEMA = "table string, status string, rows long, error string"
 
 
@@ -86,18 +111,37 @@ def publish_jdbc(df: DataFrame, url: str, table: str, partitions: int = 16, **pr
     )
 
 
-def publish_snapshot(df: DataFrame, target: str, table: str, **properties) -> int:
+class BadKeys(ValueError):
+    """Rows repeat a primary key or lack one."""
+
+
+def _unique(keys: list[str]) -> Callable[[DataFrame], None]:
+    def check(written: DataFrame) -> None:
+        bad = check_primary_key(written, keys).count()
+        if bad:
+            raise BadKeys(f"{bad} key values are repeated or missing in {', '.join(keys)}")
+
+    return check
+
+
+def publish_snapshot(df: DataFrame, target: str, table: str, keys: list[str] | None = None, **properties) -> int:
     """Sanitize and publish one table; returns the rows written.
 
     ``target`` is a JDBC url or a folder. Rows are counted while they are
-    written, not by a second pass.
+    written, not by a second pass. With ``keys``, rows that repeat or lack one
+    raise ``BadKeys`` and the target keeps what it has.
     """
     seen = Observation()
     clean = sanitize(df).observe(seen, F.count(F.lit(1)).alias("rows"))
-    if target.startswith("jdbc:"):
-        publish_jdbc(clean, target, table, **properties)
+    check = _unique(keys) if keys else None
+    if not target.startswith("jdbc:"):
+        write_version(clean, f"{target}/{table}", check=check)
+    elif check:
+        stage = f"{checkpoint_dir(df.sparkSession)}/publish/{table}-{uuid.uuid4().hex}"
+        write_version(clean, stage, check=check)
+        publish_jdbc(read_version(df.sparkSession, stage), target, table, **properties)
     else:
-        write_table(clean, f"{target}/{table}")
+        publish_jdbc(clean, target, table, **properties)
     return seen.get["rows"]
 
 
@@ -118,7 +162,7 @@ def clear_target(spark: SparkSession, target: str, table: str, **properties) ->
             raise
     else:
         try:
-            old = spark.read.parquet(f"{target}/{table}")
+            old = read_table(spark, f"{target}/{table}")
         except AnalysisException as err:
             if err.getCondition() == "PATH_NOT_FOUND":
                 return
@@ -147,12 +191,7 @@ def publish_all(
                 report.append((table, "SKIPPED_NOT_FOUND", 0, None))
                 continue
             keys = SERVING_KEYS.get(table, [])
-            df = serving_rows(df, keys)
-            bad = check_primary_key(df, keys).count() if keys else 0
-            if bad:
-                report.append((table, "FAILED", 0, f"{bad} key values are repeated or missing in {', '.join(keys)}"))
-                continue
-            rows = publish_snapshot(df, target, table, **properties)
+            rows = publish_snapshot(serving_rows(df, keys), target, table, keys, **properties)
             report.append((table, "SUCCESS" if rows else "SKIPPED_EMPTY", rows, None))
         except Exception as err:  # reported per table
             report.append((table, "FAILED", 0, str(err)))

@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -116,12 +116,14 @@ def write_version(
     replaced: Iterable[str] | None = None,
     batches: Iterable[str] = (),
     sort_by: tuple[str, ...] = (),
+    check: Callable[[DataFrame], None] | None = None,
 ) -> None:
     """Write rows as a new version and switch to it.
 
     Without ``add`` and ``replaced`` the rows are the whole table. With ``replaced`` they take the
     place of these partitions; with ``add`` they come on top of what is there. ``by`` is the
     partition column. ``sort_by`` orders rows inside each task's files, without a shuffle.
+    ``check`` gets the rows as they were written; if it raises, no reader ever sees them.
     """
     spark = df.sparkSession
     before = state(spark, path)
@@ -132,6 +134,8 @@ def write_version(
         df = df.sortWithinPartitions(*([by] if by else []), *sort_by)
     writer = df.write.partitionBy(by) if by else df.write
     writer.parquet(f"{path}/data/{folder}")
+    if check:
+        check(spark.read.schema(df.schema).parquet(f"{path}/data/{folder}"))
     parts = _parts(spark, f"{path}/data/{folder}", by) if by else [""]
     whole = not add and replaced is None
     row = {
