@@ -1,8 +1,10 @@
 import re
+import textwrap
 
 import pytest
 
 from wardflow.llm import license_scan as X
+from wardflow.llm.license_texts import TEXTS
 
 FULL = "Copyright (c) 2020 A. Person\nPermission is hereby granted to any person, free of charge.\nThe software is provided as is."
 
@@ -10,7 +12,7 @@ FULL = "Copyright (c) 2020 A. Person\nPermission is hereby granted to any person
 def found(spark, rows, licenses=None):
     docs = spark.createDataFrame(rows, "doc_id long, text string, license string")
     known = None if licenses is None else spark.createDataFrame(licenses, "license string, text string")
-    return {(r.doc_id, r.license, r.whole, r.n_lines) for r in X.scan_licenses(docs, known).collect()}
+    return {(r.doc_id, r.license, r.whole, r.n_lines, r.n_runs) for r in X.scan_licenses(docs, known).collect()}
 
 
 @pytest.mark.parametrize(
@@ -36,11 +38,33 @@ def test_whole_texts_lines_and_bystanders(spark):
     ]
     own = [("own", FULL), ("twin", FULL), *X.NOTICES]
     assert found(spark, rows, own) == {
-        (1, "own", True, 0), (1, "twin", True, 0), (2, "own", True, 0), (2, "twin", True, 0), (6, "MIT", False, 2),
-        (9, "all-rights-reserved", False, 1),
+        (1, "own", True, 0, 0), (1, "twin", True, 0, 0), (2, "own", True, 0, 0), (2, "twin", True, 0, 0), (6, "MIT", False, 2, 0),
+        (9, "all-rights-reserved", False, 1, 0),
     }
 
 
+def wrapped(text, width):
+    return "\n\n".join(textwrap.fill(p, width) for p in text.split("\n\n"))
+
+
+@pytest.mark.parametrize("width", [30, 57, 79, 10_000])
+def test_full_texts_are_found_whole_and_within_others(spark, width):
+    rows, want = [], set()
+    for i, (name, titles, text) in enumerate(TEXTS):
+        body, runs = wrapped(text, width), 0 if "\n\n" in text or width < 10_000 else 1
+        above = f"{titles[0]}\n\n" if titles else ""
+        rows.append((2 * i, f"{above}Copyright (c) 2024 Some One\n\n{body}\n", ""))
+        rows.append((2 * i + 1, f"A tool.\n \nCopyright (c) 2024 Some One\n\n{body.lower()}\n\t\nUsage: read it.", ""))
+        found_in_title = {(2 * i, name, True, 0, 1)} if titles else {(2 * i, name, True, 1 if "\n" not in body else 0, 0)}
+        want |= found_in_title | {(2 * i + 1, name, False, 1 if "\n" not in body else 0, 1)}
+    assert found(spark, rows) == want
+
+
+def test_a_part_of_a_text_is_not_the_text(spark):
+    parts = TEXTS[0][2].split("\n\n")
+    assert found(spark, [(1, "\n\n".join(parts[:2]), ""), (2, "\n\n".join([parts[0], "and", *parts[1:]]), ""), (3, "\n\n", "")]) == set()
+
+
 def test_leaving_out_texts_changes_nothing(spark, sf, monkeypatch):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     fast = X.scan_licenses(docs).collect()

@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from wardflow.llm.exact_dedup import exact_dedup
 from wardflow.llm.html_extract import extract
 from wardflow.llm.language_id import identify_documents
-from wardflow.llm.license_scan import NOTICES, SPELLINGS, scan_licenses
+from wardflow.llm.license_scan import _NO_HOLDER, NOTICES, SPELLINGS, scan_licenses
+from wardflow.llm.license_texts import TEXTS
 from wardflow.llm.merkle_manifest import prove
 from wardflow.llm.mixing import MARGINS, ROUNDS, TEMPER, mix
 from wardflow.llm.near_dedup import near_dedup
@@ -99,26 +100,47 @@ def _raking_sql() -> str:
 
 
 def _canonical_sql(text: str) -> str:
-    out = f"lower({text})"
-    out = rf"regexp_replace({out}, '(?m)^[ \t]*(?:\(c\)|©|copyright(?: [^\n]*)?$)', ' ', 'g')"
+    # RE2 has no lookahead: mark what is no copyright line, drop the others, take the mark away.
+    out = f"regexp_replace(lower({text}), '\\bcopyright ({_NO_HOLDER})\\b', 'copyright' || chr(1) || '\\1', 'g')"
+    out = rf"regexp_replace({out}, '(?m)^[ \t]*(?:\(c\)|©|copyright(?:[^\pL\pN_\x01\n][^\n]*)?$)[^\n]*', ' ', 'g')"
+    out = f"replace({out}, chr(1), ' ')"
+    out = rf"regexp_replace({out}, '[\t-\r ]+', ' ', 'g')"
     for spelling, same in SPELLINGS:
         out = f"regexp_replace({out}, '{spelling}', '{same.replace('$', chr(92))}', 'g')"
     return rf"trim(regexp_replace({out}, '[^\pL\pN]+', ' ', 'g'))"
 
 
 def _license_sql() -> str:
-    values = ", ".join("('{}', '{}')".format(a, b.replace("'", "''")) for a, b in NOTICES)
+    known = [*NOTICES, *((name, text) for name, _, text in TEXTS)]
+    known += [(name, f"{title}\n\n{text}") for name, titles, text in TEXTS for title in titles]
+    values = ", ".join("('{}', '{}')".format(a, b.replace("'", "''")) for a, b in known)
+    forms = rf"""
+        SELECT *, array_to_string(forms, ' ') AS form FROM (
+            SELECT * EXCLUDE (text), list_filter(list_transform(regexp_split_to_array(text, '\n[\t-\r ]*\n'), lambda p: {_canonical_sql("p")}), lambda p: p != '') AS forms
+            FROM ({{}})
+        )"""
     return f"""
-        WITH k AS (SELECT DISTINCT license, {_canonical_sql("text")} AS form FROM (VALUES {values}) AS v(license, text)),
+        WITH k AS (SELECT DISTINCT * FROM ({forms.format(f"SELECT * FROM (VALUES {values}) AS v(license, text)")}) WHERE len(forms) > 0),
+        d AS MATERIALIZED ({forms.format("SELECT doc_id, text FROM documents WHERE text <> ''")}),
+        n AS (SELECT DISTINCT len(forms) AS n FROM k),
         u AS (
-            SELECT doc_id, {_canonical_sql("text")} AS form, true AS whole FROM documents WHERE text IS NOT NULL
+            SELECT doc_id, form, NULL AS run, 'whole' AS kind FROM d
             UNION ALL
-            SELECT doc_id, {_canonical_sql("line")} AS form, false FROM (
-                SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents WHERE text IS NOT NULL
+            SELECT doc_id, {_canonical_sql("line")}, NULL, 'line' FROM (
+                SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents WHERE text <> ''
+            )
+            UNION ALL
+            SELECT doc_id, NULL, forms[i : i + n - 1], 'run' FROM (
+                SELECT doc_id, forms, n, unnest(range(1, len(forms) - n + 2)) AS i FROM d JOIN n ON len(forms) > n
             )
         )
-        SELECT doc_id, license, bool_or(whole) AS whole, count(*) FILTER (WHERE NOT whole) AS n_lines
-        FROM u JOIN k USING (form) WHERE form != '' GROUP BY doc_id, license
+        SELECT doc_id, license, bool_or(kind = 'whole') AS whole, count(*) FILTER (WHERE kind = 'line') AS n_lines,
+            count(*) FILTER (WHERE kind = 'run') AS n_runs
+        FROM (
+            SELECT doc_id, license, kind FROM u JOIN (SELECT DISTINCT license, form FROM k) USING (form)
+            UNION ALL
+            SELECT doc_id, license, kind FROM u JOIN (SELECT DISTINCT license, forms FROM k) AS r ON u.run = r.forms
+        ) GROUP BY doc_id, license
     """
 
 
