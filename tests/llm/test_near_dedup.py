@@ -77,6 +77,27 @@ def test_a_large_bucket_is_cut_into_blocks(spark, monkeypatch):
     assert found(spark, rows) == brute(rows)
 
 
+@pytest.mark.parametrize("heavy, tile", [(1, 3), (3, 7), (8, 2048), (1000, 5)])
+def test_shared_shingles_are_counted_like_sets(monkeypatch, heavy, tile):
+    monkeypatch.setattr(X, "HEAVY", heavy)
+    monkeypatch.setattr(X, "TILE", tile)
+    rng = np.random.default_rng(heavy)
+    common = rng.integers(-(2**63), 2**63, 40)
+    some = lambda: np.unique(np.append(rng.choice(common, rng.integers(0, 30)), rng.integers(-(2**63), 2**63, rng.integers(1, 9))))
+    members, sets = [some() for _ in range(50)], [some() for _ in range(20)]
+    sets += [members[3], np.array([2**63 - 1])]
+    counts = list(X._Counter(members).shared(sets))
+    assert [c.tolist() for c in counts] == [[len(set(a) & set(m)) for m in members] for a in sets]
+
+
+def test_documents_of_one_template_are_told_apart(spark):
+    """All are about 0.74 alike, and so share buckets, but for two pairs that are near."""
+    base = [f"b{i}" for i in range(100)]
+    rows = [(i, " ".join([*base, *(f"d{i}x{k}" for k in range(17))])) for i in range(300)]
+    rows += [(300, rows[7][1] + " end"), (301, rows[250][1] + " and end")]
+    assert found(spark, rows) == {i: (115 + max(0, i - 299), {300: 7, 301: 250}.get(i, i), i < 300) for i in range(302)}
+
+
 @settings(max_examples=3, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(texts=st.lists(st.none() | st.lists(st.sampled_from("a b C c\n d".split(" ")), max_size=8).map(" ".join), min_size=1, max_size=25))
 def test_random_short_texts(spark, texts):

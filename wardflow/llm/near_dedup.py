@@ -17,8 +17,11 @@ together lose none found by the bands, yet never write all pairs of a group:
   the smallest id against all members of other components, within tasks that write no more links
   than connect their block.
 
-Pairs whose sketches agree in too few coordinates to be similar are left out before sets are
-compared. Buckets are cut into blocks of bounded size, whatever their share of the rows.
+In the first round pairs whose sketches agree in too few coordinates to be similar are left out before
+sets are compared, and a set goes out once for up to ``SPOKES`` classes beside each of its buckets. In
+the second, buckets are cut into blocks of bounded rows and bytes, whatever their share of the rows, and
+the sets of a block are counted against each other at once: shingles that many of the block's sets hold
+(a template's) by a matrix product, the others by the list of their holders.
 
 Rows without words are linked with nothing. Results go by ``doc_id``: a row with a null one is linked
 with nothing and kept, rows that repeat one with one text share a verdict, and of different texts
@@ -81,8 +84,15 @@ class Likeness:
 #: Three words and 0.85, as the query wants, and five words and 0.8, as the stage does.
 QUERY = Likeness(words=3, link=85, bands=24)
 STAGE = Likeness(words=5, link=80, bands=35)
-#: Sizes of the blocks in which a bucket is compared: classes outside its main component, members.
-OUTSIDE, MEMBERS = 128, 512
+#: Sizes of the blocks in which a bucket is compared: classes outside its main component, members, and
+#: the shingles of either that a block holds on average.
+OUTSIDE, MEMBERS, ITEMS = 2048, 2048, 1 << 20
+#: Classes that are compared with one copy of a hub's set, about, for each bucket of the hub.
+SPOKES = 256
+#: A shingle of at least this part of a block's members, and this many, is counted by matrix product.
+HEAVY_PART, HEAVY = 1 / 64, 8
+#: Shingles in a matrix.
+TILE = 2048
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _FREE = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -195,73 +205,125 @@ def _near_hub(like: Likeness):
             if part.num_rows:
                 sizes = [part.column(c).to_numpy(zero_copy_only=False) for c in ("n", "hub_n")]
                 near = _agreeing(_matrix(part.column("sketch")), _matrix(part.column("hub_sketch")), *sizes, like)
-                yield part.select(["a", "b"]).filter(pa.array(near))
+                yield part.select(["a", "b", "salt"]).filter(pa.array(near))
 
     return run
 
 
-def _linked(x: np.ndarray, y: np.ndarray, link: int) -> bool:
-    """Whether two sets, given as ascending distinct hashes, are similar enough."""
-    both = len(np.intersect1d(x, y, assume_unique=True))
-    return 100 * both >= link * (len(x) + len(y) - both)
+def _linked(both: np.ndarray, n: np.ndarray, other: int, link: int) -> np.ndarray:
+    """Whether sets of ``n`` shingles, ``both`` of them shared with one of ``other``, are similar enough."""
+    return 100 * both >= link * (n + other - both)
+
+
+class _Counter:
+    """Counts what each of some sets shares with each of a block's members; sets are ascending distinct hashes."""
+
+    def __init__(self, members: list[np.ndarray]):
+        self.sizes = np.array([len(m) for m in members], np.int64)
+        flat, owner = np.concatenate(members), np.repeat(np.arange(len(members)), self.sizes)
+        order = np.argsort(flat, kind="stable")
+        flat, self.owner = flat[order], owner[order]
+        self.first = np.flatnonzero(np.append(True, flat[1:] != flat[:-1]))
+        self.items = flat[self.first]
+        self.held = np.diff(np.append(self.first, len(flat)))
+        heavy = self.held >= max(HEAVY, HEAVY_PART * len(members))
+        self.rank = np.where(heavy, np.cumsum(heavy) - 1, -1)
+        self.n_heavy = int(heavy.sum())
+
+    def _holders(self, at: np.ndarray) -> np.ndarray:
+        """The members that hold each of the items at these places, one after another."""
+        held = self.held[at]
+        return self.owner[np.arange(int(held.sum())) + np.repeat(self.first[at] - (np.cumsum(held) - held), held)]
+
+    def shared(self, sets: list[np.ndarray]) -> Iterator[np.ndarray]:
+        """Per set, the shingles that it shares with each member."""
+        places = []
+        for some in sets:
+            at = np.minimum(np.searchsorted(self.items, some), len(self.items) - 1)
+            places.append(at[self.items[at] == some])
+        # Sums of ones in float32 are exact below 2^24.
+        exact = np.float32 if self.sizes.max() < 1 << 24 else np.float64
+        total = np.zeros((len(sets), len(self.sizes)), exact)
+        heavy_at = np.flatnonzero(self.rank >= 0)
+        ranks = [r[r >= 0] for r in (self.rank[at] for at in places)]
+        for low in range(0, self.n_heavy, TILE):
+            here = heavy_at[low : low + TILE]
+            theirs = np.zeros((len(self.sizes), len(here)), exact)
+            theirs[self._holders(here), np.repeat(np.arange(len(here)), self.held[here])] = 1
+            own = np.zeros((len(sets), len(here)), exact)
+            for i, r in enumerate(ranks):
+                own[i, r[np.searchsorted(r, low) : np.searchsorted(r, low + TILE)] - low] = 1
+            total += own @ theirs.T
+        for row, at in zip(total, places):
+            light = self._holders(at[self.rank[at] < 0])
+            yield row.astype(np.int64) + np.bincount(light, minlength=len(self.sizes))
+
+
+def _runs(batches: Iterable[pa.RecordBatch], key: tuple[str, ...], columns: tuple[str, ...]) -> Iterator[tuple[tuple, list[tuple]]]:
+    """Sorted rows by key: (key, rows); a row is the given columns and its set as an array."""
+    here, rows = None, []
+    for batch in batches:
+        items = batch.column("items")
+        for i, row in enumerate(zip(*(batch.column(c).to_pylist() for c in (*key, *columns)))):
+            if row[: len(key)] != here:
+                if rows:
+                    yield here, rows
+                here, rows = row[: len(key)], []
+            # A copy, so that the batch can go before its block is complete.
+            rows.append((*row[len(key) :], items[i].values.to_numpy(zero_copy_only=False).copy()))
+    if rows:
+        yield here, rows
 
 
 def _across(like: Likeness):
     """Blocks in order: links between classes of different components, no more than connect the block."""
 
+    def links(outside: list[tuple], members: list[tuple]) -> list[tuple[int, int]]:
+        counter = _Counter([m[-1] for m in members])
+        node = np.array([m[0] for m in members])
+        names, place = np.unique([r[1] for r in (*members, *outside)], return_inverse=True)
+        label = np.arange(len(names))
+        member_part, outside_part = place[: len(members)], place[len(members) :]
+        found = []
+        for (a, _, a_items), a_part, both in zip(outside, outside_part, counter.shared([r[-1] for r in outside])):
+            near = np.flatnonzero(_linked(both, counter.sizes, len(a_items), like.link))
+            if not len(near):
+                continue
+            parts, at = np.unique(label[member_part[near]], return_index=True)
+            for part, k in zip(parts.tolist(), near[at].tolist()):
+                if part != label[a_part]:
+                    label[label == part] = label[a_part]
+                    found.append((max(a, int(node[k])), min(a, int(node[k]))))
+        return found
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        here, outside, members = None, [], []
-
-        def links() -> Iterator[pa.RecordBatch]:
-            if not outside or not members:
-                return
-            node, part, n, sketch = ([r[i] for r in members] for i in range(4))
-            part, n = np.array(part), np.array(n)
-            sketch = np.frombuffer(b"".join(sketch), np.uint8).reshape(len(members), -1)
-            own = {p: p for p in [*part.tolist(), *(r[1] for r in outside)]}
-
-            def root(p: int) -> int:
-                while own[p] != p:
-                    own[p] = own[own[p]]
-                    p = own[p]
-                return p
-
-            found = []
-            for a, a_part, a_n, a_sketch, a_items in outside:
-                near = _agreeing(np.frombuffer(a_sketch, np.uint8), sketch, np.full(len(n), a_n), n, like) & (part != a_part)
-                for k in np.flatnonzero(near):
-                    x, y = root(a_part), root(int(part[k]))
-                    if x != y and _linked(a_items, members[k][4], like.link):
-                        own[max(x, y)] = min(x, y)
-                        found.append((max(a, node[k]), min(a, node[k])))
+        for _, rows in _runs(batches, ("bucket", "chunk", "block"), ("outside", "node", "component")):
+            outside, members = ([r[1:] for r in rows if r[0] == flag] for flag in (True, False))
+            found = links(outside, members) if outside and members else []
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], names=["a", "b"])
 
-        columns = ("bucket", "chunk", "block", "outside", "node", "component", "n", "sketch")
-        for batch in batches:
-            items = batch.column("items")
-            for i, (*key, is_outside, node, component, n, sketch) in enumerate(zip(*(batch.column(c).to_pylist() for c in columns))):
-                if key != here:
-                    yield from links()
-                    here, outside, members = key, [], []
-                # A copy, so that the batch can go before its block is complete.
-                row = (node, component, n, sketch, items[i].values.to_numpy(zero_copy_only=False).copy())
-                (outside if is_outside else members).append(row)
-        yield from links()
-
     return run
 
 
 def _confirmed(like: Likeness):
-    """The pairs whose full sets are similar enough."""
+    """Rows by hub and salt, the hub's own row first: the pairs whose full sets are similar enough."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        here, hub = None, None
         for part in batches:
-            if not part.num_rows:
-                continue
-            a, b = (part.column(c) for c in ("items_a", "items_b"))
-            good = [_linked(*(v.values.to_numpy(zero_copy_only=False) for v in pair), like.link) for pair in zip(a, b)]
-            yield part.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
+            keys = list(zip(part.column("b").to_pylist(), part.column("salt").to_pylist()))
+            nodes, items, good = part.column("node").to_numpy(), part.column("items"), []
+            for i, key in enumerate(keys):
+                some = items[i].values.to_numpy(zero_copy_only=False)
+                if key != here:
+                    here, hub = key, some.copy()
+                else:
+                    both = len(np.intersect1d(hub, some, assume_unique=True))
+                    if _linked(both, len(hub), len(some), like.link):
+                        good.append((int(nodes[i]), key[0]))
+            if good:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*good)], names=["a", "b"])
 
     return run
 
@@ -295,9 +357,11 @@ def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, label: str, like: Likeness) -> DataFrame:
-    a = sets.select(F.col("node").alias("a"), F.col("items").alias("items_a"))
-    b = sets.select(F.col("node").alias("b"), F.col("items").alias("items_b"))
-    return stored(pairs.join(a, "a").join(b, "b").mapInArrow(_confirmed(like), "a long, b long"), label)
+    """The links among ``pairs`` (a, b, salt); each set goes out once, but that of a hub b once for each salt."""
+    hubs = pairs.select("b", "salt").distinct().withColumn("node", F.col("b"))
+    rows = pairs.select("b", "salt", F.col("a").alias("node")).union(hubs).join(sets, "node")
+    rows = rows.repartition("b", "salt").sortWithinPartitions("b", "salt", "node")  # a hub is the smallest of its bucket
+    return stored(rows.mapInArrow(_confirmed(like), "a long, b long"), label)
 
 
 def near_dedup(docs: DataFrame, like: Likeness = QUERY) -> DataFrame:
@@ -309,14 +373,21 @@ def near_dedup(docs: DataFrame, like: Likeness = QUERY) -> DataFrame:
     one = rows.join(classes.withColumnRenamed("node", "doc_id"), ["doc_id", "digest"], "left_semi").dropDuplicates(["doc_id"])
     one = stored(one.select(F.col("doc_id").alias("node"), F.col("n_shingles").alias("n"), "sketch", "bands"), "classes")
 
-    buckets = one.select("node", F.explode("bands").alias("bucket"))
-    shared = buckets.groupBy("bucket").agg(F.min("node").alias("hub"), F.count("*").alias("size")).where("size > 1")
-    members = stored(buckets.join(shared, "bucket"), "buckets")
+    spread = lambda n, salt: F.pmod(F.xxhash64("node", F.lit(salt)), n).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
+    buckets = one.select("node", "n", F.explode("bands").alias("bucket"))
+    shared = buckets.groupBy("bucket").agg(F.min("node").alias("hub"), F.count("*").alias("size"), F.sum("n").alias("items"))
+    shared = stored(shared.where("size > 1"), "shared")
+    # A hub has a bucket a band at most, so these join and group without a hot key.
+    parts_of = shared.groupBy("hub").agg(F.ceil(F.max("size") / SPOKES).cast("int").alias("parts"))
+    members = stored(buckets.join(shared.join(parts_of, "hub"), "bucket"), "buckets")
     plain = one.select("node", "n", "sketch")
-    spokes = members.where("node > hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
-    hubs = plain.select(F.col("node").alias("b"), F.col("n").alias("hub_n"), F.col("sketch").alias("hub_sketch"))
-    near = spokes.join(plain.withColumnRenamed("node", "a"), "a").join(hubs, "b").mapInArrow(_near_hub(like), "a long, b long")
-    near = stored(near, "near-hub")
+    spokes = members.where("node > hub").select(F.col("node").alias("a"), F.col("hub").alias("b"), spread(F.col("parts"), 3).alias("salt"))
+    hubs = parts_of.withColumnRenamed("hub", "node").join(plain, "node").select(
+        F.col("node").alias("b"), every(F.col("parts")).alias("salt"), F.col("n").alias("hub_n"), F.col("sketch").alias("hub_sketch")
+    )
+    near = spokes.distinct().join(plain.withColumnRenamed("node", "a"), "a").join(hubs, ["b", "salt"])
+    near = stored(near.mapInArrow(_near_hub(like), "a long, b long, salt int"), "near-hub")
 
     wanted = members.select(F.col("node").alias("doc_id")).distinct()
     nodes = wanted.withColumnRenamed("doc_id", "node")
@@ -328,16 +399,18 @@ def near_dedup(docs: DataFrame, like: Likeness = QUERY) -> DataFrame:
     # Buckets that still hold several components: compare across them.
     placed = members.join(parts, "node").join(parts.select(F.col("node").alias("hub"), F.col("component").alias("main")), "hub")
     placed = placed.withColumn("outside", F.col("component") != F.col("main"))
-    still = placed.groupBy("bucket").agg(F.sum(F.col("outside").cast("long")).alias("n_out")).where("n_out > 0")
-    opened = placed.join(still, "bucket").select("bucket", "node", "component", "outside", "size", "n_out")
-    chunks, blocks = F.ceil(F.col("n_out") / OUTSIDE).cast("int"), F.ceil(F.col("size") / MEMBERS).cast("int")
-    spread = lambda n, salt: F.pmod(F.xxhash64("node", F.lit(salt)), n).cast("int")
-    every = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
+    n_out, items_out = (F.sum(F.when(F.col("outside"), x).otherwise(0)) for x in (F.lit(1), F.col("n")))
+    still = placed.groupBy("bucket").agg(n_out.alias("n_out"), items_out.alias("items_out")).where("n_out > 0")
+    opened = placed.join(still, "bucket")
+    chunks, blocks = (
+        F.ceil(F.greatest(F.col(rows) / most, F.col(items) / ITEMS)).cast("int")
+        for rows, most, items in (("n_out", OUTSIDE, "items_out"), ("size", MEMBERS, "items"))
+    )
     left = opened.where("outside").withColumn("chunk", spread(chunks, 1)).withColumn("block", every(blocks))
     right = opened.withColumn("block", spread(blocks, 2)).withColumn("chunk", every(chunks)).withColumn("outside", F.lit(False))
     columns = ["bucket", "chunk", "block", "outside", "node", "component"]
-    laid = left.select(columns).union(right.select(columns)).join(plain, "node").join(sets, "node")
-    laid = laid.repartition("bucket", "chunk", "block").sortWithinPartitions("bucket", "chunk", "block", F.desc("outside"))
+    laid = left.select(columns).union(right.select(columns)).join(sets, "node")
+    laid = laid.repartition("bucket", "chunk", "block").sortWithinPartitions("bucket", "chunk", "block")
     more = stored(laid.mapInArrow(_across(like), "a long, b long"), "more-links")
     parts = stored(components(nodes, links.union(more)), "components")
 
