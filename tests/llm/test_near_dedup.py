@@ -84,7 +84,7 @@ def test_shared_shingles_are_counted_like_sets(monkeypatch, heavy, tile):
     rng = np.random.default_rng(heavy)
     common = rng.integers(-(2**63), 2**63, 40)
     some = lambda: np.unique(np.append(rng.choice(common, rng.integers(0, 30)), rng.integers(-(2**63), 2**63, rng.integers(1, 9))))
-    members, sets = [some() for _ in range(50)], [some() for _ in range(20)]
+    members, sets = [rng.permutation(some()) for _ in range(50)], [rng.permutation(some()) for _ in range(20)]
     sets += [members[3], np.array([2**63 - 1])]
     counts = list(X._Counter(members).shared(sets))
     assert [c.tolist() for c in counts] == [[len(set(a) & set(m)) for m in members] for a in sets]

@@ -216,7 +216,7 @@ def _linked(both: np.ndarray, n: np.ndarray, other: int, link: int) -> np.ndarra
 
 
 class _Counter:
-    """Counts what each of some sets shares with each of a block's members; sets are ascending distinct hashes."""
+    """Counts what each of some sets shares with each of a block's members; sets are distinct hashes in any order."""
 
     def __init__(self, members: list[np.ndarray]):
         self.sizes = np.array([len(m) for m in members], np.int64)
@@ -240,7 +240,7 @@ class _Counter:
         places = []
         for some in sets:
             at = np.minimum(np.searchsorted(self.items, some), len(self.items) - 1)
-            places.append(at[self.items[at] == some])
+            places.append(np.sort(at[self.items[at] == some]))
         # Sums of ones in float32 are exact below 2^24.
         exact = np.float32 if self.sizes.max() < 1 << 24 else np.float64
         total = np.zeros((len(sets), len(self.sizes)), exact)
