@@ -389,8 +389,9 @@ def near_dedup(docs: DataFrame, like: Likeness = QUERY) -> DataFrame:
     near = spokes.distinct().join(plain.withColumnRenamed("node", "a"), "a").join(hubs, ["b", "salt"])
     near = stored(near.mapInArrow(_near_hub(like), "a long, b long, salt int"), "near-hub")
 
-    wanted = members.select(F.col("node").alias("doc_id")).distinct()
-    nodes = wanted.withColumnRenamed("doc_id", "node")
+    # Stored, so that its size is known before texts are joined to it: few enough, and texts are not shuffled.
+    nodes = stored(members.select("node").distinct(), "nodes")
+    wanted = nodes.withColumnRenamed("node", "doc_id")
     sets = texts.join(wanted, "doc_id", "left_semi").mapInArrow(_sets(like), "node long, items array<long>")
     sets = stored(sets.dropDuplicates(["node"]), "sets")
     links = _verified(near, sets, "links", like)
