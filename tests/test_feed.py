@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from checks import feed
 from wardflow.operators.messages import message_time, messages
-from wardflow.sources.files import LISTING, list_files, read_files
+from wardflow.sources.files import LISTING, list_files, read_files, read_line_messages
 from wardflow.streaming import ingest
 
 
@@ -95,3 +95,13 @@ def test_batches_share_one_scan_of_the_listing(spark, events, tmp_path, monkeypa
     assert len(made) > 1 and seen == [True] * (len(made) + 1)
     # The listing is let go.
     assert not list_files(spark, folder, glob="*.txt").coalesce(4 * spark.sparkContext.defaultParallelism).storageLevel.useMemory
+
+
+def test_line_messages_open_each_file_once(spark, tmp_path):
+    for i in range(3):
+        (tmp_path / f"{i}.hl7").write_text("".join(f"MSH|^~\\&|A|F|{i}|{k}\rPID|1||P{k}\n\n" for k in range(4)))
+    found = read_line_messages(spark, str(tmp_path))
+    assert "FileScan text" not in plan(found)
+    want = messages(read_files(spark, str(tmp_path)))
+    assert found.count() == 12
+    assert same(found.select("raw_message", "file_message_count"), want.select("raw_message", "file_message_count"))
