@@ -1,5 +1,6 @@
 import random
 import re
+import tracemalloc
 from collections import defaultdict
 
 import numpy as np
@@ -178,3 +179,20 @@ def test_components_of_long_paths(spark):
     nodes = spark.createDataFrame([(i,) for i in [*range(41), *range(100, 105)]], "node long")
     out = X.components(nodes, spark.createDataFrame(links, "a long, b long")).collect()
     assert {r.node: r.component for r in out} == {i: 0 if i < 41 else 104 if i == 104 else 100 for i in [*range(41), *range(100, 105)]}
+
+
+def test_a_full_block_is_counted_in_bounded_memory(monkeypatch):
+    rng = np.random.default_rng(3)
+    template = rng.integers(0, 1 << 62, 600)
+
+    def text():
+        return np.unique(np.append(rng.choice(template, 400, replace=False), rng.integers(0, 1 << 62, 110)))
+
+    members, sets = ([text() for _ in range(n)] for n in (X.MEMBERS, X.OUTSIDE))
+    tracemalloc.start()
+    shared = [int(row.sum()) for row in X._Counter(members).shared(sets)]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 60_000_000  # 73 MB, with all sets of a block in one matrix
+    some = rng.integers(0, len(sets), 5)
+    assert [shared[i] for i in some] == [sum(len(np.intersect1d(sets[i], m)) for m in members) for i in some]

@@ -92,7 +92,11 @@ SPOKES = 256
 #: A shingle of at least this part of a block's members, and this many, is counted by matrix product.
 HEAVY_PART, HEAVY = 1 / 64, 8
 #: Shingles in a matrix.
-TILE = 2048
+TILE = 1024
+#: Rows of a matrix that are multiplied at a time.
+STRIP = 256
+#: Bytes of text whose words and sketches a task holds at a time.
+TEXT = 1 << 19
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _FREE = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -159,7 +163,7 @@ _SKETCH = "doc_id long, n_shingles long, digest binary, sketch binary, bands arr
 def _sketched(like: Likeness):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["doc_id", "n_shingles", "digest", "sketch", "bands"]
-        for part in slices(batches):
+        for part in slices(batches, most=TEXT):
             values, sizes = shingle_sets(part.column("text").to_pylist(), like.words)
             cells = sketches(values, sizes, like.coordinates)
             ends = np.cumsum(sizes)
@@ -177,7 +181,7 @@ def _sketched(like: Likeness):
 
 def _sets(like: Likeness):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches):
+        for part in slices(batches, most=TEXT):
             values, sizes = shingle_sets(part.column("text").to_pylist(), like.words)
             cuts = pa.array(np.append(0, np.cumsum(sizes)), pa.int32())
             yield pa.RecordBatch.from_arrays(
@@ -220,14 +224,15 @@ class _Counter:
 
     def __init__(self, members: list[np.ndarray]):
         self.sizes = np.array([len(m) for m in members], np.int64)
-        flat, owner = np.concatenate(members), np.repeat(np.arange(len(members)), self.sizes)
+        flat, owner = np.concatenate(members), np.repeat(np.arange(len(members), dtype=np.int32), self.sizes)
         order = np.argsort(flat, kind="stable")
         flat, self.owner = flat[order], owner[order]
+        del order, owner
         self.first = np.flatnonzero(np.append(True, flat[1:] != flat[:-1]))
         self.items = flat[self.first]
         self.held = np.diff(np.append(self.first, len(flat)))
         heavy = self.held >= max(HEAVY, HEAVY_PART * len(members))
-        self.rank = np.where(heavy, np.cumsum(heavy) - 1, -1)
+        self.rank = np.where(heavy, np.cumsum(heavy, dtype=np.int32) - 1, -1).astype(np.int32)
         self.n_heavy = int(heavy.sum())
 
     def _holders(self, at: np.ndarray) -> np.ndarray:
@@ -240,7 +245,7 @@ class _Counter:
         places = []
         for some in sets:
             at = np.minimum(np.searchsorted(self.items, some), len(self.items) - 1)
-            places.append(np.sort(at[self.items[at] == some]))
+            places.append(np.sort(at[self.items[at] == some].astype(np.int32)))
         # Sums of ones in float32 are exact below 2^24.
         exact = np.float32 if self.sizes.max() < 1 << 24 else np.float64
         total = np.zeros((len(sets), len(self.sizes)), exact)
@@ -250,10 +255,12 @@ class _Counter:
             here = heavy_at[low : low + TILE]
             theirs = np.zeros((len(self.sizes), len(here)), exact)
             theirs[self._holders(here), np.repeat(np.arange(len(here)), self.held[here])] = 1
-            own = np.zeros((len(sets), len(here)), exact)
-            for i, r in enumerate(ranks):
-                own[i, r[np.searchsorted(r, low) : np.searchsorted(r, low + TILE)] - low] = 1
-            total += own @ theirs.T
+            for top in range(0, len(sets), STRIP):
+                some = ranks[top : top + STRIP]
+                own = np.zeros((len(some), len(here)), exact)
+                for i, r in enumerate(some):
+                    own[i, r[np.searchsorted(r, low) : np.searchsorted(r, low + TILE)] - low] = 1
+                total[top : top + STRIP] += own @ theirs.T
         for row, at in zip(total, places):
             light = self._holders(at[self.rank[at] < 0])
             yield row.astype(np.int64) + np.bincount(light, minlength=len(self.sizes))
