@@ -4,8 +4,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from checks.context import Context
-from wardflow.functions.text import field, first_segment
-from wardflow.operators.messages import explode_segment, messages, parse_messages, segments, stamp
+from wardflow.functions.text import _fields, field, first_segment
+from wardflow.operators.messages import explode_segment, message_time, messages, parse_messages, segments, stamp
+from wardflow.operators.quality import rules_for
+from wardflow.operators.report import _own_columns, message_report
 from wardflow.operators.segments import LAYOUTS, layout_columns, segment_table
 from wardflow.functions.text import segment_lines
 
@@ -128,3 +130,37 @@ def test_message_rows(spark):
     rows = messages(files).collect()
     assert [r["file_message_count"] for r in rows] == [2, 2]
     assert len({r["message_id"] for r in rows}) == 2
+
+
+def test_a_time_cuts_its_line_once(spark, one):
+    timed = one.select(message_time().alias("t"))
+    text = timed._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("split(") == 1
+    assert timed.select(F.col("t").cast("string")).first()[0] == "2024-01-15 10:30:00"
+    odd = spark.createDataFrame([("MSH|^~\\&|A|B|C|D|2024|",), ("MSH",), ("PID|1",), ("",), (None,)], "raw_message string")
+    assert [r[0] for r in odd.select(message_time()).collect()] == [None] * 5
+
+
+def test_a_rule_cuts_a_time_once(spark, one):
+    cut = one.select(F.split("raw_message", r"\|").alias("__parts")).select(_own_columns("PV1")["admit_datetime"].alias("t"))
+    assert cut._jdf.queryExecution().optimizedPlan().toString().count("__parts") <= 3
+    found = message_report(one, {"PV1": rules_for("PV1", "2024-01-10 00:00:00")})
+    failures = {r["rule"]: r["failures"] for r in found.collect()}
+    assert failures["pv1_admit_not_future"] == 1 and sum(failures.values()) == 1
+
+
+def test_fields_of_odd_lines(spark):
+    lines = ["MSH", "MSH|", "MSH|^~\\&", "MSH|^~\\&||A^B|", "", "PID", "PID|", "PID||a|x~y^z&w", "^A|~|&"]
+    plain = lambda t: [[[t]]] if t else None
+    nested = lambda t: [[c.split("&") for c in r.split("^")] for r in t.split("~")]
+
+    def want(line):
+        cut = line.split("|")
+        cut = ["MSH", "|", *cut[1:]] if line.startswith("MSH") else cut
+        head = 3 if line.startswith("MSH") else 0
+        return [plain(t) if i < head or not set(t) & set("~^&") else nested(t) for i, t in enumerate(cut)]
+
+    rows = spark.createDataFrame([(x,) for x in lines], "line string").select(_fields(F.col("line")).alias("f"))
+    assert [r["f"] for r in rows.collect()] == [want(x) for x in lines]
+    # The header is told apart once per line.
+    assert "<= 2" not in rows._jdf.queryExecution().optimizedPlan().toString()
