@@ -105,3 +105,18 @@ def test_line_messages_open_each_file_once(spark, tmp_path):
     want = messages(read_files(spark, str(tmp_path)))
     assert found.count() == 12
     assert same(found.select("raw_message", "file_message_count"), want.select("raw_message", "file_message_count"))
+
+
+def test_named_files_are_written_without_a_process_each(spark, events):
+    folder = feed.landing_folder(spark, events)
+    names = [f for _, _, files in os.walk(folder) for f in files]
+    assert set(names) == {"part-00000.txt"}  # no checksums, no marker, nothing half written
+    plain = feed.new_path(spark, "plain")
+    rows = feed.landed_files(spark, events).select("file_id", F.col("raw_content").alias("value"))
+    rows.write.partitionBy("file_id").text(plain)
+
+    def read(path):
+        name = F.regexp_extract("source_file", "file_id=([^/]*)/", 1)
+        return read_files(spark, path, glob="*.txt", recursive=True).select(name.alias("name"), "raw_content")
+
+    assert same(read(folder), read(plain)) and read(folder).where("name LIKE '%HIVE_DEFAULT%'").count() == 1
