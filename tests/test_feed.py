@@ -43,6 +43,25 @@ def test_messages_are_made_by_many_tasks_and_not_shuffled(spark, events):
     assert feed.feed(spark, events).rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
 
 
+def test_text_is_made_by_compiled_code(spark, events):
+    assert "lambda" not in feed.feed(spark, events)._jdf.queryExecution().optimizedPlan().toString()
+    seen = []
+
+    def build(spark, sf_dir):
+        seen.append(spark.conf.get(feed.METHOD_BYTES))
+        return spark.range(1)
+
+    before = spark.conf.get(feed.METHOD_BYTES, None)
+    feed.landed(spark, events, "method-bytes", build)
+    assert seen == ["8000"] and spark.conf.get(feed.METHOD_BYTES, None) == before
+
+
+def test_repeats_are_as_many_as_counted(spark):
+    made = F.expr(feed.Spark.lines("'L' || {i} || ';'", "n", 3))
+    rows = spark.createDataFrame([(0,), (1,), (3,)], "n long").select("n", made.alias("text")).collect()
+    assert {r["n"]: r["text"] for r in rows} == {0: "", 1: "L0;", 3: "L0;L1;L2;"}
+
+
 def test_more_events_get_more_tasks(spark, events, monkeypatch):
     monkeypatch.setattr(feed, "TASK_EVENTS", 100)
     assert feed.feed(spark, events).rdd.getNumPartitions() == 30
