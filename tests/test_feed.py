@@ -44,7 +44,7 @@ def test_messages_are_made_by_many_tasks_and_not_shuffled(spark, events):
 
 
 def test_text_is_made_by_compiled_code(spark, events):
-    assert "lambda" not in feed.feed(spark, events)._jdf.queryExecution().optimizedPlan().toString()
+    assert "->" not in feed.raw_message(feed.Spark)
     seen = []
 
     def build(spark, sf_dir):
@@ -62,6 +62,16 @@ def test_repeats_are_as_many_as_counted(spark):
     assert {r["n"]: r["text"] for r in rows} == {0: "", 1: "L0;", 3: "L0;L1;L2;"}
 
 
+def test_a_line_with_an_unknown_value_is_left_out(spark, tmp_path):
+    """The message stays, without that line."""
+    rows = [(1, None), (2, 3.0), (11, None)]
+    made = spark.createDataFrame(rows, "event_id long, value double")
+    made = made.selectExpr("event_id", "timestamp'2024-01-01' AS ts", "1L AS user_id", "'click' AS event_type", "value")
+    made.write.parquet(f"{tmp_path}/events.parquet")
+    texts = {r["event_id"]: r["raw_message"] for r in feed.feed(spark, str(tmp_path)).collect()}
+    assert {k: x.count("\rOBX|") for k, x in texts.items()} == {1: 0, 2: 2, 11: 0}
+
+
 def test_more_events_get_more_tasks(spark, events, monkeypatch):
     monkeypatch.setattr(feed, "TASK_EVENTS", 100)
     assert feed.feed(spark, events).rdd.getNumPartitions() == 30
