@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from wardflow.operators import census, features, quality
 from wardflow.operators.filters import date_range, search, subset
+from wardflow.operators.segments import segment_table
 from wardflow.plans import reports, status
 from wardflow.sources import tables as store
 
@@ -190,6 +191,19 @@ def test_every_rule(spark):
         assert all(r["failed_rules"] == [name] for r in bad_rows.collect())
 
 
+def test_broken_rows_are_found_before_their_columns_are_cut(spark):
+    drops = [r for r in quality.PIPELINE_RULES["OBX"] if r.action == quality.DROP]
+    text = "MSH|^~\\&|A|F|||20240115||ORU^R01|1|P|2.5\rOBX|1|NM|GLU||95\rOBX|2|NM|||5\rOBX|3||^a||7\rOBX|4||K"
+    df = spark.createDataFrame([("m", text, T0)], "message_id string, raw_message string, parsed_at timestamp")
+    rows = segment_table(df, "OBX", rule=False)
+    found = quality.broken(rows, drops)
+    assert sorted(r["set_id"] for r in found.collect()) == [2, 3]
+    assert quality.quarantine(found, drops)[1].collect() == quality.quarantine(rows, drops)[1].collect()
+    plan = found._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    held, cut = (next(i for i, line in enumerate(plan) if text in line) for text in ("Filter", "AS observation_value"))
+    assert cut < held  # a plan is printed from its end
+
+
 def test_rules_observe_drop_and_fail(spark):
     df = spark.createDataFrame([("a", "1"), (None, "2"), ("", None)], "observation_id string, value_type string")
     kept, seen = quality.apply_rules(df, quality.PIPELINE_RULES["OBX"])

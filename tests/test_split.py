@@ -76,3 +76,10 @@ def test_random_text(spark, seed):
     bits += ["\x1d", "\x85", "\u2003", "\u2028", "\f", "\n\n", "x MSH|y"]
     texts = ["".join(rng.choices(bits, k=rng.randint(0, 30))) for _ in range(1500)]
     assert split_all(spark, texts) == [restated(t) for t in texts]
+
+
+def test_text_is_cut_at_its_line_ends_in_one_pass(spark):
+    made = split_messages(F.col("raw"))._jc.toString()
+    assert made.count("replace(") == 1  # that of the frame's start; it took five and a regular expression
+    texts = [f"{ONE}\rPID|1{end}NTE|1{end}{TWO}" for end in ("\r\x1c\r", "\r\x1c\r\n", "\x1c\x0b\r", "\x1c\x1c", "\r\r\x1c", "\n\r")]
+    assert split_all(spark, texts) == [restated(t) for t in texts]
